@@ -87,28 +87,36 @@ def _probe_row(df: DataFrame) -> DataFrame:
     return df.sparkSession.sql(f"SELECT * FROM VALUES ({', '.join(values)}) AS probe({names})")
 
 
+def _probe_error(probe: DataFrame, rules: list[Rule]) -> str | None:
+    """Why these rules cannot be evaluated together, or None."""
+    try:
+        tested = probe.select(*[F.expr(r.sql).alias(f"v{i}") for i, r in enumerate(rules)])
+        if not all(isinstance(f.dataType, (T.BooleanType, T.NullType)) for f in tested.schema):
+            return "rule did not return a boolean"
+        tested.collect()
+    except AnalysisException as error:
+        return error.getMessage().split("\n")[0]
+    except PySparkException as error:
+        # Other run-time errors depend on the data and say nothing about the rule.
+        if (error.getCondition() or "").startswith("INVALID_PARAMETER_VALUE"):
+            return error.getMessage().split("\n")[0]
+    return None
+
+
 def rule_errors(df: DataFrame, rules: list[Rule]) -> dict[int, str]:
     """Error text by position for rules that cannot run on ``df``; the table is not read.
 
     Analysis finds unknown columns and syntax errors. Patterns are only compiled when a
-    value is matched, so each predicate is also evaluated on one made-up row.
+    value is matched, so predicates are also evaluated on one made-up row: all together,
+    and one by one only if that fails.
     """
+    if not rules:
+        return {}
     probe = _probe_row(df)
-    errors = {}
-    for i, rule in enumerate(rules):
-        try:
-            tested = probe.select(F.expr(rule.sql).alias("v"))
-            if not isinstance(tested.schema["v"].dataType, (T.BooleanType, T.NullType)):
-                errors[i] = "rule did not return a boolean"
-                continue
-            tested.collect()
-        except AnalysisException as error:
-            errors[i] = error.getMessage().split("\n")[0]
-        except PySparkException as error:
-            # Other run-time errors depend on the data and say nothing about the rule.
-            if (error.getCondition() or "").startswith("INVALID_PARAMETER_VALUE"):
-                errors[i] = error.getMessage().split("\n")[0]
-    return errors
+    if _probe_error(probe, rules) is None:
+        return {}
+    errors = {i: _probe_error(probe, [rule]) for i, rule in enumerate(rules)}
+    return {i: error for i, error in errors.items() if error is not None}
 
 
 def _to_result(rule):

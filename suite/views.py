@@ -95,12 +95,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _split(text: str) -> tuple[str, str, str]:
+    """Text before, name of, and text after the table that a view selects from."""
+    head, _, tail = text.rpartition("FROM ")
+    name = tail.split()[0]
+    return head, name, tail[len(name) :]
+
+
+def over(df: DataFrame, text: str) -> DataFrame:
+    """A view text applied to a DataFrame, streaming or not."""
+    head, _, rest = _split(text)
+    return df.sparkSession.sql(f"{head}FROM {{t}} {rest}", t=df)
+
+
 def view(spark: SparkSession, sf: str, text: str) -> DataFrame:
     """A view text over the parquet table it selects from."""
-    head, _, tail = text.rpartition("FROM ")
-    name, _, rest = tail.partition(" ")
-    name, newline, more = name.partition("\n")
-    return spark.sql(f"{head}FROM {{t}} {newline}{more}{rest}", t=table(spark, sf, name))
+    return over(table(spark, sf, _split(text)[1]), text)
 
 
 def with_views(**views: str) -> str:

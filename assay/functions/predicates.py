@@ -8,12 +8,12 @@ EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\z"
 NINO = r"^[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z][0-9]{6}[A-D]\z"
 PLAIN_TEXT = r"^[a-zA-Z0-9\s]*\z"
 DATE_LENIENT = r"^\d{4}-\d{1,2}-\d{1,2}\z"
-DATE_STRICT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
 def is_date(c: Column) -> Column:
     """A real ``YYYY-M-D`` date, leading zeros optional; null stays null."""
-    return c.rlike(DATE_LENIENT) & F.try_to_timestamp(c, F.lit("yyyy-M-d")).isNotNull()
+    real = c.rlike(DATE_LENIENT) & F.try_to_timestamp(c, F.lit("yyyy-M-d")).isNotNull()
+    return F.when(c.isNotNull(), real)
 
 
 def is_email(c: Column) -> Column:

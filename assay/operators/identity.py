@@ -10,7 +10,7 @@ from assay.operators.profile import q
 from assay.plans.components import connected_components
 from assay.plans.lineage import cut
 from assay.plans.shape import union_all
-from assay.plans.skew import salted_join
+from assay.plans.skew import HOT_ROWS, salted_join
 
 # --- identifiers ----------------------------------------------------------------------------
 
@@ -20,10 +20,10 @@ def invalid_ninos(df: DataFrame, nino: str = "nino") -> DataFrame:
     return df.where(~p.null_fails(p.is_nino(q(nino))))
 
 
-def shared_ninos(df: DataFrame, nino: str = "nino", key: str = "id", hot_rows: int | None = None) -> DataFrame:
+def shared_ninos(df: DataFrame, nino: str = "nino", key: str = "id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows that share their (non-null) number with another row."""
     present = df.where(q(nino).isNotNull())
-    groups = present.groupBy(nino).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = present.groupBy(nino).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return salted_join(
         present, groups.select(nino), [nino], [key], "left_semi", counts=groups, hot_rows=hot_rows
     )
@@ -47,7 +47,7 @@ def sequential_ninos(df: DataFrame, nino: str = "nino") -> DataFrame:
     return df.withColumn("_number", _digits(nino)).join(F.broadcast(predecessors), "_number", "left_semi").drop("_number")
 
 
-def nino_fraud_flags(df: DataFrame, nino: str = "nino", key: str = "id", hot_rows: int | None = None) -> DataFrame:
+def nino_fraud_flags(df: DataFrame, nino: str = "nino", key: str = "id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(key, pattern)``: one row per record and suspicious pattern."""
     slim = df.select(key, nino)
     found = {
@@ -64,7 +64,7 @@ def cross_reference(
     on: str,
     attribute: str,
     key: str = "id",
-    hot_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``(key, on, finding)`` for records the external source does not confirm.
 
@@ -269,7 +269,7 @@ def geo_clusters(
     longitude: str = "longitude",
     eps: float = 0.3,
     leaf: int = LEAF,
-    hot_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``(key, cluster)``: density clusters with at least two points, -1 for noise.
 
@@ -318,7 +318,7 @@ def geo_clusters(
 
 
 def relationship_network(
-    df: DataFrame, attributes: list[list[str]], key: str = "id", hot_rows: int | None = None
+    df: DataFrame, attributes: list[list[str]], key: str = "id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``(key, network)`` for records linked through equal attributes, directly or in a chain.
 
@@ -333,10 +333,10 @@ def relationship_network(
             present = present.where(q(c).isNotNull())
         hubs = (
             present.groupBy(*columns)
-            .agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1")
+            .agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1")
         )
-        linked = salted_join(present, hubs.drop("n"), columns, ["key"], counts=hubs, hot_rows=hot_rows)
+        linked = salted_join(present, hubs.drop("_n"), columns, ["key"], counts=hubs, hot_rows=hot_rows)
         edges.append(linked.select(F.col("key").alias("src"), F.col("hub").alias("dst")))
     return connected_components(union_all(edges), hot_rows=hot_rows).select(
         F.col("node").alias(key), F.col("component").alias("network")

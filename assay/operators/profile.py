@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from assay.functions.statistics import exact_medians, pearson
 from assay.plans.shape import count_where, one_scan, rows_of, union_all
-from assay.plans.skew import salted_join
+from assay.plans.skew import HOT_ROWS, salted_join
 
 # Bytes of the fixed-width types.
 WIDTH = {
@@ -139,19 +139,19 @@ def duplicate_count(df: DataFrame, subset: list[str] | None = None, by_hash: boo
     columns = [q(c) for c in subset or df.columns]
     if by_hash:
         columns = [F.xxhash64(F.lit(1), *columns).alias("h1"), F.xxhash64(F.lit(2), *columns).alias("h2")]
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records"))
+    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_records"))
 
 
-def duplicate_rows(df: DataFrame, subset: list[str], key: list[str], hot_rows: int | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, subset: list[str], key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows of groups with more than one row (null equals null).
 
     Group sizes are counted with map-side combine; the join back is salted by ``key``, so
     a value shared by a third of the table is spread over many tasks.
     """
-    groups = df.groupBy(*[q(c) for c in subset]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = df.groupBy(*[q(c) for c in subset]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return salted_join(
-        df, groups.drop("n"), subset, key, "left_semi", null_safe=True, counts=groups, hot_rows=hot_rows
+        df, groups.drop("_n"), subset, key, "left_semi", null_safe=True, counts=groups, hot_rows=hot_rows
     )
 
 

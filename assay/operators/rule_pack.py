@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from assay.operators.rules import Rule, SetRule
-from assay.plans.skew import salted_join
+from assay.plans.skew import HOT_ROWS, salted_join
 
 # Rule ids, severities, limits and patterns.
 PHONE = r"\\b\\d{3}[-.]?\\d{3}[-.]?\\d{4}\\b"
@@ -182,7 +182,7 @@ def overlapping_rows(
     start: str = "start_date",
     end: str = "end_date",
     key: str = "id",
-    hot_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """All rows of owners with an overlap."""
     offenders = overlapping_owners(df, owner, start, end)

@@ -9,31 +9,43 @@ that hands them back is salted.
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from assay.plans.lineage import cut
-from assay.plans.skew import salted_join
+from assay.plans.skew import HOT_ROWS, salted_join
 
 log = logging.getLogger(__name__)
 
 
+def _state(edges: DataFrame) -> Row:
+    """Number and fingerprint of the edges: equal before and after a round when nothing moved."""
+    return edges.agg(
+        F.count(F.lit(1)).alias("edges"),
+        F.bit_xor(F.xxhash64("node", "other")).alias("print1"),
+        F.bit_xor(F.xxhash64("other", "node")).alias("print2"),
+    ).first()
+
+
 def _lowest(edges: DataFrame) -> DataFrame:
     """Per node: the smallest of itself and its neighbours, and how many edges it has."""
     return edges.groupBy("node").agg(
-        F.least("node", F.min("other")).alias("low"), F.count(F.lit(1)).alias("n")
+        F.least("node", F.min("other")).alias("low"), F.count(F.lit(1)).alias("_n")
     )
 
 
-def _hook(edges: DataFrame, lowest: DataFrame, hot_rows: int | None) -> DataFrame:
+def _hook(edges: DataFrame, lowest: DataFrame, crowded: bool, hot_rows: int) -> DataFrame:
     """Replace each edge (node, other) by (other, lowest neighbour of node)."""
-    return salted_join(
-        edges, lowest.select("node", "low"), ["node"], ["other"], counts=lowest, hot_rows=hot_rows
-    ).select(F.col("other").alias("node"), F.col("low").alias("other"))
+    values = lowest.select("node", "low")
+    if crowded:
+        moved = salted_join(edges, values, ["node"], ["other"], counts=lowest, hot_rows=hot_rows)
+    else:
+        moved = edges.join(values, "node")
+    return moved.select(F.col("other").alias("node"), F.col("low").alias("other"))
 
 
 def connected_components(
-    edges: DataFrame, max_rounds: int = 100, hot_rows: int | None = None
+    edges: DataFrame, max_rounds: int = 100, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``(node, component)`` for every node of the edge list ``(src, dst)``; component = least node."""
     current = cut(
@@ -41,22 +53,21 @@ def connected_components(
         .select(F.greatest("src", "dst").alias("node"), F.least("src", "dst").alias("other"))
         .distinct()
     )
-    seen = None
+    state = _state(current)
     for round_no in range(1, max_rounds + 1):
+        # No node can have more edges than there are; below that the joins need no salt.
+        crowded = 2 * state["edges"] > hot_rows
         both = current.union(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        larger = _hook(both.where("other > node"), _lowest(both), hot_rows).distinct()
+        larger = _hook(both.where("other > node"), _lowest(both), crowded, hot_rows).distinct()
 
         lowest = _lowest(larger)
-        smaller = _hook(larger, lowest, hot_rows).where("node <> other")
+        smaller = _hook(larger, lowest, crowded, hot_rows).where("node <> other")
         current = cut(smaller.union(lowest.select("node", "low")).distinct())
 
-        state = current.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "other")), F.bit_xor(F.hash("node", "other"))
-        ).first()
-        log.info("components round %d: %d edges", round_no, state[0])
-        if state == seen:
+        before, state = state, _state(current)
+        log.info("components round %d: %d edges", round_no, state["edges"])
+        if state == before:
             break
-        seen = state
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     hubs = current.select(F.col("other").alias("node"), F.col("other").alias("component")).distinct()

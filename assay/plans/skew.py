@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def heavy_keys(counts: DataFrame, on: list[str], n: str, hot_rows: int) -> DataFrame:
+def heavy_keys(counts: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
     """Key hash and number of salts for keys with more than ``hot_rows`` rows.
 
     Keys are told apart by hash only: two heavy keys with one hash share their salts,
     which is harmless because the join itself still compares the keys.
     """
     return (
-        counts.where(F.col(n) > hot_rows)
+        counts.where(F.col("_n") > hot_rows)
         .groupBy(F.xxhash64(*on).alias("_hash"))
-        .agg(F.ceil(F.sum(n) / F.lit(hot_rows)).cast("int").alias("_salts"))
+        .agg(F.ceil(F.sum("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
     )
 
 
@@ -34,14 +34,14 @@ def salted_join(
     how: str = "inner",
     null_safe: bool = False,
     counts: DataFrame | None = None,
-    hot_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on equally named columns, splitting heavy keys of ``left``.
 
     ``salt_by`` names the columns that tell rows of one key apart (usually a row id). The
     salt is a hash of them, never a random number, so a task that is run again after a
     lost executor sends every row to the same place as before. ``counts`` may hold the
-    left row count per key as columns ``on`` + ``n`` if the caller has it already.
+    left row count per key as columns ``on`` + ``_n`` if the caller has it already.
     ``how`` is inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -53,8 +53,8 @@ def salted_join(
                 f"join column {name}: {left_types[name]} on the left, {right_types[name]} on the right"
             )
     if counts is None:
-        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    heavy = F.broadcast(heavy_keys(counts, on, "n", hot_rows or HOT_ROWS))
+        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = F.broadcast(heavy_keys(counts, on, hot_rows))
 
     spread = (
         left.withColumn("_hash", F.xxhash64(*on))

@@ -193,7 +193,7 @@ def expect_in_range(spark, sf):
 # --- validators ---------------------------------------------------------------------------------
 
 DATE_OK = (
-    r"regexp_matches({c}, '^\d{4}-\d{1,2}-\d{1,2}$') AND try_strptime({c}, '%Y-%m-%d') IS NOT NULL"
+    r"CASE WHEN {c} IS NOT NULL THEN regexp_matches({c}, '^\d{4}-\d{1,2}-\d{1,2}$') AND try_strptime({c}, '%Y-%m-%d') IS NOT NULL END"
 )
 EMAIL_OK = r"regexp_matches({c}, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$')"
 NINO_OK = r"regexp_matches({c}, '^[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z][0-9]{6}[A-D]$')"

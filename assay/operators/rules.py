@@ -87,15 +87,19 @@ def _probe_row(df: DataFrame) -> DataFrame:
     return df.sparkSession.sql(f"SELECT * FROM VALUES ({', '.join(values)}) AS probe({names})")
 
 
-def _probe_error(probe: DataFrame, rules: list[Rule]) -> str | None:
-    """Why these rules cannot be evaluated together, or None."""
+def _analysis_error(probe: DataFrame, rule: Rule) -> str | None:
+    """Unknown columns, syntax errors, results that are no boolean."""
     try:
-        tested = probe.select(*[F.expr(r.sql).alias(f"v{i}") for i, r in enumerate(rules)])
-        if not all(isinstance(f.dataType, (T.BooleanType, T.NullType)) for f in tested.schema):
-            return "rule did not return a boolean"
-        tested.collect()
+        kind = probe.select(F.expr(rule.sql).alias("v")).schema["v"].dataType
     except AnalysisException as error:
         return error.getMessage().split("\n")[0]
+    return None if isinstance(kind, (T.BooleanType, T.NullType)) else "rule did not return a boolean"
+
+
+def _pattern_error(probe: DataFrame, rules: list[Rule]) -> str | None:
+    """Patterns are only compiled when a value is matched, so match the made-up row."""
+    try:
+        probe.select(*[F.expr(r.sql).alias(f"v{i}") for i, r in enumerate(rules)]).collect()
     except PySparkException as error:
         # Other run-time errors depend on the data and say nothing about the rule.
         if (error.getCondition() or "").startswith("INVALID_PARAMETER_VALUE"):
@@ -106,16 +110,16 @@ def _probe_error(probe: DataFrame, rules: list[Rule]) -> str | None:
 def rule_errors(df: DataFrame, rules: list[Rule]) -> dict[int, str]:
     """Error text by position for rules that cannot run on ``df``; the table is not read.
 
-    Analysis finds unknown columns and syntax errors. Patterns are only compiled when a
-    value is matched, so predicates are also evaluated on one made-up row: all together,
-    and one by one only if that fails.
+    Each rule is analysed alone. Patterns are tried for all rules together, and one by one
+    only if that fails.
     """
     if not rules:
         return {}
     probe = _probe_row(df)
-    if _probe_error(probe, rules) is None:
-        return {}
-    errors = {i: _probe_error(probe, [rule]) for i, rule in enumerate(rules)}
+    errors = {i: _analysis_error(probe, rule) for i, rule in enumerate(rules)}
+    sound = [i for i, error in errors.items() if error is None]
+    if sound and _pattern_error(probe, [rules[i] for i in sound]) is not None:
+        errors.update({i: _pattern_error(probe, [rules[i]]) for i in sound})
     return {i: error for i, error in errors.items() if error is not None}
 
 

@@ -224,7 +224,7 @@ ITEMS = v.with_views(item_log=v.ITEM_LOG)[:-1] + """,
 adds AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ts, event_id) AS rn FROM item_log WHERE action = 'add'),
 updates AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ts DESC, event_id DESC) AS rn FROM item_log WHERE action = 'update'),
 items AS (SELECT a.item_id, a.ts AS date, coalesce(a.description, '') AS description,
-                 CASE WHEN (u.ts, u.event_id) > (a.ts, a.event_id) THEN u.status ELSE coalesce(a.status, 'pending') END AS status,
+                 CASE WHEN u.ts > a.ts OR u.ts = a.ts AND u.event_id > a.event_id THEN u.status ELSE coalesce(a.status, 'pending') END AS status,
                  coalesce(a.impact, 'low') AS impact
           FROM adds a LEFT JOIN updates u ON a.item_id = u.item_id AND u.rn = 1 WHERE a.rn = 1)
 """

@@ -251,9 +251,9 @@ saves AS (SELECT *, row_number() OVER (PARTITION BY config_key ORDER BY ts DESC,
 stops AS (SELECT *, row_number() OVER (PARTITION BY config_key ORDER BY ts DESC, event_id DESC) AS rn
           FROM rule_log WHERE action = 'deactivate'),
 state AS (SELECT s.config_key, s.rule_id, s.table_name, s.column_name, s.severity, s.category,
-                 NOT coalesce((d.ts, d.event_id) > (s.ts, s.event_id), false) AS is_active,
+                 NOT coalesce(d.ts > s.ts OR d.ts = s.ts AND d.event_id > s.event_id, false) AS is_active,
                  s.ts AS last_updated, s.ts AS activated_at,
-                 CASE WHEN (d.ts, d.event_id) > (s.ts, s.event_id) THEN d.ts END AS deactivated_at
+                 CASE WHEN d.ts > s.ts OR d.ts = s.ts AND d.event_id > s.event_id THEN d.ts END AS deactivated_at
           FROM saves s LEFT JOIN stops d ON s.config_key = d.config_key AND d.rn = 1 WHERE s.rn = 1)
 """
 )

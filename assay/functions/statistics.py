@@ -5,13 +5,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assay.plans.shape import name
 
 
-def pearson(x: str, y: str) -> Column:
-    """Pairwise-complete correlation; NULL (not an error) for a constant column."""
-    a, b = F.col(f"`{x}`").cast("double"), F.col(f"`{y}`").cast("double")
-    both_a, both_b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
+def pearson(x: str, y: str) -> str:
+    """SQL aggregate: pairwise-complete correlation, NULL (not an error) for a constant column."""
+    a, b = f"CAST({name(x)} AS DOUBLE)", f"CAST({name(y)} AS DOUBLE)"
+    spread = f"stddev_pop(IF({b} IS NULL, NULL, {a})) * stddev_pop(IF({a} IS NULL, NULL, {b}))"
+    return f"try_divide(covar_pop({a}, {b}), {spread})"
 
 
 @dataclass
@@ -36,7 +37,7 @@ def exact_medians(
     """
     if not columns:
         return {}
-    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    value = {c: F.col(name(c)).cast("double") for c in columns}
     bounds = df.agg(
         *[
             F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(c)

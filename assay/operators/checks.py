@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assay.functions import predicates as p
 from assay.operators.profile import column_class, q, require_column
-from assay.plans.shape import count_where, one_scan, union_all
+from assay.plans.shape import count_where, one_scan, text, union_all
 
 
 @dataclass(frozen=True)
@@ -57,19 +57,19 @@ def run_column_checks(df: DataFrame, checks: dict[str, list[Check]]) -> DataFram
     """
     planned = [(c, check, _applicable(df, c, check)) for c, cs in checks.items() for check in cs]
 
-    def to_row(column: str, check: Check):
-        return lambda total, failed: F.struct(
-            F.lit(column).alias("column_name"),
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.description).alias("description"),
-            (failed == 0).alias("success"),
-            failed.alias("failed_rows"),
-            F.lit(None).cast("string").alias("error"),
-        )
+    def fields(column: str, check: Check):
+        return lambda failed: {
+            "column_name": text(column),
+            "check_name": text(check.name),
+            "description": text(check.description),
+            "success": f"{failed} = 0",
+            "failed_rows": failed,
+            "error": text(None),
+        }
 
     frames = one_scan(
         df,
-        [(count_where(~check.passes(q(c))), to_row(c, check)) for c, check, error in planned if error is None],
+        [(count_where(~check.passes(q(c))), fields(c, check)) for c, check, error in planned if error is None],
     )
     bad = [(c, check.name, check.description, False, None, error) for c, check, error in planned if error]
     if bad:
@@ -120,15 +120,15 @@ def passfail_rows(
 def passfail_summary(df: DataFrame, checks: dict[str, list[Check]]) -> DataFrame:
     """Total, passed and failed rows per check, counted without building the report."""
 
-    def to_row(column: str, check: Check):
-        return lambda total, passed: F.struct(
-            F.lit(column).alias("column_checked"),
-            F.lit(check.name).alias("check_name"),
-            total.alias("total"),
-            passed.alias("passed"),
-            (total - passed).alias("failed"),
-        )
+    def fields(column: str, check: Check):
+        return lambda passed: {
+            "column_checked": text(column),
+            "check_name": text(check.name),
+            "total": "_total",
+            "passed": passed,
+            "failed": f"_total - {passed}",
+        }
 
     return union_all(
-        one_scan(df, [(count_where(check.passes(q(c))), to_row(c, check)) for c, cs in checks.items() for check in cs])
+        one_scan(df, [(count_where(check.passes(q(c))), fields(c, check)) for c, cs in checks.items() for check in cs])
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assay.functions import predicates as p
 from assay.operators.profile import duplicate_count, missing_above_threshold, q, string_columns
-from assay.plans.shape import count_where, rows_of, union_all
+from assay.plans.shape import count_where, one_scan, text, union_all
 
 
 def date_columns(df: DataFrame) -> list[str]:
@@ -17,19 +17,11 @@ def date_columns(df: DataFrame) -> list[str]:
 
 def invalid_counts(df: DataFrame, conditions: dict[tuple[str, str | None], object]) -> DataFrame:
     """``(check_name, column_name, value)`` for several row conditions in one scan."""
-    planned = list(conditions.items())
-    counts = df.agg(*[count_where(condition).alias(f"v_{i}") for i, (_, condition) in enumerate(planned)])
-    return rows_of(
-        counts,
-        [
-            F.struct(
-                F.lit(check).alias("check_name"),
-                F.lit(column).cast("string").alias("column_name"),
-                F.col(f"v_{i}").cast("double").alias("value"),
-            )
-            for i, ((check, column), _) in enumerate(planned)
-        ],
-    )
+
+    def fields(check: str, column: str | None):
+        return lambda v: {"check_name": text(check), "column_name": text(column), "value": f"CAST({v} AS DOUBLE)"}
+
+    return union_all(one_scan(df, [(count_where(condition), fields(*key)) for key, condition in conditions.items()]))
 
 
 def invalid_dates(df: DataFrame) -> DataFrame:

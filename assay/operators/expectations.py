@@ -16,7 +16,7 @@ def expect_not_null(df: DataFrame, column: str) -> DataFrame:
         (F.col("null_count") == 0).alias("success"),
         "element_count",
         "null_count",
-        percent(F.col("null_count"), F.col("element_count"), 0.0).alias("null_percent"),
+        F.expr(percent("null_count", "element_count", 0.0)).alias("null_percent"),
     )
 
 
@@ -34,7 +34,7 @@ def expect_unique(df: DataFrame, column: str) -> DataFrame:
         "element_count",
         duplicates.alias("duplicate_count"),
         "unique_count",
-        percent(duplicates, F.col("element_count"), 0.0).alias("duplicate_percent"),
+        F.expr(percent("element_count - unique_count", "element_count", 0.0)).alias("duplicate_percent"),
     )
 
 
@@ -75,7 +75,7 @@ def expect_in_range(
         (F.col("violation_count") == 0).alias("success"),
         "element_count",
         "violation_count",
-        percent(F.col("violation_count"), F.col("element_count"), 0.0).alias("violation_percent"),
+        F.expr(percent("violation_count", "element_count", 0.0)).alias("violation_percent"),
         "min_value",
         "max_value",
         F.lit(None).cast("string").alias("error"),

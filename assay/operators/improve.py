@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.plans.shape import count_where, rows_of
+from assay.plans.shape import count_where, rows_of, text
 
 # Texts per metric.
 CAUSES = {
@@ -132,20 +132,13 @@ def improvement_progress(items: DataFrame) -> DataFrame:
         count_where(F.lower("status") == "completed").alias("completed"),
         count_where(F.lower("status") == "pending").alias("pending"),
     )
-    progress = F.coalesce(F.try_divide(F.col("completed") * 100.0, F.col("total")), F.lit(0.0))
-
-    def row(metric: str, value: Column) -> Column:
-        return F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
-
-    return rows_of(
-        counts,
-        [
-            row("Overall Progress", progress),
-            row("Total Improvements", F.col("total")),
-            row("Completed", F.col("completed")),
-            row("Pending", F.col("pending")),
-        ],
-    )
+    values = {
+        "Overall Progress": "coalesce(try_divide(completed * 100D, total), 0D)",
+        "Total Improvements": "CAST(total AS DOUBLE)",
+        "Completed": "CAST(completed AS DOUBLE)",
+        "Pending": "CAST(pending AS DOUBLE)",
+    }
+    return rows_of(counts, [{"metric": text(metric), "value": value} for metric, value in values.items()])
 
 
 def improvements_by(items: DataFrame, attribute: str) -> DataFrame:

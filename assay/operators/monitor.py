@@ -12,8 +12,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assay.operators.profile import duplicate_count, numeric_columns, q
-from assay.plans.shape import count_where, one_scan, rows_of, union_all
+from assay.operators.profile import duplicate_count, numeric_columns
+from assay.plans.shape import name, one_scan, rows_of, text, union_all
 from assay.sources.results import append_alerts
 
 log = logging.getLogger(__name__)
@@ -24,31 +24,24 @@ WATCHED = ("total_records", "duplicate_records")
 def monitor_metrics(df: DataFrame, dataset: str, run_ts: datetime) -> DataFrame:
     """Metrics of one dataset: records, duplicates, missing shares, mean/std/min/max."""
 
-    def to_row(metric: str, column_name: str | None):
-        return lambda total, value: F.struct(
-            F.lit(metric).alias("metric"),
-            F.lit(column_name).cast("string").alias("column_name"),
-            value.cast("double").alias("value"),
-        )
+    def fields(metric: str, column: str | None):
+        return lambda v: {"metric": text(metric), "column_name": text(column), "value": f"CAST({v} AS DOUBLE)"}
 
-    measures = [(F.count(F.lit(1)), to_row("total_records", None))]
-    rows = F.count(F.lit(1))
+    measures = [("count(1)", fields("total_records", None))]
     for c in df.columns:
-        share = F.try_divide(count_where(q(c).isNull()).cast("double"), rows)
-        measures.append((share, to_row("missing_pct", c)))
+        share = f"try_divide(CAST(count_if({name(c)} IS NULL) AS DOUBLE), count(1))"
+        measures.append((share, fields("missing_pct", c)))
     for c in numeric_columns(df):
-        v = q(c).cast("double")
+        v = f"CAST({name(c)} AS DOUBLE)"
         for metric, value in (
-            ("mean", F.avg(v)),
-            ("std", F.stddev_samp(v)),
-            ("min", F.min(v)),
-            ("max", F.max(v)),
+            ("mean", f"avg({v})"),
+            ("std", f"stddev_samp({v})"),
+            ("min", f"min({v})"),
+            ("max", f"max({v})"),
         ):
-            measures.append((value, to_row(metric, c)))
+            measures.append((value, fields(metric, c)))
     frames = one_scan(df, measures)
-    frames.append(
-        rows_of(duplicate_count(df), [to_row("duplicate_records", None)(None, F.col("duplicate_records"))])
-    )
+    frames.append(rows_of(duplicate_count(df), [fields("duplicate_records", None)("duplicate_records")]))
     return union_all(frames).select(
         F.lit(dataset).alias("dataset"),
         F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"),
@@ -128,11 +121,11 @@ def monitor_run(
 
     A dataset that fails is logged and skipped. Returns the report rows of this run.
     """
-    for name, df in data.items():
+    for dataset, df in data.items():
         try:
-            monitor_metrics(df, name, run_ts).write.mode("append").partitionBy("dataset").parquet(history_path)
+            monitor_metrics(df, dataset, run_ts).write.mode("append").partitionBy("dataset").parquet(history_path)
         except PySparkException:
-            log.exception("monitoring of %s failed", name)
+            log.exception("monitoring of %s failed", dataset)
     history = spark.read.parquet(history_path).withColumn("dataset", F.col("dataset").cast("string"))
     now = F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz")
     append_alerts(monitor_alerts(history, threshold).where(now), alerts_path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.functions.statistics import exact_medians, pearson
-from assay.plans.shape import count_where, one_scan, rows_of, union_all
+from assay.plans.shape import count_where, name, one_scan, rows_of, text, union_all
 from assay.plans.skew import HOT_ROWS, salted_join
 
 # Bytes of the fixed-width types.
@@ -20,9 +20,9 @@ WIDTH = {
 }
 
 
-def q(name: str) -> Column:
+def q(column: str) -> Column:
     """Column by exact name, dots included."""
-    return F.col(f"`{name}`")
+    return F.col(name(column))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -33,15 +33,15 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType))]
 
 
-def column_class(df: DataFrame, name: str) -> str:
-    if name in numeric_columns(df):
+def column_class(df: DataFrame, column: str) -> str:
+    if column in numeric_columns(df):
         return "numeric"
-    return "string" if name in string_columns(df) else "other"
+    return "string" if column in string_columns(df) else "other"
 
 
-def require_column(df: DataFrame, name: str) -> None:
-    if name not in df.columns:
-        raise ValueError(f"column {name} not found")
+def require_column(df: DataFrame, column: str) -> None:
+    if column not in df.columns:
+        raise ValueError(f"column {column} not found")
 
 
 # --- missing values, distinct values, sizes ---------------------------------------------
@@ -49,19 +49,16 @@ def require_column(df: DataFrame, name: str) -> None:
 
 def missing_by_column(df: DataFrame) -> DataFrame:
     """``(column_name, missing, total, ratio)`` per column from one pass."""
-    counts = df.agg(F.count(F.lit(1)).alias("total"), *[F.count(q(c)).alias(f"n_{i}") for i, c in enumerate(df.columns)])
-    return rows_of(
-        counts,
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                (F.col("total") - F.col(f"n_{i}")).alias("missing"),
-                F.col("total"),
-                F.try_divide((F.col("total") - F.col(f"n_{i}")).cast("double"), F.col("total")).alias("ratio"),
-            )
-            for i, c in enumerate(df.columns)
-        ],
-    )
+
+    def fields(column: str):
+        return lambda v: {
+            "column_name": text(column),
+            "missing": v,
+            "total": "_total",
+            "ratio": f"try_divide(CAST({v} AS DOUBLE), _total)",
+        }
+
+    return union_all(one_scan(df, [(f"count_if({name(c)} IS NULL)", fields(c)) for c in df.columns]))
 
 
 def missing_above_threshold(df: DataFrame, threshold: float = 0.1) -> DataFrame:
@@ -69,62 +66,75 @@ def missing_above_threshold(df: DataFrame, threshold: float = 0.1) -> DataFrame:
     return missing_by_column(df).where(F.col("ratio") > threshold)
 
 
+def _as_text(column: str, dtype: str) -> str:
+    """SQL text that is equal for equal values only; both zeros of a floating type are one value."""
+    if dtype == "string":
+        return name(column)
+    if dtype in ("float", "double"):
+        return f"CAST({name(column)} + 0{'D' if dtype == 'double' else 'F'} AS STRING)"
+    if dtype == "binary":
+        return f"hex({name(column)})"
+    if dtype.startswith(("array", "map", "struct")):
+        return f"CASE WHEN {name(column)} IS NOT NULL THEN to_json(struct({name(column)})) END"
+    return f"CAST({name(column)} AS STRING)"
+
+
 def distinct_by_column(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """Non-null distinct values per column.
 
-    Exact counts of k columns shuffle up to k values per row (less what is combined map-side);
+    The exact count turns the table into ``(column, value)`` pairs in the same scan, combines
+    them map-side and shuffles what is left, so a frequent value costs one row per task.
     ``approximate`` keeps a fixed-size sketch per column instead.
     """
     columns = columns or df.columns
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    counts = df.agg(*[count(q(c)).alias(f"d_{i}") for i, c in enumerate(columns)])
-    return rows_of(
-        counts,
-        [
-            F.struct(F.lit(c).alias("column_name"), F.col(f"d_{i}").alias("distinct_values"))
-            for i, c in enumerate(columns)
-        ],
+
+    def fields(column: str, v: str) -> dict[str, str]:
+        return {"column_name": text(column), "distinct_values": v}
+
+    if approximate:
+        return union_all(
+            one_scan(df, [(f"approx_count_distinct({name(c)})", lambda v, c=c: fields(c, v)) for c in columns])
+        )
+    types = dict(df.dtypes)
+    cells = rows_of(df, [{"position": str(i), "value": _as_text(c, types[c])} for i, c in enumerate(columns)])
+    counts = (
+        cells.where("value IS NOT NULL")
+        .groupBy("position", "value")
+        .agg(F.lit(1).alias("one"))
+        .groupBy()
+        .agg(*[F.expr(f"count_if(position = {i})").alias(f"d_{i}") for i in range(len(columns))])
     )
+    return rows_of(counts, [fields(c, f"d_{i}") for i, c in enumerate(columns)])
 
 
-def logical_bytes(df: DataFrame) -> Column:
-    """Aggregate: bytes of all values, text by its length, other types by their width."""
+def logical_bytes(df: DataFrame) -> str:
+    """SQL aggregate: bytes of all values, text by its length, other types by their width."""
     parts = []
-    for name, dtype in df.dtypes:
+    for column, dtype in df.dtypes:
         if dtype in WIDTH:
-            parts.append(F.count(q(name)) * WIDTH[dtype])
+            parts.append(f"count({name(column)}) * {WIDTH[dtype]}")
         else:
-            text = q(name) if dtype in ("string", "binary") else F.to_json(F.struct(q(name)))
-            parts.append(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)))
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return total.cast("bigint")
+            value = name(column) if dtype in ("string", "binary") else f"to_json(struct({name(column)}))"
+            parts.append(f"coalesce(sum(octet_length({value})), 0)")
+    return f"CAST({' + '.join(parts)} AS BIGINT)"
 
 
 def table_basic_stats(df: DataFrame) -> DataFrame:
     """Long ``(section, name, value)``: row, column and byte counts, missing values, types."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        logical_bytes(df).alias("bytes"),
-        *[count_where(q(c).isNull()).alias(f"m_{i}") for i, c in enumerate(df.columns)],
-    )
 
-    def row(section: str, name: str, value: Column) -> Column:
-        return F.struct(
-            F.lit(section).alias("section"), F.lit(name).alias("name"), value.cast("string").alias("value")
-        )
+    def fields(section: str, item: str):
+        return lambda v: {"section": text(section), "name": text(item), "value": f"CAST({v} AS STRING)"}
 
-    return rows_of(
-        counts,
-        [
-            row("table", "row_count", F.col("rows")),
-            row("table", "column_count", F.lit(len(df.columns))),
-            row("table", "logical_bytes", F.col("bytes")),
-            *[row("missing_values", c, F.col(f"m_{i}")) for i, c in enumerate(df.columns)],
-            *[row("dtypes", c, F.lit(t)) for c, t in df.dtypes],
-        ],
+    measures = [
+        ("count(1)", fields("table", "row_count")),
+        (F.lit(len(df.columns)), fields("table", "column_count")),
+        (logical_bytes(df), fields("table", "logical_bytes")),
+        *[(f"count_if({name(c)} IS NULL)", fields("missing_values", c)) for c in df.columns],
+    ]
+    types = df.sparkSession.createDataFrame(
+        [("dtypes", c, t) for c, t in df.dtypes], "section string, name string, value string"
     )
+    return union_all([*one_scan(df, measures), types])
 
 
 # --- duplicates -------------------------------------------------------------------------
@@ -167,53 +177,49 @@ def numeric_column_stats(
     counting passes (see ``exact_medians``).
     """
     columns = columns or numeric_columns(df)
-    if median == "exact":
-        exact = exact_medians(df, columns, exact_limit)
-        middle = {c: F.lit(m).cast("double") for c, m in exact.items()}
-    else:
-        middle = {c: F.percentile_approx(q(c).cast("double"), 0.5, 10_000) for c in columns}
-    aggs = []
+    exact = exact_medians(df, columns, exact_limit) if median == "exact" else {}
+    aggs, rows = [], []
     for i, c in enumerate(columns):
-        v = q(c).cast("double")
+        v = f"CAST({name(c)} AS DOUBLE)"
+        middle = exact.get(c)
         aggs += [
-            F.avg(v).alias(f"mean_{i}"),
-            F.max(middle[c]).alias(f"median_{i}") if median == "exact" else middle[c].alias(f"median_{i}"),
-            F.stddev_samp(v).alias(f"std_{i}"),
-            F.min(v).alias(f"min_{i}"),
-            F.max(v).alias(f"max_{i}"),
+            F.expr(f"avg({v})").alias(f"mean_{i}"),
+            F.expr(f"stddev_samp({v})").alias(f"std_{i}"),
+            F.expr(f"min({v})").alias(f"min_{i}"),
+            F.expr(f"max({v})").alias(f"max_{i}"),
         ]
-    measures = ["mean", "median", "std", "min", "max"]
-    return rows_of(
-        df.agg(*aggs),
-        [
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
-            for i, c in enumerate(columns)
-        ],
-    )
+        if median != "exact":
+            aggs.append(F.expr(f"percentile_approx({v}, 0.5, 10000)").alias(f"median_{i}"))
+            value = f"median_{i}"
+        else:
+            value = "CAST(NULL AS DOUBLE)" if middle is None else f"CAST({text(repr(middle))} AS DOUBLE)"
+        rows.append(
+            {
+                "column_name": text(c),
+                "mean": f"mean_{i}",
+                "median": value,
+                "std": f"std_{i}",
+                "min": f"min_{i}",
+                "max": f"max_{i}",
+            }
+        )
+    return rows_of(df.agg(*aggs), rows)
 
 
 def string_column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(column_name, avg_length, max_length, empty_strings)`` per string column."""
     columns = columns or string_columns(df)
-    aggs = []
+    aggs, rows = [], []
     for i, c in enumerate(columns):
         aggs += [
-            F.avg(F.length(q(c))).alias(f"avg_{i}"),
-            F.max(F.length(q(c))).alias(f"max_{i}"),
-            count_where(q(c) == "").alias(f"empty_{i}"),
+            F.expr(f"avg(length({name(c)}))").alias(f"avg_{i}"),
+            F.expr(f"max(length({name(c)}))").alias(f"max_{i}"),
+            F.expr(f"count_if({name(c)} = '')").alias(f"empty_{i}"),
         ]
-    return rows_of(
-        df.agg(*aggs),
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"avg_{i}").alias("avg_length"),
-                F.col(f"max_{i}").alias("max_length"),
-                F.col(f"empty_{i}").alias("empty_strings"),
-            )
-            for i, c in enumerate(columns)
-        ],
-    )
+        rows.append(
+            {"column_name": text(c), "avg_length": f"avg_{i}", "max_length": f"max_{i}", "empty_strings": f"empty_{i}"}
+        )
+    return rows_of(df.agg(*aggs), rows)
 
 
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
@@ -223,10 +229,7 @@ def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> D
     before the ranks of a column meet in one place.
     """
     columns = columns or df.columns
-    long = rows_of(
-        df,
-        [F.struct(F.lit(c).alias("column_name"), q(c).cast("string").alias("value")) for c in columns],
-    )
+    long = rows_of(df, [{"column_name": text(c), "value": f"CAST({name(c)} AS STRING)"} for c in columns])
     counts = long.where("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
     order = Window.partitionBy("column_name").orderBy(F.desc("frequency"), "value")
     return counts.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
@@ -248,12 +251,10 @@ def pairs(columns: list[str]) -> list[tuple[str, str]]:
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(column1, column2, correlation)`` for each pair, all pairs in one scan."""
 
-    def to_row(a: str, b: str):
-        return lambda total, r: F.struct(
-            F.lit(a).alias("column1"), F.lit(b).alias("column2"), r.alias("correlation")
-        )
+    def fields(a: str, b: str):
+        return lambda r: {"column1": text(a), "column2": text(b), "correlation": r}
 
-    frames = one_scan(df, [(pearson(a, b), to_row(a, b)) for a, b in pairs(columns or numeric_columns(df))])
+    frames = one_scan(df, [(pearson(a, b), fields(a, b)) for a, b in pairs(columns or numeric_columns(df))])
     if not frames:
         return df.sparkSession.createDataFrame([], "column1 string, column2 string, correlation double")
     return union_all(frames)
@@ -262,30 +263,26 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Both directions of every pair; the diagonal is 1, or NULL for a constant column."""
     columns = columns or numeric_columns(df)
+    upper = correlation_pairs(df, columns)
     if len(columns) < 2:
-        return correlation_pairs(df, columns)
-    deviation = [F.stddev_pop(q(c).cast("double")) for c in columns]
+        return upper
+    both = rows_of(
+        upper,
+        [
+            {"column1": "column1", "column2": "column2", "correlation": "correlation"},
+            {"column1": "column2", "column2": "column1", "correlation": "correlation"},
+        ],
+    )
     diagonal = one_scan(
         df,
         [
             (
-                F.when(d > 0, F.lit(1.0)),
-                lambda total, r, c=c: F.struct(
-                    F.lit(c).alias("column1"), F.lit(c).alias("column2"), r.alias("correlation")
-                ),
+                f"CASE WHEN stddev_pop(CAST({name(c)} AS DOUBLE)) > 0 THEN 1D END",
+                lambda r, c=c: {"column1": text(c), "column2": text(c), "correlation": r},
             )
-            for c, d in zip(columns, deviation)
+            for c in columns
         ],
     )
-    upper = correlation_pairs(df, columns)
-    both = upper.select(
-        F.inline(
-            F.array(
-                F.struct("column1", "column2", "correlation"),
-                F.struct(F.col("column2").alias("column1"), F.col("column1").alias("column2"), "correlation"),
-            )
-        )
-    )
     return union_all([both, *diagonal])
 
 
@@ -319,11 +316,11 @@ def column_histogram(df: DataFrame, column: str, buckets: int = 20) -> DataFrame
     frame = rows_of(
         bounds,
         [
-            F.struct(
-                F.lit(i).alias("bucket"),
-                (F.col("low") + (F.col("high") - F.col("low")) * i / buckets).alias("lower"),
-                (F.col("low") + (F.col("high") - F.col("low")) * (i + 1) / buckets).alias("upper"),
-            )
+            {
+                "bucket": str(i),
+                "lower": f"low + (high - low) * {i} / {buckets}",
+                "upper": f"low + (high - low) * {i + 1} / {buckets}",
+            }
             for i in range(buckets)
         ],
     )
@@ -348,32 +345,23 @@ def table_profile(df: DataFrame, median: str = "exact", approximate_distinct: bo
     return profile
 
 
-def _fact(section: str, name: Column | str, value: Column) -> list[Column]:
-    name = F.lit(name) if isinstance(name, str) else name
-    return [F.lit(section).alias("section"), name.alias("name"), value.cast("double").alias("value")]
+def table_assessment(df: DataFrame) -> DataFrame:
+    """Long ``(section, name, value)``: counts, missing values, duplicates, correlations.
 
+    One scan for everything but the duplicates.
+    """
 
-def table_assessment(df: DataFrame) -> DataFrame:
-    """Long ``(section, name, value)``: counts, missing values, duplicates, correlations."""
-    missing = missing_by_column(df)
-    frames = [
-        rows_of(
-            df.agg(F.count(F.lit(1)).alias("n")),
-            [
-                F.struct(*_fact("basic_stats", "row_count", F.col("n"))),
-                F.struct(*_fact("basic_stats", "column_count", F.lit(len(df.columns)))),
-            ],
-        ),
-        missing.select(*_fact("missing_values", F.col("column_name"), F.col("missing"))),
-        duplicate_count(df).select(*_fact("basic_stats", "duplicates", F.col("duplicate_records"))),
+    def fields(section: str, item: str):
+        return lambda v: {"section": text(section), "name": text(item), "value": f"CAST({v} AS DOUBLE)"}
+
+    measures = [
+        ("count(1)", fields("basic_stats", "row_count")),
+        (F.lit(len(df.columns)), fields("basic_stats", "column_count")),
+        *[(f"count_if({name(c)} IS NULL)", fields("missing_values", c)) for c in df.columns],
+        *[(pearson(a, b), fields("correlations", f"{a}~{b}")) for a, b in pairs(numeric_columns(df))],
     ]
-    if len(numeric_columns(df)) > 1:
-        frames.append(
-            correlation_pairs(df).select(
-                *_fact("correlations", F.concat_ws("~", "column1", "column2"), F.col("correlation"))
-            )
-        )
-    return union_all(frames)
+    duplicates = rows_of(duplicate_count(df), [fields("basic_stats", "duplicates")("duplicate_records")])
+    return union_all([*one_scan(df, measures), duplicates])
 
 
 def column_assessment(df: DataFrame, column: str, key: str | None = None) -> DataFrame:
@@ -383,13 +371,7 @@ def column_assessment(df: DataFrame, column: str, key: str | None = None) -> Dat
 
     def facts(frame: DataFrame, section: str, names: list[str]) -> DataFrame:
         return rows_of(
-            frame,
-            [
-                F.struct(
-                    F.lit(section).alias("section"), F.lit(n).alias("name"), F.col(n).cast("string").alias("value")
-                )
-                for n in names
-            ],
+            frame, [{"section": text(section), "name": text(n), "value": f"CAST({n} AS STRING)"} for n in names]
         )
 
     frames = [

@@ -145,8 +145,8 @@ def rule_activity_timeline(rules: DataFrame) -> DataFrame:
     long = rows_of(
         rules,
         [
-            F.struct(F.col("activated_at").alias("ts"), F.lit("activated").alias("activity")),
-            F.struct(F.col("deactivated_at").alias("ts"), F.lit("deactivated").alias("activity")),
+            {"ts": "activated_at", "activity": "'activated'"},
+            {"ts": "deactivated_at", "activity": "'deactivated'"},
         ],
     )
     return (

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from assay.functions.statistics import pearson
 from assay.operators.checks import default_checks
 from assay.operators.profile import duplicate_count, numeric_columns, pairs, q
-from assay.plans.shape import count_where, one_scan, percent, rows_of, union_all
+from assay.plans.shape import count_where, name, one_scan, percent, rows_of, text, union_all
 
 log = logging.getLogger(__name__)
 
@@ -59,9 +59,13 @@ class Rule:
     def on(self, column_name: str, table_name: str = "") -> "Rule":
         return replace(self, column_name=column_name, table_name=table_name or self.table_name)
 
+    @property
+    def violation_sql(self) -> str:
+        """SQL text of a boolean without nulls."""
+        return f"coalesce({self.sql}, {str(self.on_null == 'violation').lower()})"
+
     def violation(self) -> Column:
-        """Boolean column without nulls."""
-        return F.coalesce(F.expr(self.sql), F.lit(self.on_null == "violation"))
+        return F.expr(self.violation_sql)
 
 
 @dataclass(frozen=True)
@@ -123,36 +127,34 @@ def rule_errors(df: DataFrame, rules: list[Rule]) -> dict[int, str]:
     return {i: error for i, error in errors.items() if error is not None}
 
 
-def _to_result(rule):
-    return lambda total, violations: F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.column_name).alias("column_name"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.description).alias("description"),
-        total.alias("total_records"),
-        violations.alias("violations"),
-        percent(total - violations, total, 100.0).alias("compliance_rate"),
-        F.lit(None).cast("string").alias("error"),
-    )
+def _result(rule):
+    return lambda violations: {
+        "rule_id": text(rule.rule_id),
+        "column_name": text(rule.column_name),
+        "severity": text(rule.severity),
+        "description": text(rule.description),
+        "total_records": "_total",
+        "violations": violations,
+        "compliance_rate": percent(f"_total - {violations}", "_total", 100.0),
+        "error": text(None),
+    }
 
 
 def _set_rule_counts(df: DataFrame, rule: SetRule) -> DataFrame:
-    """One row: ``total`` and ``violations``."""
+    """One row: ``_total`` and ``violations``."""
     zero = F.lit(0).cast("bigint")
-    parts = df.agg(F.count(F.lit(1)).alias("total"), zero.alias("violations")).unionByName(
-        rule.violating(df).agg(zero.alias("total"), F.count(F.lit(1)).alias("violations"))
+    parts = df.agg(F.count(F.lit(1)).alias("_total"), zero.alias("violations")).unionByName(
+        rule.violating(df).agg(zero.alias("_total"), F.count(F.lit(1)).alias("violations"))
     )
-    return parts.agg(F.sum("total").alias("total"), F.sum("violations").alias("violations"))
+    return parts.agg(F.sum("_total").alias("_total"), F.sum("violations").alias("violations"))
 
 
 def run_rules(df: DataFrame, rules: list[Rule], set_rules: list[SetRule] = ()) -> DataFrame:
     """One result row per rule: totals, violations, compliance rate in percent, or an error."""
     errors = rule_errors(df, rules)
     good = [r for i, r in enumerate(rules) if i not in errors]
-    frames = one_scan(df, [(count_where(r.violation()), _to_result(r)) for r in good])
-    for rule in set_rules:
-        counts = _set_rule_counts(df, rule)
-        frames.append(rows_of(counts, [_to_result(rule)(F.col("total"), F.col("violations"))]))
+    frames = one_scan(df, [(f"count_if({r.violation_sql})", _result(r)) for r in good])
+    frames += [rows_of(_set_rule_counts(df, rule), [_result(rule)("violations")]) for rule in set_rules]
     bad = [
         (rules[i].rule_id, rules[i].column_name, rules[i].severity, rules[i].description, None, None, None, text)
         for i, text in sorted(errors.items())
@@ -201,18 +203,12 @@ def sample_violations(df: DataFrame, rules: list[Rule], key: str, k: int = 5) ->
     """
     errors = rule_errors(df, rules)
     good = [r for i, r in enumerate(rules) if i not in errors]
-    marks = [
-        F.when(
-            r.violation(),
-            F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                F.lit(r.column_name).alias("column_name"),
-                F.expr(r.column_name or "NULL").cast("string").alias("value"),
-            ),
-        )
+    marks = ", ".join(
+        f"IF({r.violation_sql}, named_struct('rule_id', {text(r.rule_id)}, 'column_name', {text(r.column_name)}, "
+        f"'value', CAST({name(r.column_name) if r.column_name else 'NULL'} AS STRING)), NULL)"
         for r in good
-    ]
-    long = df.select(F.col(key).alias("key"), F.inline(F.array_compact(F.array(*marks))))
+    )
+    long = df.selectExpr(f"{name(key)} AS key", f"inline(array_compact(array({marks})))")
     order = Window.partitionBy("rule_id", "column_name").orderBy("key")
     return long.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
 
@@ -227,49 +223,45 @@ def assessment_run(
     set rules run beside it.
     """
 
-    def to_row(section: str, name: str, column_name: str | None, judged: bool):
-        return lambda total, value: F.struct(
-            F.lit(section).alias("section"),
-            F.lit(name).alias("name"),
-            F.lit(column_name).cast("string").alias("column_name"),
-            (value == 0 if judged else F.lit(None).cast("boolean")).alias("success"),
-            value.cast("double").alias("value"),
-            F.lit(None).cast("string").alias("error"),
-        )
-
-    measures = [(F.count(F.lit(1)), to_row("basic_stats", "row_count", None, False))]
+    def fields(section: str, item: str, column_name: str | None, judged: bool):
+        return lambda v: {
+            "section": text(section),
+            "name": text(item),
+            "column_name": text(column_name),
+            "success": f"{v} = 0" if judged else "CAST(NULL AS BOOLEAN)",
+            "value": f"CAST({v} AS DOUBLE)",
+            "error": text(None),
+        }
+
+    measures = [("count(1)", fields("basic_stats", "row_count", None, False))]
     frames = []
     if column is None:
         measures += [
-            (count_where(q(c).isNull()), to_row("missing_values", "missing", c, False)) for c in df.columns
+            (f"count_if({name(c)} IS NULL)", fields("missing_values", "missing", c, False)) for c in df.columns
         ]
         measures += [
-            (pearson(a, b), to_row("correlations", b, a, False)) for a, b in pairs(numeric_columns(df))
+            (pearson(a, b), fields("correlations", b, a, False)) for a, b in pairs(numeric_columns(df))
         ]
         frames.append(
-            rows_of(
-                duplicate_count(df),
-                [to_row("basic_stats", "duplicates", None, False)(None, F.col("duplicate_records"))],
-            )
+            rows_of(duplicate_count(df), [fields("basic_stats", "duplicates", None, False)("duplicate_records")])
         )
     else:
         rules = [r for r in rules if r.column_name == column]
         set_rules = [r for r in set_rules if r.column_name == column]
         measures += [
-            (count_where(~check.passes(q(column))), to_row("checks", check.name, column, True))
+            (count_where(~check.passes(q(column))), fields("checks", check.name, column, True))
             for check in default_checks(df, column)
         ]
     errors = rule_errors(df, rules)
     measures += [
-        (count_where(r.violation()), to_row("rules", r.rule_id, r.column_name, True))
+        (f"count_if({r.violation_sql})", fields("rules", r.rule_id, r.column_name, True))
         for i, r in enumerate(rules)
         if i not in errors
     ]
     frames += one_scan(df, measures)
     for rule in set_rules:
-        counts = _set_rule_counts(df, rule)
-        row = to_row("rules", rule.rule_id, rule.column_name, True)
-        frames.append(rows_of(counts, [row(F.col("total"), F.col("violations"))]))
+        row = fields("rules", rule.rule_id, rule.column_name, True)
+        frames.append(rows_of(_set_rule_counts(df, rule), [row("violations")]))
     if errors:
         bad = [("rules", rules[i].rule_id, rules[i].column_name, False, None, text) for i, text in errors.items()]
         schema = "section string, name string, column_name string, success boolean, value double, error string"

@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from assay.operators.monitor import monitor_alerts
 from assay.operators.profile import q
-from assay.plans.shape import count_where
+from assay.plans.shape import count_where, name, rows_of, text
 
 WATCHED = ("total_records", "approx_duplicates")
 HISTORY = "dataset string, run_ts timestamp_ntz, metric string, column_name string, value double"
@@ -56,18 +56,12 @@ def windowed_metrics(
 def long_metrics(wide: DataFrame) -> DataFrame:
     """``(dataset, run_ts, metric, column_name, value)`` from the wide form."""
     cells = []
-    for name in wide.columns:
-        if name in ("dataset", "run_ts"):
-            continue
-        metric, _, column = name.partition("__")
-        cells.append(
-            F.struct(
-                F.lit(metric).alias("metric"),
-                F.lit(column or None).cast("string").alias("column_name"),
-                F.col(name).cast("double").alias("value"),
-            )
-        )
-    return wide.select("dataset", "run_ts", F.inline(F.array(*cells)))
+    for measure in wide.columns:
+        if measure not in ("dataset", "run_ts"):
+            metric, _, column = measure.partition("__")
+            value = f"CAST({name(measure)} AS DOUBLE)"
+            cells.append({"metric": text(metric), "column_name": text(column or None), "value": value})
+    return rows_of(wide, cells, keep=["dataset", "run_ts"])
 
 
 def start_stream_monitor(

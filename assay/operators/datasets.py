@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions import predicates as p
-from assay.operators.profile import duplicate_count, missing_above_threshold, q, string_columns
-from assay.plans.shape import count_where, one_scan, text, union_all
+from assay.operators.profile import duplicate_count, q, string_columns
+from assay.plans.shape import count_where, name, one_scan, rows_of, text, union_all
 
 
 def date_columns(df: DataFrame) -> list[str]:
@@ -15,51 +15,45 @@ def date_columns(df: DataFrame) -> list[str]:
     return [c for c in string_columns(df) if "date" in c.lower()]
 
 
-def invalid_counts(df: DataFrame, conditions: dict[tuple[str, str | None], object]) -> DataFrame:
-    """``(check_name, column_name, value)`` for several row conditions in one scan."""
+def _fields(check: str, column: str | None):
+    return lambda v: {"check_name": text(check), "column_name": text(column), "value": f"CAST({v} AS DOUBLE)"}
 
-    def fields(check: str, column: str | None):
-        return lambda v: {"check_name": text(check), "column_name": text(column), "value": f"CAST({v} AS DOUBLE)"}
 
-    return union_all(one_scan(df, [(count_where(condition), fields(*key)) for key, condition in conditions.items()]))
+def _date_measures(df: DataFrame) -> list:
+    return [(count_where(~p.is_date(q(c))), _fields("invalid_dates", c)) for c in date_columns(df)]
 
 
 def invalid_dates(df: DataFrame) -> DataFrame:
-    """Non-null values that are no real date, per date column; empty if there is none."""
-    conditions = {("invalid_dates", c): ~p.is_date(q(c)) for c in date_columns(df)}
-    if not conditions:
+    """``(check_name, column_name, value)``: non-null values that are no real date, per date column."""
+    measures = _date_measures(df)
+    if not measures:
         return df.sparkSession.createDataFrame([], "check_name string, column_name string, value double")
-    return invalid_counts(df, conditions)
+    return union_all(one_scan(df, measures))
 
 
 def quality_checks(data: dict[str, DataFrame], threshold: float = 0.1) -> DataFrame:
     """``(dataset, check_name, column_name, value)`` for every dataset.
 
     Missing ratios above the threshold, duplicate rows and invalid dates for all datasets,
-    e-mail and NINO format for ``people``. Per dataset: one scan for the masks, one for the
-    missing values and one shuffle for the duplicates.
+    e-mail and NINO format for ``people``. Per dataset: one scan for all row measures and
+    one shuffle for the duplicates.
     """
     frames = []
-    for name, df in data.items():
+    for dataset, df in data.items():
+        measures = [
+            (f"try_divide(count_if({name(c)} IS NULL), count(1))", _fields("missing_values", c)) for c in df.columns
+        ]
+        measures += _date_measures(df)
+        if dataset == "people":
+            for check, column, valid in (("invalid_emails", "email", p.is_email), ("invalid_ninos", "nino", p.is_nino)):
+                if column in df.columns:
+                    measures.append((count_where(~p.null_fails(valid(q(column)))), _fields(check, column)))
+        rows = union_all(one_scan(df, measures))
         parts = [
-            missing_above_threshold(df, threshold).select(
-                F.lit("missing_values").alias("check_name"), "column_name", F.col("ratio").alias("value")
-            ),
-            duplicate_count(df).select(
-                F.lit("duplicates").alias("check_name"),
-                F.lit(None).cast("string").alias("column_name"),
-                F.col("duplicate_records").cast("double").alias("value"),
-            ),
+            rows.where((F.col("check_name") != "missing_values") | (F.col("value") > threshold)),
+            rows_of(duplicate_count(df), [_fields("duplicates", None)("duplicate_records")]),
         ]
-        conditions = {("invalid_dates", c): ~p.is_date(q(c)) for c in date_columns(df)}
-        if name == "people":
-            if "email" in df.columns:
-                conditions["invalid_emails", "email"] = ~p.null_fails(p.is_email(q("email")))
-            if "nino" in df.columns:
-                conditions["invalid_ninos", "nino"] = ~p.null_fails(p.is_nino(q("nino")))
-        if conditions:
-            parts.append(invalid_counts(df, conditions))
-        frames += [part.withColumn("dataset", F.lit(name)) for part in parts]
+        frames += [part.withColumn("dataset", F.lit(dataset)) for part in parts]
     return union_all(frames).select("dataset", "check_name", "column_name", "value")
 
 
@@ -74,8 +68,8 @@ class CheckSuite:
     def __init__(self) -> None:
         self._checks: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
-    def add_quality_check(self, name: str, check: Callable[[DataFrame], DataFrame]) -> "CheckSuite":
-        self._checks[name] = check
+    def add_quality_check(self, title: str, check: Callable[[DataFrame], DataFrame]) -> "CheckSuite":
+        self._checks[title] = check
         return self
 
     def run_quality_checks(self, df: DataFrame) -> DataFrame:
@@ -83,5 +77,5 @@ class CheckSuite:
         if not self._checks:
             raise ValueError("no checks registered")
         return union_all(
-            [check(df).select(F.lit(name).alias("quality_check"), "*") for name, check in self._checks.items()]
+            [check(df).select(F.lit(title).alias("quality_check"), "*") for title, check in self._checks.items()]
         )

@@ -48,14 +48,31 @@ def sequential_ninos(df: DataFrame, nino: str = "nino") -> DataFrame:
 
 
 def nino_fraud_flags(df: DataFrame, nino: str = "nino", key: str = "id", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(key, pattern)``: one row per record and suspicious pattern."""
+    """``(key, pattern)``: one row per record and suspicious pattern.
+
+    The table is read once for the counts per number, which also give the set of
+    predecessors, and once to mark its rows.
+    """
     slim = df.select(key, nino)
-    found = {
-        "invalid_format": invalid_ninos(slim, nino),
-        "duplicates": shared_ninos(slim, nino, key, hot_rows),
-        "sequential_numbers": sequential_ninos(slim, nino),
-    }
-    return union_all([rows.select(key, F.lit(name).alias("pattern")) for name, rows in found.items()])
+    counts = slim.groupBy(nino).agg(F.count(F.lit(1)).alias("_n"))
+    shared = counts.where((F.col("_n") > 1) & q(nino).isNotNull()).select(nino, F.lit(True).alias("_shared"))
+    predecessors = (
+        counts.select((_digits(nino) - 1).alias("_number"))
+        .where("_number IS NOT NULL")
+        .distinct()
+        .withColumn("_sequential", F.lit(True))
+    )
+    marked = salted_join(
+        slim.withColumn("_number", _digits(nino)), shared, [nino], [key], "left", counts=counts, hot_rows=hot_rows
+    ).join(F.broadcast(predecessors), "_number", "left")
+    patterns = F.array_compact(
+        F.array(
+            F.when(~p.null_fails(p.is_nino(q(nino))), "invalid_format"),
+            F.when(F.col("_shared"), "duplicates"),
+            F.when(F.col("_sequential"), "sequential_numbers"),
+        )
+    )
+    return marked.select(key, F.explode(patterns).alias("pattern"))
 
 
 def cross_reference(
@@ -69,29 +86,26 @@ def cross_reference(
     """``(key, on, finding)`` for records the external source does not confirm.
 
     ``unknown`` if the identifier does not occur there, ``mismatch`` if it does but never with
-    the same attribute (null equals null). The external side is reduced to distinct values
-    first, so a repeated identifier cannot multiply rows.
+    the same attribute (null equals null). Both sides are first combined to distinct pairs of
+    identifier and attribute, so a repeated pair is one row; only the unconfirmed pairs then
+    meet the records again.
     """
     mine = df.select(key, on, attribute).where(q(on).isNotNull())
+    theirs = external.select(on, attribute).where(q(on).isNotNull())
     pairs = (
-        external.select(on, attribute)
-        .where(q(on).isNotNull())
+        mine.select(on, attribute, F.lit(1).alias("_mine"), F.lit(0).alias("_theirs"))
+        .unionByName(theirs.select(on, attribute, F.lit(0).alias("_mine"), F.lit(1).alias("_theirs")))
         .groupBy(on, attribute)
-        .agg(F.lit(True).alias("_same"))
+        .agg(F.sum("_mine").alias("_n"), F.max("_theirs").alias("_theirs"))
     )
-    known = pairs.groupBy(on).agg(F.lit(True).alias("_known"))
-    looked_up = salted_join(mine, known, [on], [key], "left", hot_rows=hot_rows)
-    unknown = looked_up.where("_known IS NULL").select(key, on, F.lit("unknown").alias("finding"))
-    unconfirmed = salted_join(
-        looked_up.where("_known").drop("_known"),
-        pairs.drop("_same"),
-        [on, attribute],
-        [key],
-        "left_anti",
-        null_safe=True,
-        hot_rows=hot_rows,
-    )
-    return unknown.unionByName(unconfirmed.select(key, on, F.lit("mismatch").alias("finding")))
+    unconfirmed = pairs.where("_n > 0 AND _theirs = 0")
+    known = pairs.groupBy(on).agg(F.max("_theirs").alias("_known")).where("_known = 1")
+    judged = salted_join(
+        unconfirmed.select(on, attribute), known, [on], [attribute], "left", hot_rows=hot_rows
+    ).select(on, attribute, F.when(F.col("_known") == 1, "mismatch").otherwise("unknown").alias("finding"))
+    return salted_join(
+        mine, judged, [on, attribute], [key], null_safe=True, counts=unconfirmed, hot_rows=hot_rows
+    ).select(key, on, "finding")
 
 
 # --- time -----------------------------------------------------------------------------------

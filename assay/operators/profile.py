@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.functions.statistics import exact_medians, pearson
-from assay.plans.shape import count_where, name, one_scan, rows_of, text, union_all
+from assay.plans.shape import COLUMNS_PER_PASS, PAIRS_PER_PASS, count_where, name, one_scan, rows_of, text, union_all
 from assay.plans.skew import HOT_ROWS, salted_join
 
 # Bytes of the fixed-width types.
@@ -177,49 +177,63 @@ def numeric_column_stats(
     counting passes (see ``exact_medians``).
     """
     columns = columns or numeric_columns(df)
-    exact = exact_medians(df, columns, exact_limit) if median == "exact" else {}
-    aggs, rows = [], []
-    for i, c in enumerate(columns):
-        v = f"CAST({name(c)} AS DOUBLE)"
-        middle = exact.get(c)
-        aggs += [
-            F.expr(f"avg({v})").alias(f"mean_{i}"),
-            F.expr(f"stddev_samp({v})").alias(f"std_{i}"),
-            F.expr(f"min({v})").alias(f"min_{i}"),
-            F.expr(f"max({v})").alias(f"max_{i}"),
-        ]
-        if median != "exact":
-            aggs.append(F.expr(f"percentile_approx({v}, 0.5, 10000)").alias(f"median_{i}"))
-            value = f"median_{i}"
-        else:
-            value = "CAST(NULL AS DOUBLE)" if middle is None else f"CAST({text(repr(middle))} AS DOUBLE)"
-        rows.append(
-            {
-                "column_name": text(c),
-                "mean": f"mean_{i}",
-                "median": value,
-                "std": f"std_{i}",
-                "min": f"min_{i}",
-                "max": f"max_{i}",
-            }
+    exact = exact_medians(df, columns, exact_limit) if median == "exact" else None
+    return _per_column(df, columns, lambda c, i: _numeric_parts(c, i, exact))
+
+
+def _per_column(df: DataFrame, columns: list[str], parts) -> DataFrame:
+    """One row per column from ``parts(column, position)`` = (aggregates, output fields).
+
+    Columns share a scan, up to the number that generated code can hold; each scan reads
+    its own columns only.
+    """
+    frames = []
+    for start in range(0, len(columns), COLUMNS_PER_PASS):
+        chunk = columns[start : start + COLUMNS_PER_PASS]
+        planned = [parts(c, i) for i, c in enumerate(chunk)]
+        values = df.agg(F.count(F.lit(1)).alias("total"), *[a for aggs, _ in planned for a in aggs])
+        frames.append(
+            rows_of(values, [{"column_name": text(c), **fields} for c, (_, fields) in zip(chunk, planned)])
         )
-    return rows_of(df.agg(*aggs), rows)
+    return union_all(frames)
+
+
+NUMERIC_FIELDS = ["mean", "median", "std", "min", "max"]
+
+
+def _numeric_parts(column: str, i: int, exact: dict[str, float | None] | None) -> tuple[list[Column], dict[str, str]]:
+    """Aggregates and output fields of a numeric column; the median is approximate without ``exact``."""
+    v = f"CAST({name(column)} AS DOUBLE)"
+    aggs = {
+        f"mean_{i}": f"avg({v})",
+        f"std_{i}": f"stddev_samp({v})",
+        f"min_{i}": f"min({v})",
+        f"max_{i}": f"max({v})",
+    }
+    fields = {field: f"{field}_{i}" for field in NUMERIC_FIELDS}
+    if exact is None:
+        aggs[f"median_{i}"] = f"percentile_approx({v}, 0.5, 10000)"
+    else:
+        middle = exact[column]
+        fields["median"] = f"CAST({'NULL' if middle is None else text(repr(middle))} AS DOUBLE)"
+    return [F.expr(agg).alias(alias) for alias, agg in aggs.items()], fields
+
+
+def _string_parts(column: str, i: int) -> tuple[list[Column], dict[str, str]]:
+    """Aggregates and output fields of a string column."""
+    aggs = {
+        f"avg_{i}": f"avg(length({name(column)}))",
+        f"longest_{i}": f"max(length({name(column)}))",
+        f"empty_{i}": f"count_if({name(column)} = '')",
+    }
+    fields = {"avg_length": f"avg_{i}", "max_length": f"longest_{i}", "empty_strings": f"empty_{i}"}
+    return [F.expr(agg).alias(alias) for alias, agg in aggs.items()], fields
 
 
 def string_column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(column_name, avg_length, max_length, empty_strings)`` per string column."""
     columns = columns or string_columns(df)
-    aggs, rows = [], []
-    for i, c in enumerate(columns):
-        aggs += [
-            F.expr(f"avg(length({name(c)}))").alias(f"avg_{i}"),
-            F.expr(f"max(length({name(c)}))").alias(f"max_{i}"),
-            F.expr(f"count_if({name(c)} = '')").alias(f"empty_{i}"),
-        ]
-        rows.append(
-            {"column_name": text(c), "avg_length": f"avg_{i}", "max_length": f"max_{i}", "empty_strings": f"empty_{i}"}
-        )
-    return rows_of(df.agg(*aggs), rows)
+    return _per_column(df, columns, _string_parts)
 
 
 def top_values(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
@@ -249,12 +263,13 @@ def pairs(columns: list[str]) -> list[tuple[str, str]]:
 
 
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``(column1, column2, correlation)`` for each pair, all pairs in one scan."""
+    """``(column1, column2, correlation)`` for each pair, several pairs per scan."""
 
     def fields(a: str, b: str):
         return lambda r: {"column1": text(a), "column2": text(b), "correlation": r}
 
-    frames = one_scan(df, [(pearson(a, b), fields(a, b)) for a, b in pairs(columns or numeric_columns(df))])
+    measures = [(pearson(a, b), fields(a, b)) for a, b in pairs(columns or numeric_columns(df))]
+    frames = one_scan(df, measures, PAIRS_PER_PASS)
     if not frames:
         return df.sparkSession.createDataFrame([], "column1 string, column2 string, correlation double")
     return union_all(frames)
@@ -263,27 +278,23 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Both directions of every pair; the diagonal is 1, or NULL for a constant column."""
     columns = columns or numeric_columns(df)
-    upper = correlation_pairs(df, columns)
     if len(columns) < 2:
-        return upper
+        return correlation_pairs(df, columns)
+
+    def fields(a: str, b: str):
+        return lambda r: {"column1": text(a), "column2": text(b), "correlation": r}
+
+    measures = [(pearson(a, b), fields(a, b)) for a, b in pairs(columns)]
+    measures += [(f"CASE WHEN stddev_pop(CAST({name(c)} AS DOUBLE)) > 0 THEN 1D END", fields(c, c)) for c in columns]
+    half = union_all(one_scan(df, measures, PAIRS_PER_PASS))
     both = rows_of(
-        upper,
+        half,
         [
-            {"column1": "column1", "column2": "column2", "correlation": "correlation"},
-            {"column1": "column2", "column2": "column1", "correlation": "correlation"},
+            {"column1": "column1", "column2": "column2", "correlation": "correlation", "mirrored": "false"},
+            {"column1": "column2", "column2": "column1", "correlation": "correlation", "mirrored": "true"},
         ],
     )
-    diagonal = one_scan(
-        df,
-        [
-            (
-                f"CASE WHEN stddev_pop(CAST({name(c)} AS DOUBLE)) > 0 THEN 1D END",
-                lambda r, c=c: {"column1": text(c), "column2": text(c), "correlation": r},
-            )
-            for c in columns
-        ],
-    )
-    return union_all([both, *diagonal])
+    return both.where("NOT mirrored OR column1 <> column2").drop("mirrored")
 
 
 def strength(correlation: Column) -> Column:
@@ -330,26 +341,48 @@ def column_histogram(df: DataFrame, column: str, buckets: int = 20) -> DataFrame
 # --- bundles ----------------------------------------------------------------------------------
 
 
-def table_profile(df: DataFrame, median: str = "exact", approximate_distinct: bool = False) -> DataFrame:
-    """One row per column: type, class, missing, distinct, numeric and string measures."""
-    types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
-    classes = F.create_map(*[F.lit(x) for c in df.columns for x in (c, column_class(df, c))])
-    profile = missing_by_column(df).withColumns(
-        {"dtype": types[F.col("column_name")], "column_class": classes[F.col("column_name")]}
+def table_profile(
+    df: DataFrame, median: str = "exact", approximate_distinct: bool = False, exact_limit: int = 1_000_000
+) -> DataFrame:
+    """One row per column: type, class, missing, distinct, numeric and string measures.
+
+    Each column is read once for everything but its distinct count, which needs a shuffle of
+    its own, and its exact median, which is located beforehand.
+    """
+    exact = exact_medians(df, numeric_columns(df), exact_limit) if median == "exact" else None
+    blank_numbers = dict.fromkeys(NUMERIC_FIELDS, "CAST(NULL AS DOUBLE)")
+    blank_strings = {
+        "avg_length": "CAST(NULL AS DOUBLE)",
+        "max_length": "CAST(NULL AS INT)",
+        "empty_strings": "CAST(NULL AS BIGINT)",
+    }
+    types = dict(df.dtypes)
+
+    def parts(column: str, i: int):
+        kind = column_class(df, column)
+        fields = {
+            "dtype": text(types[column]),
+            "column_class": text(kind),
+            "missing": f"missing_{i}",
+            "total": "total",
+            "ratio": f"try_divide(CAST(missing_{i} AS DOUBLE), total)",
+            **blank_numbers,
+            **blank_strings,
+        }
+        aggs, own = [], {}
+        if kind == "numeric":
+            aggs, own = _numeric_parts(column, i, exact)
+        elif kind == "string":
+            aggs, own = _string_parts(column, i)
+        return [F.expr(f"count_if({name(column)} IS NULL)").alias(f"missing_{i}"), *aggs], fields | own
+
+    return _per_column(df, df.columns, parts).join(
+        distinct_by_column(df, approximate=approximate_distinct), "column_name"
     )
-    profile = profile.join(distinct_by_column(df, approximate=approximate_distinct), "column_name")
-    if numeric_columns(df):
-        profile = profile.join(numeric_column_stats(df, median=median), "column_name", "left")
-    if string_columns(df):
-        profile = profile.join(string_column_stats(df), "column_name", "left")
-    return profile
 
 
 def table_assessment(df: DataFrame) -> DataFrame:
-    """Long ``(section, name, value)``: counts, missing values, duplicates, correlations.
-
-    One scan for everything but the duplicates.
-    """
+    """Long ``(section, name, value)``: counts, missing values, duplicates, correlations."""
 
     def fields(section: str, item: str):
         return lambda v: {"section": text(section), "name": text(item), "value": f"CAST({v} AS DOUBLE)"}
@@ -358,10 +391,10 @@ def table_assessment(df: DataFrame) -> DataFrame:
         ("count(1)", fields("basic_stats", "row_count")),
         (F.lit(len(df.columns)), fields("basic_stats", "column_count")),
         *[(f"count_if({name(c)} IS NULL)", fields("missing_values", c)) for c in df.columns],
-        *[(pearson(a, b), fields("correlations", f"{a}~{b}")) for a, b in pairs(numeric_columns(df))],
     ]
+    related = [(pearson(a, b), fields("correlations", f"{a}~{b}")) for a, b in pairs(numeric_columns(df))]
     duplicates = rows_of(duplicate_count(df), [fields("basic_stats", "duplicates")("duplicate_records")])
-    return union_all([*one_scan(df, measures), duplicates])
+    return union_all([*one_scan(df, measures), *one_scan(df, related, PAIRS_PER_PASS), duplicates])
 
 
 def column_assessment(df: DataFrame, column: str, key: str | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Rule engine: rules are SQL predicates that are true for violating rows.
 
-All row rules of a table are compiled into one aggregate, so a table is scanned once
-however many rules it has. A rule that cannot be analysed, or is no boolean, becomes a
+Row rules of a table are compiled into shared aggregates, so one scan serves dozens of
+rules and reads only the columns they use. A rule that cannot be analysed, or is no boolean, becomes a
 result row with an error and leaves the others alone.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from assay.functions.statistics import pearson
 from assay.operators.checks import default_checks
 from assay.operators.profile import duplicate_count, numeric_columns, pairs, q
-from assay.plans.shape import count_where, name, one_scan, percent, rows_of, text, union_all
+from assay.plans.shape import PAIRS_PER_PASS, count_where, name, one_scan, percent, rows_of, text, union_all
 
 log = logging.getLogger(__name__)
 
@@ -54,7 +54,7 @@ class Rule:
 
     @property
     def sql(self) -> str:
-        return self.predicate.replace("table_name", self.table_name).replace("column_name", self.column_name)
+        return self.predicate.replace("table_name", self.table_name).replace("column_name", name(self.column_name))
 
     def on(self, column_name: str, table_name: str = "") -> "Rule":
         return replace(self, column_name=column_name, table_name=table_name or self.table_name)
@@ -219,8 +219,8 @@ def assessment_run(
     """Long ``(section, name, column_name, success, value, error)`` for a table or one column.
 
     A table gets its summary with correlations, a column its default checks; both get all
-    their rules. Everything that looks at single rows shares one scan; only duplicates and
-    set rules run beside it.
+    their rules. Whatever looks at single rows shares a scan, as far as generated code allows;
+    correlations, duplicates and set rules run beside it.
     """
 
     def fields(section: str, item: str, column_name: str | None, judged: bool):
@@ -239,9 +239,10 @@ def assessment_run(
         measures += [
             (f"count_if({name(c)} IS NULL)", fields("missing_values", "missing", c, False)) for c in df.columns
         ]
-        measures += [
+        related = [
             (pearson(a, b), fields("correlations", b, a, False)) for a, b in pairs(numeric_columns(df))
         ]
+        frames += one_scan(df, related, PAIRS_PER_PASS)
         frames.append(
             rows_of(duplicate_count(df), [fields("basic_stats", "duplicates", None, False)("duplicate_records")])
         )

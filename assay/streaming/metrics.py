@@ -80,17 +80,18 @@ def start_stream_monitor(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # Written once and read back, so the stateful part of the batch is not evaluated again.
         spark = batch.sparkSession
         own = f"{history_path}/batch_id={batch_id}"
         long_metrics(batch).write.mode("overwrite").parquet(own)
+        runs = spark.read.schema(HISTORY).parquet(own).select("dataset", "run_ts").distinct()
+        if runs.isEmpty():
+            return
         history = (
             spark.read.schema(f"{HISTORY}, batch_id bigint")
             .parquet(history_path)
             .where(F.col("batch_id") <= batch_id)
         )
-        runs = spark.read.schema(HISTORY).parquet(own).select("dataset", "run_ts").distinct()
         monitor_alerts(history.drop("batch_id"), threshold, WATCHED).join(
             runs, ["dataset", "run_ts"], "left_semi"
         ).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")

@@ -37,6 +37,13 @@ def test_rule_validation_and_null_policy(df):
         ru.Rule("x", "true", on_null="maybe")
 
 
+def test_column_names_are_quoted(spark):
+    odd = spark.createDataFrame([(1,), (None,)], "`years of age.x` int")
+    row = ru.run_rules(odd, [PACK["dq1"].on("years of age.x")]).first()
+    assert (row["column_name"], row["violations"]) == ("years of age.x", 1)
+    assert rows(ru.sample_violations(odd.withColumn("k", F.lit(1)), [PACK["dq1"].on("years of age.x")], "k").select("value")) == [(None,)]
+
+
 def test_empty_table_complies(df):
     got = ru.run_rules(df.limit(0), [PACK["ppl_001"].on("age")]).first()
     assert (got["total_records"], got["violations"], got["compliance_rate"]) == (0, 0, 100.0)

@@ -23,6 +23,14 @@ RADIUS = (SLACK + 1) * BLOCKS - 1
 MOST_HELD = 4_000_000
 
 
+def once(column: Column) -> Column:
+    """``column`` worked out once per row: the optimizer copies no expression past a generator.
+
+    Without it, a list used inside a lambda would be made anew for every element.
+    """
+    return F.explode(F.array(column))
+
+
 def words(text: str) -> Column:
     """Lower-case words; punctuation and blanks only separate them. Null: none."""
     parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{M}\p{N}]+")
@@ -82,11 +90,11 @@ def similarity(a: Column, b: Column) -> Column:
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """``item_id, n_words, k, shingles, fingerprint`` of items with words; short items have one shingle."""
-    split = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words("text").alias("w"))
+    split = benchmark.select(F.col("item_id").cast("long").alias("item_id"), once(words("text")).alias("w"))
     sized = split.where(F.size("w") > 0).withColumn("n_words", F.size("w")).withColumn(
         "k", F.least("n_words", F.lit(SHINGLE))
     )
-    listed = sized.withColumn("shingles", shingles(F.col("w"), F.col("k"))).drop("w")
+    listed = sized.select("item_id", "n_words", "k", once(shingles(F.col("w"), F.col("k"))).alias("shingles"))
     return listed.withColumn("fingerprint", simhash(F.col("shingles")))
 
 
@@ -115,7 +123,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     items = saved(benchmark_items(benchmark).distinct(), "items")
     sizes = {r.k: r.n for r in items.groupBy("k").agg(F.sum(F.size("shingles")).alias("n")).collect()}
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    split = narrow.select("doc_id", words("text").alias("w"))
+    split = narrow.select("doc_id", once(words("text")).alias("w"))
     schema = "doc_id long, item_id long, similarity double"
     found = docs.sparkSession.createDataFrame([], schema)
     for k, held in sorted(sizes.items()):
@@ -129,7 +137,7 @@ def _matched(split: DataFrame, spans: DataFrame, items: DataFrame, k: int, held:
     few = small_side(spans, spans.count(), 100_000)
     texts = split.join(few, "doc_id").select("doc_id", "w", F.explode("spans").alias("span"))
     window = F.slice("w", F.col("span.start") + 1, F.col("span.n_words"))
-    windows = texts.select("doc_id", "span.n_words", window.alias("w")).where(F.size("w") >= k)
+    windows = texts.select("doc_id", "span.n_words", once(window).alias("w")).where(F.size("w") >= k)
     listed = windows.select("doc_id", "n_words", shingles(F.col("w"), F.lit(k)).alias("listed")).distinct()
     # One row per distinct window text: copies of a document need one look only.
     held_by = saved(listed.withColumn("fingerprint", simhash(F.col("listed"))), "windows")

@@ -98,7 +98,7 @@ WITH sized AS (
             WHERE 2.0 * b.source_size / b.w >= 2.0 * a.source_size / a.w) AS level
   FROM ranked a
 ), stands AS (
-  SELECT min(level) AS level FROM levels WHERE 2.0 * source_size > level * w
+  SELECT arg_min(level, 2.0 * source_size / w) AS level FROM levels WHERE 2.0 * source_size > level * w
 ), targets AS (
   SELECT r.source, r.source_size,
          CASE WHEN s.level IS NULL OR 2.0 * r.source_size <= s.level * r.w

@@ -33,9 +33,8 @@ def sort_key(doc_id: Column, text: Column) -> Column:
 
 
 def _prefix(bits: int) -> Column:
-    """The upper ``bits`` of the key as a number from 0."""
-    shifted = F.shiftright("key", KEY_BITS - bits)
-    return shifted + F.lit(1 << (bits - 1))
+    """The upper ``bits`` of the key, with its sign."""
+    return F.shiftright("key", KEY_BITS - bits)
 
 
 class Ranges:
@@ -49,14 +48,14 @@ class Ranges:
         # [first key, bits of the prefix, prefix, bytes, rows], in order of keys
         self.found: list[tuple[int, int, int, int, int]] = []
 
-    def count(self, bits: int, within: list[int] | None) -> list[tuple[int, int, int, int, int]]:
-        """Bytes and rows between the probes of one round; ``within``: prefixes of the round before."""
+    def count(self, bits: int, within: list[int] | None, step: int = 0) -> list[tuple[int, int, int, int, int]]:
+        """Bytes and rows between the probes of one round; ``within``: prefixes shorter by ``step`` bits."""
         rows = self.keys.withColumn("probe", _prefix(bits))
         if within is not None:
             gaps = self.keys.sparkSession.createDataFrame([(p,) for p in within], "gap long")
-            rows = rows.join(F.broadcast(gaps), F.shiftright("probe", MORE_BITS) == F.col("gap"), "left_semi")
+            rows = rows.join(F.broadcast(gaps), F.shiftright("probe", step) == F.col("gap"), "left_semi")
         counted = rows.groupBy("probe").agg(F.sum("size"), F.count("size")).collect()
-        return [((p << (KEY_BITS - bits)) - (1 << 63), bits, p, b, n) for p, b, n in counted]
+        return [(p << (KEY_BITS - bits), bits, p, b, n) for p, b, n in counted]
 
     def refine(self) -> None:
         """Count until no boundary lies in a wide gap and no gap is heavy.
@@ -78,8 +77,9 @@ class Ranges:
                 break
             divided = set(open_gaps)
             ranges = [r for r in ranges if not (r[1] == bits and r[2] in divided)]
-            bits = min(KEY_BITS, bits + MORE_BITS)
-            ranges += self.count(bits, open_gaps)
+            step = min(MORE_BITS, KEY_BITS - bits)
+            bits += step
+            ranges += self.count(bits, open_gaps, step)
         self.found = ranges
 
     def splits(self, low: float, high: float) -> bool:

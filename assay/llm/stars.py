@@ -2,10 +2,11 @@
 
 Rows that share a key are candidates of each other, and a key may be shared by very many. In each
 round every key compares its rows with one of them only, the leader. The first leaders are those
-that share most with others, as the original of many copies does; later ones are those whose
-comparisons so far succeeded most often. A key is done when all its rows are in one component, and
-the search ends when a round finds no further link. Work per round grows with the number of rows
-under keys, whatever the size of a group.
+that share most with others, as the original of many copies does, and each row meets the best of
+the leaders of its keys; later leaders are those whose comparisons so far succeeded most often, and
+rows meet all of them that aren't in their component yet. A key is done when all its rows are in
+one component, and the search ends when a round finds no further link. Work per round grows with
+the number of rows under keys, whatever the size of a group.
 """
 
 import logging
@@ -22,18 +23,22 @@ log = logging.getLogger(__name__)
 
 def _leaders(members: DataFrame, rank: DataFrame, led: DataFrame | None) -> DataFrame:
     """``key, leader``: per key the row of highest rank that has not led it before."""
-    standing = members.join(rank, "node")
+    standing = members.join(rank, "node", "left").withColumn("rank", F.coalesce("rank", F.lit(0.5)))
     if led is not None:
         standing = standing.join(led, ["key", "node"], "left_anti")
-    # Equal ranks: another row for each key, so that a chance miss isn't repeated in all keys.
-    order = F.struct("rank", F.xxhash64("key", "node"), "node")
-    return standing.groupBy("key").agg(F.max(order).alias("top")).select("key", F.col("top.node").alias("leader"))
+    top = standing.groupBy("key").agg(F.max(F.struct("rank", "node")).alias("top"))
+    return top.select("key", F.col("top.node").alias("leader"), F.col("top.rank").alias("leader_rank"))
 
 
 def _pairs(members: DataFrame, leaders: DataFrame, apart: bool) -> DataFrame:
-    """``a < b``: each row with the leaders of its keys; ``apart``: only across components."""
-    joined = members.join(leaders, "key").where("node <> leader")
-    if apart:
+    """``a < b``: each row with the best of its keys' leaders; ``apart``: with all in other components."""
+    joined = members.join(leaders, "key")
+    if not apart:
+        # A row that leads some key itself still meets a better leader of another key.
+        best = joined.groupBy("node").agg(F.max(F.struct("leader_rank", "leader")).alias("top"))
+        joined = best.select("node", F.col("top.leader").alias("leader")).where("node <> leader")
+    else:
+        joined = joined.where("node <> leader")
         homes = members.select("key", F.col("node").alias("leader"), F.col("component").alias("home"))
         joined = joined.join(homes, ["key", "leader"]).where("component <> home")
     return joined.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
@@ -59,10 +64,9 @@ def star_components(
         result = saved(verify(saved(pairs, "pairs")), "verified")
         found = result.where("similar").count()
         log.info("round of stars: %d new links", found)
-        if tried is not None and not found:
-            break
-        tried = result if tried is None else tried.unionByName(result)
-        if not found:
+        first_round = tried is None
+        tried = result if first_round else tried.unionByName(result)
+        if not found and not first_round:
             break
         components = saved(
             connected_components(tried.where("similar").select(F.col("a").alias("src"), F.col("b").alias("dst"))),
@@ -72,8 +76,10 @@ def star_components(
         now = now.withColumn("component", F.coalesce("component", "node"))
         still = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         members = saved(now.join(still.where("x <> y").select("key"), "key", "left_semi"), "members")
-        done = leaders.select("key", F.col("leader").alias("node"))
-        led = done if led is None else led.unionByName(done)
+        if not first_round:
+            # In the first round a leader hasn't met all rows of its keys yet.
+            done = leaders.select("key", F.col("leader").alias("node"))
+            led = done if led is None else led.unionByName(done)
         ends = tried.select(F.explode(F.array("a", "b")).alias("node"), F.col("similar").cast("int").alias("hit"))
         rank = ends.groupBy("node").agg(((F.sum("hit") + 1) / (F.count("hit") + 2)).alias("rank"))
     return components, tried

@@ -22,6 +22,8 @@ from assay.llm.common import table
 WORD = re.compile(r"\w+")
 BITS = 22
 KNOWN_WORDS = 500_000
+#: Log odds of any text if nothing was learned.
+NO_LABELS = -2.2
 
 
 class Features:
@@ -71,7 +73,7 @@ class Ftrl:
         rows = [np.unique(features.of(text)).astype(np.int32) for text in texts]
         z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
         prior = (sum(labels) + 0.5) / (len(labels) + 5)
-        bias = bias_start = float(np.log(prior / (1 - prior)))
+        bias = float(np.log(prior / (1 - prior)))
         bias_n = 0.0
         for _ in range(self.epochs):
             for x, y in zip(rows, labels, strict=True):
@@ -85,7 +87,7 @@ class Ftrl:
                 bias -= self.alpha / (self.beta + np.sqrt(bias_n)) * g
         w = self.weights(z, n)
         used = np.flatnonzero(w)
-        return used, w[used], float(bias if len(rows) else bias_start)
+        return used, w[used], float(bias)
 
     def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
         shrunk = np.sign(z) * np.maximum(np.abs(z) - self.l1, 0)
@@ -132,7 +134,8 @@ def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
     per coordinate of the hash space, so every task can hold them.
     """
     rows = weights.toPandas()
-    bias = float(rows.loc[rows.coordinate < 0, "weight"].sum())
+    # Without any labelled row there is no constant term either: nothing counts as toxic.
+    bias = float(rows.loc[rows.coordinate < 0, "weight"].sum()) if (rows.coordinate < 0).any() else NO_LABELS
     kept = rows[rows.coordinate >= 0]
     shared = docs.sparkSession.sparkContext.broadcast(
         (kept.coordinate.to_numpy(dtype=np.int64), kept.weight.to_numpy(dtype=float))

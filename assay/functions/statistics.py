@@ -23,21 +23,21 @@ class _Search:
     rank: int
     low: float
     high: float
-    count: int
 
 
 def exact_medians(
-    df: DataFrame, columns: list[str], exact_limit: int = 1_000_000, bins: int = 4096
+    df: DataFrame, columns: list[str], bins: int = 4096
 ) -> dict[str, float | None]:
-    """Exact median of each column without gathering the column anywhere.
+    """Exact median of each column without gathering the column anywhere; NaN counts as missing.
 
-    A column with at most ``exact_limit`` values is sorted in one bounded buffer. Otherwise the value range is cut into ``bins`` equal parts,
-    rows are counted per part, and the search goes on in the part that holds the wanted
-    rank. One pass serves all columns and brings back at most ``bins`` counts per column.
+    The value range is cut into ``bins`` equal parts, rows are counted per part, and the search
+    goes on in the part that holds the wanted rank. One pass serves all columns and brings back at
+    most ``bins`` counts per column.
     """
     if not columns:
         return {}
-    value = {c: F.col(name(c)).cast("double") for c in columns}
+    doubles = {c: F.col(name(c)).cast("double") for c in columns}
+    value = {c: F.when(~F.isnan(v), v) for c, v in doubles.items()}
     bounds = df.agg(
         *[
             F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(c)
@@ -52,24 +52,13 @@ def exact_medians(
         n, low, high = bounds[c]["n"], bounds[c]["low"], bounds[c]["high"]
         if n:
             wanted[c] = ((n - 1) // 2, n // 2)
-            open_ += [_Search(c, rank, low, high, n) for rank in sorted(set(wanted[c]))]
+            open_ += [_Search(c, rank, low, high) for rank in sorted(set(wanted[c]))]
     ranks = {id(s): (s.column, s.rank) for s in open_}
 
     while open_:
         for s in [s for s in open_ if s.low == s.high]:
             found[ranks[id(s)]] = s.low
         open_ = [s for s in open_ if s.low < s.high]
-        small = [s for s in open_ if s.count <= exact_limit]
-        if small:
-            row = df.agg(
-                *[
-                    F.element_at(F.array_sort(F.collect_list(_within(value, s))), s.rank + 1).alias(f"m{i}")
-                    for i, s in enumerate(small)
-                ]
-            ).first()
-            for i, s in enumerate(small):
-                found[ranks[id(s)]] = row[i]
-        open_ = [s for s in open_ if s.count > exact_limit]
         if not open_:
             break
         marks = [
@@ -86,7 +75,7 @@ def exact_medians(
         for i, s in enumerate(open_):
             for part in sorted((r for r in counted if r["search"] == i), key=lambda r: r["bin"]):
                 if s.rank < part["n"]:
-                    s.low, s.high, s.count = part["low"], part["high"], part["n"]
+                    s.low, s.high = part["low"], part["high"]
                     break
                 s.rank -= part["n"]
     return {

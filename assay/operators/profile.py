@@ -169,7 +169,7 @@ def duplicate_rows(df: DataFrame, subset: list[str], key: list[str], hot_rows: i
 
 
 def numeric_column_stats(
-    df: DataFrame, columns: list[str] | None = None, median: str = "exact", exact_limit: int = 1_000_000
+    df: DataFrame, columns: list[str] | None = None, median: str = "exact"
 ) -> DataFrame:
     """``(column_name, mean, median, std, min, max)`` per numeric column.
 
@@ -177,7 +177,7 @@ def numeric_column_stats(
     counting passes (see ``exact_medians``).
     """
     columns = columns or numeric_columns(df)
-    exact = exact_medians(df, columns, exact_limit) if median == "exact" else None
+    exact = exact_medians(df, columns) if median == "exact" else None
     return _per_column(df, columns, lambda c, i: _numeric_parts(c, i, exact))
 
 
@@ -342,14 +342,14 @@ def column_histogram(df: DataFrame, column: str, buckets: int = 20) -> DataFrame
 
 
 def table_profile(
-    df: DataFrame, median: str = "exact", approximate_distinct: bool = False, exact_limit: int = 1_000_000
+    df: DataFrame, median: str = "exact", approximate_distinct: bool = False
 ) -> DataFrame:
     """One row per column: type, class, missing, distinct, numeric and string measures.
 
     Each column is read once for everything but its distinct count, which needs a shuffle of
     its own, and its exact median, which is located beforehand.
     """
-    exact = exact_medians(df, numeric_columns(df), exact_limit) if median == "exact" else None
+    exact = exact_medians(df, numeric_columns(df)) if median == "exact" else None
     blank_numbers = dict.fromkeys(NUMERIC_FIELDS, "CAST(NULL AS DOUBLE)")
     blank_strings = {
         "avg_length": "CAST(NULL AS DOUBLE)",

@@ -87,7 +87,7 @@ def _probe_row(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.NumericType):
             sample = "0"
         values.append(f"CAST({sample} AS {field.dataType.simpleString()})")
-    names = ", ".join(f"`{c}`" for c in df.columns)
+    names = ", ".join(name(c) for c in df.columns)
     return df.sparkSession.sql(f"SELECT * FROM VALUES ({', '.join(values)}) AS probe({names})")
 
 
@@ -95,6 +95,9 @@ def _analysis_error(probe: DataFrame, rule: Rule) -> str | None:
     """Unknown columns, syntax errors, results that are no boolean."""
     try:
         kind = probe.select(F.expr(rule.sql).alias("v")).schema["v"].dataType
+        if isinstance(kind, (T.BooleanType, T.NullType)):
+            # The form that will run: aggregates, windows and generators fail only here.
+            _ = probe.agg(F.expr(f"count_if({rule.violation_sql})")).schema
     except AnalysisException as error:
         return error.getMessage().split("\n")[0]
     return None if isinstance(kind, (T.BooleanType, T.NullType)) else "rule did not return a boolean"
@@ -203,6 +206,10 @@ def sample_violations(df: DataFrame, rules: list[Rule], key: str, k: int = 5) ->
     """
     errors = rule_errors(df, rules)
     good = [r for i, r in enumerate(rules) if i not in errors]
+    if not good:
+        key_type = df.schema[key].dataType.simpleString()
+        schema = f"key {key_type}, rule_id string, column_name string, value string, position int"
+        return df.sparkSession.createDataFrame([], schema)
     marks = ", ".join(
         f"IF({r.violation_sql}, named_struct('rule_id', {text(r.rule_id)}, 'column_name', {text(r.column_name)}, "
         f"'value', CAST({name(r.column_name) if r.column_name else 'NULL'} AS STRING)), NULL)"

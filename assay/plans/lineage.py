@@ -21,7 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="assay-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -156,7 +156,7 @@ def relationship_strength(spark, sf):
 
 @case("numeric_column_stats", PER + NUMBERS)
 def numeric_column_stats(spark, sf):
-    return rounded(pr.numeric_column_stats(per(spark, sf), NUMERIC, exact_limit=100_000), MEASURES)
+    return rounded(pr.numeric_column_stats(per(spark, sf), NUMERIC), MEASURES)
 
 
 @case("string_column_stats", PER + TEXTS)

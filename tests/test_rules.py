@@ -311,3 +311,14 @@ def test_instantiation(spark):
     )
     got = rows(rg.instantiate_rules(templates, [("per", "age"), ("asg", "id")], severity="High").select("config_key", "python_code", "sql_code"))
     assert got == [("r1_asg_id", "id in asg", "SELECT id FROM asg"), ("r1_per_age", "age in per", "SELECT age FROM per")]
+
+
+@pytest.mark.parametrize(
+    "broken", ["max(column_name) > 5", "row_number() OVER (ORDER BY column_name) > 5", "explode(array(true))"]
+)
+def test_rules_that_only_fail_in_the_shared_scan_stay_alone(spark, broken):
+    df = spark.createDataFrame([(1,), (7,)], "pay int")
+    rules = [ru.Rule("bad", broken, "pay"), ru.Rule("good", "column_name > 5", "pay")]
+    got = {r.rule_id: r for r in ru.run_rules(df, rules).collect()}
+    assert got["bad"].error and got["good"].violations == 1
+    assert ru.sample_violations(df, rules[:1], key="pay").count() == 0

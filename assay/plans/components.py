@@ -34,14 +34,17 @@ def _lowest(edges: DataFrame) -> DataFrame:
     )
 
 
-def _hook(edges: DataFrame, lowest: DataFrame, crowded: bool, hot_rows: int) -> DataFrame:
-    """Replace each edge (node, other) by (other, lowest neighbour of node)."""
+def _edges(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """One edge (node, other) per row and pair of columns. Without a union, few partitions stay few."""
+    return df.select(F.inline(F.array(*[F.struct(F.col(a).alias("node"), F.col(b).alias("other")) for a, b in pairs])))
+
+
+def _lowered(edges: DataFrame, lowest: DataFrame, crowded: bool, hot_rows: int) -> DataFrame:
+    """Each edge (node, other) with ``low``, the lowest neighbour of node."""
     values = lowest.select("node", "low")
     if crowded:
-        moved = salted_join(edges, values, ["node"], ["other"], counts=lowest, hot_rows=hot_rows)
-    else:
-        moved = edges.join(values, "node")
-    return moved.select(F.col("other").alias("node"), F.col("low").alias("other"))
+        return salted_join(edges, values, ["node"], ["other"], counts=lowest, hot_rows=hot_rows)
+    return edges.join(values, "node")
 
 
 def connected_components(
@@ -57,12 +60,13 @@ def connected_components(
     for round_no in range(1, max_rounds + 1):
         # No node can have more edges than there are; below that the joins need no salt.
         crowded = 2 * state["edges"] > hot_rows
-        both = current.union(current.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        larger = _hook(both.where("other > node"), _lowest(both), crowded, hot_rows).distinct()
+        both = _edges(current, ("node", "other"), ("other", "node"))
+        larger = _lowered(both.where("other > node"), _lowest(both), crowded, hot_rows)
+        larger = _edges(larger, ("other", "low")).distinct()
 
-        lowest = _lowest(larger)
-        smaller = _hook(larger, lowest, crowded, hot_rows).where("node <> other")
-        current = cut(smaller.union(lowest.select("node", "low")).distinct())
+        smaller = _lowered(larger, _lowest(larger), crowded, hot_rows)
+        smaller = _edges(smaller, ("other", "low"), ("node", "low"))
+        current = cut(smaller.where("node <> other").distinct())
 
         before, state = state, _state(current)
         log.info("components round %d: %d edges", round_no, state["edges"])
@@ -70,5 +74,4 @@ def connected_components(
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    hubs = current.select(F.col("other").alias("node"), F.col("other").alias("component")).distinct()
-    return current.select("node", F.col("other").alias("component")).union(hubs)
+    return _edges(current, ("node", "other"), ("other", "other")).withColumnRenamed("other", "component").distinct()

@@ -6,7 +6,7 @@ pairs are verified by the exact Jaccard similarity of their shingle sets. Of eac
 linked lines the first occurrence stays.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -126,9 +126,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line_no int, line long, keys array<long>")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` of line hashes with ``similar``, by the text of the lines."""
-    wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
+def _verifier(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``similar`` to ``pairs(a, b)`` of line hashes, by the text of the lines."""
+    wanted = saved(nodes.select(F.col("node").alias("line")), "wanted")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +152,12 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     named = saved(named.groupBy("line").agg(F.first("text").alias("text")), "lines")
     one = named.select(F.col("line").alias("a"), F.col("text").alias("x"))
     other = named.select(F.col("line").alias("b"), F.col("text").alias("y"))
-    both = pairs.join(one, "a").join(other, "b")
-    return both.mapInArrow(compare, "a long, b long, similar boolean")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(one, "a").join(other, "b")
+        return both.mapInArrow(compare, "a long, b long, similar boolean")
+
+    return verify
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -168,7 +172,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     found = saved(occurrences(narrow), "occurrences")
     distinct = found.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
     keyed = distinct.select(F.col("line").alias("node"), F.explode("keys").alias("key")).distinct()
-    components, _ = star_components(keyed, lambda pairs: _verified(narrow, pairs))
+    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes))
     where = found.select("doc_id", "line_no", "line")
     if components is not None:
         where = where.join(components.withColumnRenamed("node", "line"), "line", "left")

@@ -3,8 +3,8 @@
 Rows that share a key are candidates of each other, and a key may be shared by very many. In each
 round every key compares its rows with one of them only, the leader. The first leaders are those
 that share most with others, as the original of many copies does, and each row meets the best of
-the leaders of its keys; later leaders are those whose comparisons so far succeeded most often, and
-rows meet all of them that aren't in their component yet. A key is done when all its rows are in
+the leaders of its keys; later leaders, up to eight per key and round, are those whose comparisons so far succeeded most often,
+and rows meet all of them that aren't in their component yet. A key is done when all its rows are in
 one component, and the search ends when a round finds no further link. Work per round grows with
 the number of rows under keys, whatever the size of a group.
 """
@@ -21,12 +21,19 @@ from assay.plans.components import connected_components
 log = logging.getLogger(__name__)
 
 
+#: Leaders per key and round after the first; each is the best of its part of the rows.
+LEADERS = 8
+
+
 def _leaders(members: DataFrame, rank: DataFrame, led: DataFrame | None) -> DataFrame:
-    """``key, leader``: per key the row of highest rank that has not led it before."""
+    """``key, leader``: per key the rows of highest rank that have not led it before."""
     standing = members.join(rank, "node", "left").withColumn("rank", F.coalesce("rank", F.lit(0.5)))
+    parts = ["key"]
     if led is not None:
         standing = standing.join(led, ["key", "node"], "left_anti")
-    top = standing.groupBy("key").agg(F.max(F.struct("rank", "node")).alias("top"))
+        standing = standing.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(LEADERS)))
+        parts = ["key", "part"]
+    top = standing.groupBy(*parts).agg(F.max(F.struct("rank", "node")).alias("top"))
     return top.select("key", F.col("top.node").alias("leader"), F.col("top.rank").alias("leader_rank"))
 
 
@@ -38,48 +45,52 @@ def _pairs(members: DataFrame, leaders: DataFrame, apart: bool) -> DataFrame:
         best = joined.groupBy("node").agg(F.max(F.struct("leader_rank", "leader")).alias("top"))
         joined = best.select("node", F.col("top.leader").alias("leader")).where("node <> leader")
     else:
-        joined = joined.where("node <> leader")
-        homes = members.select("key", F.col("node").alias("leader"), F.col("component").alias("home"))
-        joined = joined.join(homes, ["key", "leader"]).where("component <> home")
+        joined = joined.where("node <> leader AND component <> home")
     return joined.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
 def star_components(
-    keyed: DataFrame, verify: Callable[[DataFrame], DataFrame]
+    keyed: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """``(node, component)`` of linked nodes and all verified pairs ``(a, b, similar)``.
 
-    ``keyed(key, node)`` gives the keys of each node, both numbers; ``verify`` adds the column
-    ``similar`` to pairs ``(a, b)``. Both results are None if no two nodes share a key.
+    ``keyed(key, node)`` gives the keys of each node, both numbers. ``verifier`` gets all
+    ``(node)`` that can come up and returns a function that adds the column ``similar`` to pairs
+    ``(a, b)``. Both results are None if no two nodes share a key.
     """
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = saved(keyed.join(shared, "key"), "members")
+    if members.isEmpty():
+        return None, None
+    verify = verifier(members.select("node").distinct())
     rank = members.groupBy("node").agg(F.sum("size").cast("double").alias("rank"))
+    members = members.select("key", "node")
     tried = led = components = None
     while not members.isEmpty():
-        leaders = saved(_leaders(members, rank, led), "leaders")
-        pairs = _pairs(members, leaders, tried is not None)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        result = saved(verify(saved(pairs, "pairs")), "verified")
+        first_round = tried is None
+        if first_round:
+            pairs = _pairs(members, _leaders(members, rank, None), False)
+        else:
+            homes = components.select(F.col("node").alias("leader"), F.col("component").alias("home"))
+            leaders = _leaders(members.select("key", "node"), rank, led).join(homes, "leader", "left")
+            leaders = saved(leaders.withColumn("home", F.coalesce("home", "leader")), "leaders")
+            pairs = _pairs(members, leaders, True).join(tried, ["a", "b"], "left_anti")
+            led = led.unionByName(leaders.select("key", F.col("leader").alias("node")))
+        result = saved(verify(pairs), "verified")
         found = result.where("similar").count()
         log.info("round of stars: %d new links", found)
-        first_round = tried is None
         tried = result if first_round else tried.unionByName(result)
-        if not found and not first_round:
+        if first_round:
+            # In the first round a leader hasn't met all rows of its keys yet.
+            led = members.where("false").select("key", "node")
+        elif not found:
             break
-        components = saved(
-            connected_components(tried.where("similar").select(F.col("a").alias("src"), F.col("b").alias("dst"))),
-            "components",
-        )
-        now = members.drop("component").join(components, "node", "left")
+        links = tried.where("similar").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        components = connected_components(links)
+        now = members.select("key", "node").join(components, "node", "left")
         now = now.withColumn("component", F.coalesce("component", "node"))
         still = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         members = saved(now.join(still.where("x <> y").select("key"), "key", "left_semi"), "members")
-        if not first_round:
-            # In the first round a leader hasn't met all rows of its keys yet.
-            done = leaders.select("key", F.col("leader").alias("node"))
-            led = done if led is None else led.unionByName(done)
         ends = tried.select(F.explode(F.array("a", "b")).alias("node"), F.col("similar").cast("int").alias("hit"))
         rank = ends.groupBy("node").agg(((F.sum("hit") + 1) / (F.count("hit") + 2)).alias("rank"))
     return components, tried

@@ -41,12 +41,16 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def scan_csv_set(
-    spark: SparkSession, files: dict[str, str], schemas: dict[str, T.StructType]
+    spark: SparkSession, files: dict[str, str], schemas: dict[str, T.StructType], multi_line: bool = False
 ) -> dict[str, DataFrame]:
-    """Named CSV datasets with a header, read by explicit schema (no inference pass)."""
+    """Named CSV datasets with a header, read by explicit schema (no inference pass).
+
+    Files are split between tasks. ``multi_line`` allows line breaks within quotes, for which Spark
+    reads each file in one task.
+    """
     return {
         name: spark.read.schema(schemas[name])
-        .options(header=True, multiLine=True, escape='"')
+        .options(header=True, multiLine=multi_line, escape='"')
         .csv(path)
         for name, path in files.items()
     }

@@ -48,13 +48,17 @@ def _lowered(edges: DataFrame, lowest: DataFrame, crowded: bool, hot_rows: int)
 
 
 def connected_components(
-    edges: DataFrame, max_rounds: int = 100, hot_rows: int = HOT_ROWS
+    edges: DataFrame, max_rounds: int = 100, hot_rows: int = HOT_ROWS, rows: int | None = None
 ) -> DataFrame:
-    """``(node, component)`` for every node of the edge list ``(src, dst)``; component = least node."""
+    """``(node, component)`` for every node of the edge list ``(src, dst)``; component = least node.
+
+    ``rows``: the number of edges or more, if it is known; few edges are then kept in few files.
+    """
     current = cut(
         edges.where("src <> dst")
         .select(F.greatest("src", "dst").alias("node"), F.least("src", "dst").alias("other"))
-        .distinct()
+        .distinct(),
+        rows,
     )
     state = _state(current)
     for round_no in range(1, max_rounds + 1):
@@ -66,7 +70,8 @@ def connected_components(
 
         smaller = _lowered(larger, _lowest(larger), crowded, hot_rows)
         smaller = _edges(smaller, ("other", "low"), ("node", "low"))
-        current = cut(smaller.where("node <> other").distinct())
+        # Two edges at most come out of one.
+        current = cut(smaller.where("node <> other").distinct(), 2 * state["edges"])
 
         before, state = state, _state(current)
         log.info("components round %d: %d edges", round_no, state["edges"])

@@ -33,7 +33,19 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/assay/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and continue from there."""
+#: Fewest partitions that a table of known size is merged into, and rows per partition above that.
+LEAST_PARTS, ROWS_PER_PART = 12, 200_000
+
+
+def sized(df: DataFrame, rows: int | None, per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``df`` in no more partitions than its ``rows`` (at most so many) need; as it is if they aren't known.
+
+    A table of some thousand rows in hundreds of partitions costs a file for each of them.
+    """
+    return df if rows is None else df.coalesce(max(LEAST_PARTS, -(-rows // per_part)))
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Materialise ``df`` in the shared folder and continue from there; ``rows`` as in :func:`sized`."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    return sized(df, rows).checkpoint()

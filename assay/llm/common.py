@@ -3,17 +3,20 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.plans.lineage import fresh_dir
+from assay.plans.lineage import ROWS_PER_PART, fresh_dir, sized
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors."""
+def saved(df: DataFrame, name: str, rows: int | None = None, per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors.
+
+    ``rows`` and ``per_part`` keep small tables in few files, see :func:`sized`.
+    """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    sized(df, rows, per_part).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

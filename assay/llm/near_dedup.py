@@ -210,7 +210,8 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFr
     def verify(pairs: DataFrame) -> DataFrame:
         both = pairs.join(side("a", "outline", "x"), "a").join(side("b", "outline", "y"), "b")
         close = F.size(F.array_intersect("x", "y")) * 2 >= F.least(F.size("x"), F.size("y"))
-        looked = saved(both.select("a", "b", close.alias("close")), "pairs")
+        looked = both.select("a", "b", close.alias("close"))
+        # Both parts read the same exchanges.
         near = looked.where("close").select("a", "b").join(side("a", "h", "x"), "a").join(side("b", "h", "y"), "b")
         far = looked.where("NOT close").select("a", "b", F.lit(False).alias("similar"))
         return near.mapInArrow(compare, "a long, b long, similar boolean").unionByName(far)

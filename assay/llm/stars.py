@@ -23,6 +23,8 @@ log = logging.getLogger(__name__)
 
 #: Leaders per key and round after the first; each is the best of its part of the rows.
 LEADERS = 8
+#: Pairs that one task verifies, at most if there is one pair per membership.
+PAIRS_PER_PART = 10_000
 
 
 def _leaders(members: DataFrame, rank: DataFrame, led: DataFrame | None) -> DataFrame:
@@ -60,24 +62,28 @@ def star_components(
     """
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = saved(keyed.join(shared, "key"), "members")
-    if members.isEmpty():
+    size = members.count()
+    if not size:
         return None, None
     verify = verifier(members.select("node").distinct())
     rank = members.groupBy("node").agg(F.sum("size").cast("double").alias("rank"))
     members = members.select("key", "node")
     tried = led = components = None
-    while not members.isEmpty():
+    links_found = 0
+    while size:
         first_round = tried is None
         if first_round:
             pairs = _pairs(members, _leaders(members, rank, None), False)
         else:
             homes = components.select(F.col("node").alias("leader"), F.col("component").alias("home"))
             leaders = _leaders(members.select("key", "node"), rank, led).join(homes, "leader", "left")
-            leaders = saved(leaders.withColumn("home", F.coalesce("home", "leader")), "leaders")
+            leaders = saved(leaders.withColumn("home", F.coalesce("home", "leader")), "leaders", size)
             pairs = _pairs(members, leaders, True).join(tried, ["a", "b"], "left_anti")
             led = led.unionByName(leaders.select("key", F.col("leader").alias("node")))
-        result = saved(verify(pairs), "verified")
+        # Verifying takes time, so a task gets few pairs.
+        result = saved(verify(pairs), "verified", size, PAIRS_PER_PART)
         found = result.where("similar").count()
+        links_found += found
         log.info("round of stars: %d new links", found)
         tried = result if first_round else tried.unionByName(result)
         if first_round:
@@ -86,11 +92,12 @@ def star_components(
         elif not found:
             break
         links = tried.where("similar").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        components = connected_components(links)
+        components = connected_components(links, rows=links_found)
         now = members.select("key", "node").join(components, "node", "left")
         now = now.withColumn("component", F.coalesce("component", "node"))
         still = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        members = saved(now.join(still.where("x <> y").select("key"), "key", "left_semi"), "members")
+        members = saved(now.join(still.where("x <> y").select("key"), "key", "left_semi"), "members", size)
+        size = members.count()
         ends = tried.select(F.explode(F.array("a", "b")).alias("node"), F.col("similar").cast("int").alias("hit"))
         rank = ends.groupBy("node").agg(((F.sum("hit") + 1) / (F.count("hit") + 2)).alias("rank"))
     return components, tried

@@ -82,11 +82,29 @@ def test_rule_validation_splits_rows_and_repeats_safely(spark):
     # A lost checkpoint replays the batch under its number and overwrites its own folder.
     run(f"{folder}/state2")
     assert state() == ([(1,), (3,)], [(2, "addr_002")])
-    # Rules are read again at every batch; one that cannot run is left out.
+    # Rules are read again at every batch; one that cannot run lets no row pass.
     current += [PACK["dq1"].on("x"), Rule("bad", "nope", "x")]
     feed(spark, source, [(4, "gb", None, None)])
     run(f"{folder}/state")
-    assert state()[1] == [(2, "addr_002"), (4, "addr_002,dq1")]
+    assert state()[1] == [(2, "addr_002"), (4, "addr_002,dq1,bad")]
+
+
+def test_rules_that_fail_on_values_quarantine_the_batch(spark):
+    source, folder = fresh_dir(spark, "source"), fresh_dir(spark, "failing")
+    feed(spark, source, [(1, "12", None, 1.0), (2, "GB", None, 1.0)])
+    sv.start_rule_validation(
+        spark.readStream.schema(SCHEMA).parquet(source),
+        lambda: [Rule("number", "CAST(column_name AS INT) > 20", "kind"), Rule("low", "x < 2", "x")],
+        f"{folder}/ok",
+        f"{folder}/bad",
+        f"{folder}/state",
+        errors_path=f"{folder}/errors",
+    ).awaitTermination()
+    bad = spark.read.parquet(f"{folder}/bad").select("id", F.array_join("failed_rules", ","))
+    assert rows(bad) == [(1, "low,number"), (2, "low,number")]
+    assert spark.read.parquet(f"{folder}/ok").isEmpty()
+    errors = rows(spark.read.parquet(f"{folder}/errors").select("rule_id", "error"))
+    assert [r[0] for r in errors] == ["number"] and "CAST_INVALID_INPUT" in errors[0][1]
 
 
 def test_no_rules_let_everything_pass(spark):

@@ -53,22 +53,38 @@ def source_targets(
     return level.select("source", "source_size", target.alias("target"))
 
 
+def _copies(doc_id: Column, target: Column, source_size: Column) -> Column:
+    """How often a document is taken: floor(target / source_size), plus once by a number made from its id."""
+    rate = F.coalesce(F.try_divide(target, source_size), F.lit(0.0))
+    u = uniform(F.lit("mix"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    return (F.floor(rate) + (u < rate - F.floor(rate)).cast("long")).cast("long")
+
+
 def mix(docs: DataFrame, **shares) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies`` for every row of ``docs``.
 
-    ``copies`` is how often the mix takes the document. Rows with equal doc_id, null included,
-    decide alike. Sources without words have target 0 and give no copies.
+    ``copies`` is how often the mix takes the document. Rows of a source with equal doc_id, null
+    included, decide alike. Sources without words have target 0 and give no copies.
     """
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **shares)
     # A null source equals a null source here.
     joined = sized.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-    rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    u = uniform(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    copies = (F.floor(rate) + (u < rate - F.floor(rate)).cast("long")).cast("long")
+    copies = _copies(F.col("doc_id"), F.col("target"), F.col("source_size"))
     return joined.select("doc_id", "d.source", "size", "source_size", "target", copies.alias("copies"))
 
 
+def mixed(docs: DataFrame, **shares) -> DataFrame:
+    """Every row of ``docs``, with all its columns, as often as :func:`mix` takes it."""
+    sized = docs.select("source", word_count(F.col("text")).alias("size"))
+    targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **shares)
+    # Kept in one column, so that none of the documents' columns clashes.
+    targets = targets.select(F.struct("source", "source_size", "target").alias("_mix"))
+    joined = docs.join(targets, F.col("source").eqNullSafe(F.col("_mix.source")))
+    copies = _copies(F.col("doc_id"), F.col("_mix.target"), F.col("_mix.source_size")).cast("int")
+    return joined.withColumn("_time", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     taken = F.col("size") * F.col("copies")

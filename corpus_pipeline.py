@@ -7,11 +7,10 @@ columns of documents.
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from assay.llm.common import saved, table, without
 from assay.llm.decontaminate import contaminated
-from assay.llm.mixing import mix
+from assay.llm.mixing import mixed
 from assay.llm.near_dedup import near_duplicates
 from assay.llm.sharding import shard_documents
 from assay.llm.toxicity import toxicity
@@ -43,10 +42,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    copies = mix(docs).select("doc_id", "copies").where("copies <> 1").distinct()
-    times = F.coalesce("_copies", F.lit(1)).cast("int")
-    joined = docs.join(copies.withColumnsRenamed({"doc_id": "_id", "copies": "_copies"}), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    return joined.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    return mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

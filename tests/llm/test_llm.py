@@ -124,6 +124,24 @@ def test_mix(spark, docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixed_rows_follow_their_own_source(spark):
+    # Two sources of 50 words; ids null, in both sources, and repeated in one.
+    ids = [None, None, *range(40), 0, *range(7)]
+    rows = [(i, f"w{n}", "en", s, n) for s in ("a", "b") for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size string, source string, copies int")
+    for shares in ({"weights": (3, 14), "share": 0.85}, {}):
+        times = {(r.doc_id, r.source): r.copies for r in mixing.mix(docs, **shares).collect()}
+        expected = Counter({r: times[r[0], r[3]] for r in rows if times[r[0], r[3]]})
+        assert Counter(map(tuple, mixing.mixed(docs, **shares).collect())) == expected
+        if shares:
+            # Rates 0.3 and 1.4: a document without id is not taken from one and taken from the other.
+            assert times[None, "b"] != times[None, "a"]
+            assert {c for (_, s), c in times.items() if s == "a"} == {0, 1}
+            assert {c for (_, s), c in times.items() if s == "b"} == {1, 2}
+    kept = corpus_pipeline.mix_sources(spark, docs, "")
+    assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == expected
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_shards(spark, docs, none, hot):
     if hot:

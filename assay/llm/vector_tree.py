@@ -84,13 +84,14 @@ class Tree:
             waiting += [(c, rows[home == i]) for i, c in enumerate(node.children) if (home == i).any()]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
-        queue, found, count = [(0.0, 0, self.root)], [], 0
-        while queue and len(found) < most:
+    def visits(self, query: np.ndarray, least: int, rows: dict[int, int] | None = None, wanted: int = 0) -> list[int]:
+        """The first ``least`` leaves, best bin first, and on until their ``rows`` are ``wanted``."""
+        queue, found, count, held = [(0.0, 0, self.root)], [], 0, 0
+        while queue and (len(found) < least or held < wanted):
             _, _, node = heapq.heappop(queue)
             if not node.children:
                 found.append(node.leaf)
+                held += rows.get(node.leaf, 0) if rows else 0
             for child in node.children:
                 count += 1
                 heapq.heappush(queue, (float(((child.center - query) ** 2).sum()), count, child))
@@ -223,11 +224,16 @@ def _calibrated(indexed: DataFrame, tree: Tree, trial: list, k: int, recall: flo
 
 
 def _searched(indexed: DataFrame, tree: Tree, k: int, visits: int) -> DataFrame:
-    """The k best of the visited leaves. Leaves and their queries meet in blocks of bounded size."""
+    """The k best of the visited leaves. Leaves and their queries meet in blocks of bounded size.
+
+    A query whose first leaves are small goes on until they hold k rows besides itself.
+    """
+    # Bounded by the number of leaves: rows and queries of each leaf.
+    rows = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = [tree.visits(np.append(q, 0.0), visits) for q in (_matrix(batch.column("v")) if len(batch) else [])]
+            leaves = [tree.visits(np.append(q, 0.0), visits, rows, k + 1) for q in (_matrix(batch.column("v")) if len(batch) else [])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("v"), pa.array(leaves, pa.list_(pa.int32()))],
                 names=["vec_id", "v", "leaves"],
@@ -238,8 +244,6 @@ def _searched(indexed: DataFrame, tree: Tree, k: int, visits: int) -> DataFrame:
     )
     asked = asked.select("vec_id", "v", F.explode("leaves").alias("leaf"))
 
-    # Bounded by the number of leaves: rows and queries of each leaf.
-    rows = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
     calls = {r.leaf: r["count"] for r in asked.groupBy("leaf").count().collect()}
     blocks = [
         (leaf, max(1, -(-rows.get(leaf, 0) // BLOCK)), max(1, -(-n // BLOCK))) for leaf, n in calls.items() if leaf in rows

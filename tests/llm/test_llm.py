@@ -264,6 +264,18 @@ def test_nearest_finds_what_brute_force_finds(spark):
     assert vector_tree.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_queries_with_tiny_leaves_get_all_their_rows(spark):
+    # Clusters whose rows are each other's best, and outliers on axes of their own.
+    x = np.zeros((428, 15))
+    x[:420, :7] = np.repeat(np.eye(7) * 10, 60, axis=0) + np.random.default_rng(11).normal(size=(420, 7)) * 0.01
+    x[420:, 7:] = np.eye(8) * 30
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    from pyspark.sql import functions as F
+
+    found = Counter(r.query_id for r in vector_tree.nearest(df, F.col("vec_id").isin([*range(0, 420, 2), 427])).collect())
+    assert found == {i: 20 for i in [*range(0, 420, 2), 427]}
+
+
 def test_toxicity_on_held_out_rows(spark, docs, none):
     rng = np.random.default_rng(6)
     rows, marks = [], []

@@ -10,6 +10,7 @@ a and b is m / (a + b - m), m being the most shingles that match in order.
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -112,7 +113,10 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
 
 
 def banded_matches(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Most matches in order with positions at most ``band`` apart: rows of the alignment as bits."""
+    """Most matches in order with positions at most ``band`` apart: rows of the alignment as bits.
+
+    Memory is that of the two sequences and of the ``2 * band + 1`` diagonals of one row.
+    """
     same = min(len(a), len(b))
     front = int((a[:same] != b[:same]).argmax()) if (a[:same] != b[:same]).any() else same
     a, b = a[front:], b[front:]
@@ -121,19 +125,44 @@ def banded_matches(a: np.ndarray, b: np.ndarray, band: int) -> int:
         return front
     differ = a[::-1][:same] != b[::-1][:same]
     back = int(differ.argmax()) if differ.any() else same
-    a, b = a[: len(a) - back].tolist(), b[: len(b) - back].tolist()
-    places: dict[int, int] = {}
-    for j, x in enumerate(b):
-        places[x] = places.get(x, 0) | (1 << j)
-    full = (1 << len(b)) - 1
-    row, window = full, (1 << (2 * band + 1)) - 1
-    for i, x in enumerate(a):
-        hits = places.get(x, 0)
+    a, b = a[: len(a) - back], b[: len(b) - back]
+    if not len(a) or not len(b):
+        return front + back
+    # Where the shingles of a stand in b: parts of one list of places.
+    by_value = np.argsort(b, kind="stable")
+    first, last = (np.searchsorted(b[by_value], a, side).tolist() for side in ("left", "right"))
+    places = by_value.tolist()
+    # ``row`` holds the columns from ``low`` to ``top``. Those before the band don't change any more and are
+    # counted; those behind it have not been met and are ones.
+    found, low, top, row, full = 0, 0, 0, 0, 0
+    step_size = max(64, band // 4)
+    for i in range(len(a)):
+        if i % step_size == 0:
+            gone = min(max(0, i - band), top) - low
+            if gone > 0:
+                found += gone - (row & ((1 << gone) - 1)).bit_count()
+                row, low = row >> gone, low + gone
+            until = max(top, min(len(b), i + step_size + band))
+            row |= ((1 << until - top) - 1) << top - low
+            top = until
+            full = (1 << top - low) - 1
+        start, end = first[i], last[i]
+        if end - start > 1:
+            start, end = bisect_left(places, i - band, start, end), bisect_right(places, i + band, start, end)
+        elif end > start and abs(places[start] - i) > band:
+            continue
+        if end - start > 32:
+            marks = np.zeros(top - low, dtype=np.uint8)
+            marks[by_value[start:end] - low] = 1
+            hits = int.from_bytes(np.packbits(marks, bitorder="little").tobytes(), "little")
+        else:
+            hits = 0
+            for j in places[start:end]:
+                hits |= 1 << j - low
         if hits:
-            hits &= window << (i - band) if i >= band else window >> (band - i)
             step = row & hits
             row = ((row + step) | (row - step)) & full
-    return front + back + len(b) - row.bit_count()
+    return front + back + found + (top - low) - row.bit_count()
 
 
 def sketches(docs: DataFrame) -> DataFrame:

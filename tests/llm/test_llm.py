@@ -94,6 +94,37 @@ def test_banded_matches_equal_plain_alignment():
         assert near_dedup.banded_matches(a, b, 60) == best[-1, -1]
 
 
+def test_alignment_of_long_near_copies_takes_memory_of_the_band_only():
+    import tracemalloc
+
+    rng = np.random.default_rng(12)
+    a = rng.integers(0, 1 << 63, 300_000).astype(np.uint64)
+    b = a.copy()
+    for at in (5, 299_990):
+        b[at : at + 5] = rng.integers(0, 1 << 63, 5)
+    b = np.delete(b, 1000)
+    tracemalloc.start()
+    found = near_dedup.banded_matches(a, b, 2000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 300_000 - 11
+    assert peak < 100_000_000
+
+
+@pytest.mark.parametrize("distinct", [2, 40, 400])
+def test_narrow_bands_equal_plain_alignment_within_the_band(distinct):
+    rng = np.random.default_rng(13)
+    for _ in range(15):
+        a, b = (rng.integers(0, distinct, 170).astype(np.uint64) for _ in range(2))
+        for band in (0, 3, 30):
+            best = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    met = x == y and abs(i - j) <= band
+                    best[i + 1, j + 1] = max(best[i, j] + met, best[i, j + 1], best[i + 1, j])
+            assert near_dedup.banded_matches(a, b, band) == best[-1, -1]
+
+
 def test_contaminated(spark, docs, none):
     items = [(1, " ".join(ITEM).title()), (2, None), (3, ""), (4, "one two"), (5, " ".join(words(8, 20)))]
     benchmark = spark.createDataFrame(items, "item_id long, text string")

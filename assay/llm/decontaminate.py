@@ -1,8 +1,8 @@
 """Benchmark decontamination by SimHash over windows of an item's size, in DataFrame operations only.
 
-Windows have as many words as a benchmark item. A window that is similar to an item shares at
-least one shingle with it, so only windows laid where a document's shingle meets an item's are
-fingerprinted; which item it was is then forgotten. Fingerprints of windows and items meet in a
+Windows have as many words as a benchmark item. A window that is similar to an item shares most
+of its shingles with it, so of all windows those are fingerprinted that hold as many shingles of
+items of their size as the threshold needs; which items they were is then forgotten. Fingerprints of windows and items meet in a
 multi-index: eight blocks of eight bits, the items entered under all values within two bits. Two
 fingerprints that differ in 23 bits or less must agree within two bits in one block, so none within
 the radius is missed. The weighted shingle similarity of window and item decides.
@@ -98,25 +98,52 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     return listed.withColumn("fingerprint", simhash(F.col("shingles")))
 
 
-def _windows(split: DataFrame, items: DataFrame, k: int, held: int) -> DataFrame:
-    """``doc_id, n_words, shingles`` of windows where a shingle of ``k`` words meets an item's."""
+def _starts(hits: Column, need: Column, span: Column, first: Column) -> Column:
+    """All starts from ``first`` on whose window holds ``need`` of the sorted places ``hits``.
+
+    ``span``: how far the last place of a window is from its start. Each start comes once: with
+    the first place that it has at or after it.
+    """
+
+    def of(i: Column) -> Column:
+        last = F.get(hits, i + need - 1)
+        after_previous = F.when(i > 0, F.get(hits, i - 1) + 1).otherwise(0)
+        low = F.greatest(last - span, after_previous, first)
+        return F.when(low <= F.get(hits, i), F.sequence(low, F.get(hits, i))).otherwise(F.array().cast("array<int>"))
+
+    runs = F.transform(F.sequence(F.lit(0), F.size(hits) - need), of)
+    return F.when(F.size(hits) >= need, F.flatten(runs)).otherwise(F.array().cast("array<int>"))
+
+
+def _windows(split: DataFrame, items: DataFrame, k: int, held: int, threshold: float) -> DataFrame:
+    """``doc_id, spans(n_words, start)`` of all windows that hold enough shingles of ``k`` words for ``threshold``.
+
+    A window and an item of n shingles each share threshold / (1 + threshold) * 2n at least, and a
+    shorter window at the end of a document has no fewer than threshold * n.
+    """
     of_k = items.where(F.col("k") == k)
-    places = of_k.select("n_words", F.posexplode("shingles").alias("offset", "hash")).distinct()
-    places = small_side(places, held, MOST_HELD)
+    known = small_side(of_k.select("n_words", F.explode("shingles").alias("hash")).distinct(), held, MOST_HELD)
     listed = five_word_shingles(F.col("w")) if k == SHINGLE else shingles(F.col("w"), F.lit(k))
     enough = split.where(F.size("w") >= k).withColumn("all", listed)
-    met = enough.select("doc_id", F.posexplode("all").alias("at", "hash")).join(places, "hash")
-    # A window starts where the item would start, and stays within the document.
-    starts = met.select("doc_id", "n_words", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"))
-    spans = starts.groupBy("doc_id").agg(F.collect_set(F.struct("n_words", "start")).alias("spans"))
-    return spans
+    met = enough.select("doc_id", F.size("w").alias("length"), F.posexplode("all").alias("at", "hash")).join(known, "hash")
+    places = met.groupBy("doc_id", "length", "n_words").agg(F.sort_array(F.collect_set("at")).alias("hits"))
+    span = F.col("n_words") - k
+    share = 2 * threshold / (1 + threshold)
+    need = F.greatest(F.ceil((span + 1) * F.lit(share) - 1e-9), F.lit(1)).cast("int")
+    least = F.greatest(F.ceil((span + 1) * F.lit(threshold) - 1e-9), F.lit(1)).cast("int")
+    placed = places.select("doc_id", "length", "n_words", once(F.struct("hits", need.alias("need"), least.alias("least"))).alias("p"))
+    whole = _starts(F.col("p.hits"), F.col("p.need"), span, F.lit(0))
+    cut = _starts(F.col("p.hits"), F.col("p.least"), span, F.col("length") - F.col("n_words") + 1)
+    starts = placed.select("doc_id", "n_words", F.array_union(whole, cut).alias("starts")).where(F.size("starts") > 0)
+    spans = starts.select("doc_id", F.explode(F.transform("starts", lambda s: F.struct("n_words", s.alias("start")))).alias("span"))
+    return spans.groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, similarity``: one row per document and item that it holds.
 
-    A document holds an item if a window of the item's number of words (or the whole, if it is
-    shorter) has a weighted shingle similarity of ``threshold`` or more to it; the largest one is
+    A document holds an item if a window of the item's number of words (shorter where the document
+    ends) has a weighted shingle similarity of ``threshold`` or more to it; the largest one is
     given. Shingles have five words, or all words of a shorter item. Null and empty texts and items
     hold nothing, rows without doc_id are left out, repeated rows count once.
     """
@@ -127,7 +154,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     schema = "doc_id long, item_id long, similarity double"
     found = docs.sparkSession.createDataFrame([], schema)
     for k, held in sorted(sizes.items()):
-        spans = saved(_windows(split, items, k, held), "spans")
+        spans = saved(_windows(split, items, k, held, threshold), "spans")
         found = found.unionByName(_matched(split, spans, items.where(F.col("k") == k), k, held, threshold))
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 

@@ -134,6 +134,39 @@ def test_contaminated(spark, docs, none):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def brute_force(text, item, size=5):
+    """The largest similarity of a window of the item's number of words."""
+    doc, words_of = text.split(), item.split()
+    listed = lambda w: [tuple(w[i : i + size]) for i in range(len(w) - size + 1)]
+    b, best = Counter(listed(words_of)), 0.0
+    for start in range(len(doc) - size + 1):
+        a = Counter(listed(doc[start : start + len(words_of)]))
+        shared = (a & b).total()
+        best = max(best, shared / (a.total() + b.total() - shared))
+    return best
+
+
+def test_edited_leaks_are_found_at_every_start(spark):
+    item = words(20, 100)
+    around, new = words(21, 40), words(22, 40)
+    rows = [(0, [*around, *new[:3], *item[3:50], *new[3:9], *item[50:97], *new[9:12], *around])]
+    rng = np.random.default_rng(23)
+    for i in range(1, 60):
+        leak = list(item)
+        for _ in range(rng.integers(1, 4)):
+            at = int(rng.integers(0, len(leak)))
+            leak[at : at + int(rng.integers(0, 4))] = new[: rng.integers(0, 5)]
+        rows.append((i, [*around[: rng.integers(0, 30)], *leak, *around[: rng.integers(0, 30)]]))
+    rows.append((60, item[:90]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(words(24, 100)))], "item_id long, text string")
+    best = {i: brute_force(" ".join(w), " ".join(item)) for i, w in rows}
+    expected = {(i, 1): x for i, x in best.items() if x >= 0.8}
+    assert best[0] >= 0.8 and 10 < len(expected) < 61
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == pytest.approx(expected)
+
+
 def test_flips_reach_every_fingerprint_within_the_radius():
     flips = set(decontaminate._flips())
     rng = np.random.default_rng(4)

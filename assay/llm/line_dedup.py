@@ -6,7 +6,7 @@ pairs are verified by the exact Jaccard similarity of their shingle sets. Of eac
 linked lines the first occurrence stays.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.common import saved, small_side, table
-from assay.llm.stars import star_components
+from assay.llm.stars import Verify, star_components
 
 SHINGLE = 8
 THRESHOLD = 0.8
@@ -126,8 +126,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line_no int, line long, keys array<long>")
 
 
-def _verifier(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """A function that adds ``similar`` to ``pairs(a, b)`` of line hashes, by the text of the lines."""
+def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
+    """Functions that add ``similar`` to ``pairs(a, b)`` of line hashes and give the shingles of lines as traits."""
     wanted = saved(nodes.select(F.col("node").alias("line")), "wanted")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +157,18 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFr
         both = pairs.join(one, "a").join(other, "b")
         return both.mapInArrow(compare, "a long, b long, similar boolean")
 
-    return verify
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(x.as_py()) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("line"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "traits"]
+            )
+
+    def traits(some: DataFrame) -> DataFrame:
+        wanted = named.join(some.select(F.col("node").alias("line")), "line", "left_semi")
+        return wanted.mapInArrow(shingled, "node long, traits array<long>")
+
+    return verify, traits
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -172,7 +183,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     found = saved(occurrences(narrow), "occurrences")
     distinct = found.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
     keyed = distinct.select(F.col("line").alias("node"), F.explode("keys").alias("key")).distinct()
-    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes))
+    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes), THRESHOLD)
     where = found.select("doc_id", "line_no", "line")
     if components is not None:
         where = where.join(components.withColumnRenamed("node", "line"), "line", "left")

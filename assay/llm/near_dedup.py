@@ -11,7 +11,7 @@ a and b is m / (a + b - m), m being the most shingles that match in order.
 import math
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.common import saved, small_side, table
-from assay.llm.stars import star_components
+from assay.llm.stars import Verify, star_components
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -201,8 +201,8 @@ def outline(h: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(parts)).astype(np.uint32).view(np.int32)
 
 
-def _verifier(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """A function that adds ``similar`` to ``pairs(a, b)`` of ``nodes``, by the shingles of the documents.
+def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
+    """Functions that add ``similar`` to ``pairs(a, b)`` of ``nodes`` and give labelled shingles as their traits.
 
     Outlines are compared first: two texts of similarity 0.8 share 51 of 64 hashes on average, give
     or take 3, and pairs that share less than half are not aligned.
@@ -245,7 +245,18 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> Callable[[DataFrame], DataFr
         far = looked.where("NOT close").select("a", "b", F.lit(False).alias("similar"))
         return near.mapInArrow(compare, "a long, b long, similar boolean").unionByName(far)
 
-    return verify
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(labelled(np.frombuffer(x.as_py(), dtype=U)).view(np.int64)) for x in batch.column("h")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "traits"]
+            )
+
+    def traits(some: DataFrame) -> DataFrame:
+        wanted = shingled.join(some.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+        return wanted.select("doc_id", "h").mapInArrow(label, "node long, traits array<long>")
+
+    return verify, traits
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -263,7 +274,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = all_sketches.where("exact IS NOT NULL").groupBy("exact")
     first = saved(first.agg(F.min("doc_id").alias("node"), F.any_value("keys").alias("keys")), "first")
     keyed = first.select("node", F.explode("keys").alias("key"))
-    components, _ = star_components(keyed, lambda nodes: _verifier(known, nodes))
+    components, _ = star_components(keyed, lambda nodes: _verifier(known, nodes), THRESHOLD)
     first = first.select("exact", "node")
     classes = first.withColumn("class_id", F.col("node"))
     if components is not None:

@@ -5,14 +5,20 @@ round every key compares its rows with one of them only, the leader. The first l
 that share most with others, as the original of many copies does, and each row meets the best of
 the leaders of its keys; later leaders, up to eight per key and round, are those whose comparisons so far succeeded most often,
 and rows meet all of them that aren't in their component yet. A key is done when all its rows are in
-one component, and the search ends when a round finds no further link. Work per round grows with
-the number of rows under keys, whatever the size of a group.
+one component. Work per round grows with the number of rows under keys, whatever the size of a group.
+
+Rounds only make components large. When one finds no further link, or few pairs are left, all
+pairs of rows of different components under the keys still open are compared in blocks, by the
+number of traits that they share; those that share enough are verified. So no pair of rows that
+share a key is left out, unless both are in one component already.
 """
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.llm.common import saved
@@ -25,6 +31,12 @@ log = logging.getLogger(__name__)
 LEADERS = 8
 #: Pairs that one task verifies, at most if there is one pair per membership.
 PAIRS_PER_PART = 10_000
+#: Rows and traits of one side of a block, about; columns of shared traits that are counted at once.
+BLOCK_ROWS, BLOCK_TRAITS, COLUMNS = 512, 1 << 19, 4096
+#: With so many pairs left, and so many more per row under an open key, they are compared without another round.
+FEW_PAIRS, FEW_PER_ROW = 1_000_000, 20
+
+Verify = Callable[[DataFrame], DataFrame]
 
 
 def _leaders(members: DataFrame, rank: DataFrame, led: DataFrame | None) -> DataFrame:
@@ -51,21 +63,113 @@ def _pairs(members: DataFrame, leaders: DataFrame, apart: bool) -> DataFrame:
     return joined.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+def close_pairs(sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of all pairs, one of each of the two ``sides``, whose sets have the Jaccard similarity ``threshold``.
+
+    ``flat`` holds the sets one after the other.
+    """
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    _, code, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    code = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[code]
+    order = np.argsort(code, kind="stable")
+    order = order[code[order] >= 0]
+    code, owner = code[order], owner[order]
+    left, right = sides
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
+        start, end = np.searchsorted(code, [first, first + COLUMNS])
+        held = np.zeros((len(lengths), int(code[end - 1]) - first + 1), dtype=np.float32)
+        held[owner[start:end], code[start:end] - first] = 1
+        shared += held[left] @ held[right].T
+    need = threshold / (1 + threshold) * (lengths[left][:, None] + lengths[right][None, :])
+    rows, columns = np.nonzero(shared >= np.ceil(need - 1e-9))
+    return left[rows], right[columns]
+
+
+def _compared(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Close pairs ``a, b`` of different components in each cell; rows come sorted by cell."""
+
+    def pairs(key: tuple, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        part, node, component = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("part", "node", "component"))
+        sets = [p.column("traits") for p in parts]
+        lengths = np.concatenate([x.value_lengths().to_numpy() for x in sets])
+        flat = np.concatenate([x.flatten().to_numpy() for x in sets])
+        sides = [np.flatnonzero(part == key[1]), np.flatnonzero(part == key[2])]
+        x, y = close_pairs(sides, lengths, flat, threshold) if all(map(len, sides)) else (part[:0], part[:0])
+        apart = component[x] != component[y]
+        x, y = node[x[apart]], node[y[apart]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    current, parts = None, []
+    for batch in batches:
+        if not len(batch):
+            continue
+        cells = np.column_stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+        edges = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
+        for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)], strict=True):
+            cell = tuple(cells[start].tolist())
+            if current is not None and cell != current:
+                yield pairs(current, parts)
+                parts = []
+            current = cell
+            parts.append(batch.slice(start, end - start))
+    if current is not None:
+        yield pairs(current, parts)
+
+
+def _homes(members: DataFrame) -> DataFrame:
+    """``key, home, at_home, others``: per key its largest component, the rows in it and those outside."""
+    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    top = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    return top.select("key", F.col("top.component").alias("home"), F.col("top.n").alias("at_home"), (F.col("all") - F.col("top.n")).alias("others"))
+
+
+def _left(homes: DataFrame) -> int:
+    """Pairs that :func:`_remaining` compares, at most."""
+    return int(homes.agg(F.sum(F.expr("others * (others - 1) / 2 + others * at_home"))).first()[0] or 0)
+
+
+def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshold: float) -> DataFrame:
+    """All pairs ``a < b`` in different components that share a key of ``members(key, node, component)`` and are close.
+
+    The rows of a key are cut into parts, those of its largest component apart from the others, and
+    each part of the others meets every part once.
+    """
+    full = members.join(traits, "node").join(homes, "key").withColumn("out", F.col("component") != F.col("home"))
+    weight = members.join(traits.select("node", F.size("traits").alias("w")), "node").join(homes.select("key", "home"), "key")
+    out = F.col("component") != F.col("home")
+    weight = weight.groupBy("key").agg(F.sum(F.when(out, F.col("w"))).alias("w_out"), F.sum(F.when(~out, F.col("w"))).alias("w_home"))
+
+    def cuts(rows: str, size: str) -> Column:
+        return F.greatest(F.ceil(F.col(rows) / BLOCK_ROWS), F.ceil(F.coalesce(F.col(size), F.lit(0)) / BLOCK_TRAITS), F.lit(1)).cast("int")
+
+    full = full.join(weight, "key").withColumn("p_out", cuts("others", "w_out")).withColumn("p_home", cuts("at_home", "w_home"))
+    hashed = F.xxhash64("node")
+    part = F.when(F.col("out"), F.pmod(hashed, "p_out")).otherwise(F.col("p_out") + F.pmod(hashed, "p_home")).cast("int")
+    met = F.sequence(F.lit(0), F.col("p_out") - 1 + F.when(F.col("out"), F.col("p_home")).otherwise(0))
+    cells = full.withColumn("part", part).withColumn("with", F.explode(met)).select(
+        "key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "node", "component", "traits"
+    )
+    dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(lambda batches: _compared(batches, threshold), "a long, b long").distinct()
+
+
 def star_components(
-    keyed: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
+    keyed: DataFrame, verifier: Callable[[DataFrame], tuple[Verify, Verify]], threshold: float
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """``(node, component)`` of linked nodes and all verified pairs ``(a, b, similar)``.
 
     ``keyed(key, node)`` gives the keys of each node, both numbers. ``verifier`` gets all
-    ``(node)`` that can come up and returns a function that adds the column ``similar`` to pairs
-    ``(a, b)``. Both results are None if no two nodes share a key.
+    ``(node)`` that can come up and returns two functions: one adds the column ``similar`` to pairs
+    ``(a, b)``; the other gives ``(node, traits)``, a set of numbers, for some ``(node)``. Only pairs
+    whose traits have the Jaccard similarity ``threshold`` may be similar. Both results are None if no two nodes share a key.
     """
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = saved(keyed.join(shared, "key"), "members")
     size = members.count()
     if not size:
         return None, None
-    verify = verifier(members.select("node").distinct())
+    verify, traits_of = verifier(members.select("node").distinct())
     rank = members.groupBy("node").agg(F.sum("size").cast("double").alias("rank"))
     members = members.select("key", "node")
     tried = led = components = None
@@ -89,15 +193,28 @@ def star_components(
         if first_round:
             # In the first round a leader hasn't met all rows of its keys yet.
             led = members.where("false").select("key", "node")
-        elif not found:
-            break
-        links = tried.where("similar").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        components = connected_components(links, rows=links_found)
+        components = _linked(tried, links_found)
         now = members.select("key", "node").join(components, "node", "left")
         now = now.withColumn("component", F.coalesce("component", "node"))
         still = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         members = saved(now.join(still.where("x <> y").select("key"), "key", "left_semi"), "members", size)
         size = members.count()
+        homes = saved(_homes(members), "homes", size)
+        left = _left(homes)
+        log.info("open: %d rows under keys, %d pairs at most", size, left)
+        if size and (not found and not first_round or left <= FEW_PAIRS + FEW_PER_ROW * size):
+            traits = saved(traits_of(members.select("node").distinct()), "traits")
+            pairs = _remaining(members, homes, traits, threshold).join(tried, ["a", "b"], "left_anti")
+            result = saved(verify(saved(pairs, "remaining")), "verified")
+            found = result.where("similar").count()
+            log.info("all remaining pairs: %d new links", found)
+            tried = tried.unionByName(result)
+            return _linked(tried, links_found + found) if found else components, tried
         ends = tried.select(F.explode(F.array("a", "b")).alias("node"), F.col("similar").cast("int").alias("hit"))
         rank = ends.groupBy("node").agg(((F.sum("hit") + 1) / (F.count("hit") + 2)).alias("rank"))
     return components, tried
+
+
+def _linked(tried: DataFrame, links: int) -> DataFrame:
+    """``(node, component)`` of the ``links`` found so far."""
+    return connected_components(tried.where("similar").select(F.col("a").alias("src"), F.col("b").alias("dst")), rows=links)

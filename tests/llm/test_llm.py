@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from assay.llm import decontaminate, html_wrappers, line_dedup, mixing, near_dedup, sharding, token_counts
+from assay.llm import decontaminate, html_wrappers, line_dedup, mixing, near_dedup, sharding, stars, token_counts
 from assay.llm import toxicity, vector_tree, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, key string, score string"
@@ -83,6 +83,35 @@ def test_copies_of_one_original_are_one_class(spark):
     assert classes[99] == 99  # the same shingles in another order
 
 
+def test_true_pairs_hidden_among_strangers_are_found(spark, monkeypatch):
+    # 150 texts share a key and about 0.7 of their traits; three pairs among them are alike.
+    rng = np.random.default_rng(30)
+    common = list(range(70))
+    sets = {i: common + [1000 * (i + 1) + x for x in range(15)] for i in range(150)}
+    hidden = [(40, 41), (77, 140), (100, 149)]
+    for a, b in hidden:
+        sets[b] = sets[a][:82] + [1000 * (b + 1) + x for x in range(3)]
+    node = {int(i): int(n) for i, n in enumerate(rng.permutation(150))}
+    keyed = spark.createDataFrame([(1, node[i]) for i in sets] + [(2, node[i]) for i in range(0, 150, 2)], "key long, node long")
+    table = spark.createDataFrame([(node[i], x) for i, x in sets.items()], "node long, traits array<long>")
+    truth = {(min(node[a], node[b]), max(node[a], node[b])) for a, b in hidden}
+
+    def verifier(nodes):
+        from pyspark.sql import functions as F
+
+        links = [f"{a} {b}" for a, b in truth]
+        similar = F.concat_ws(" ", "a", "b").isin(links)
+        return lambda pairs: pairs.withColumn("similar", similar), lambda some: table.join(some, "node", "left_semi")
+
+    monkeypatch.setattr(stars, "BLOCK_ROWS", 16)
+    for few in (stars.FEW_PAIRS, -10**9):
+        # Once at the first chance, once after a round that finds no link.
+        monkeypatch.setattr(stars, "FEW_PAIRS", few)
+        components, tried = stars.star_components(keyed, verifier, 0.8)
+        assert {(r.a, r.b) for r in tried.where("similar").collect()} == truth
+        assert {(r.component, r.node) for r in components.where("node <> component").collect()} == truth
+
+
 def test_banded_matches_equal_plain_alignment():
     rng = np.random.default_rng(3)
     for _ in range(60):

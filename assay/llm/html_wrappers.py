@@ -51,6 +51,8 @@ NOISE_WORDS = frozenset(
     " toolbar skip copyright legal disclaimer".split()
 )
 MAIN_WORDS = frozenset("article content main post entry story".split())
+#: Parts of a host whose pages are aligned first.
+PARTS = 64
 
 
 @dataclass
@@ -349,63 +351,67 @@ def wrappers(pages: DataFrame, least: int = 3) -> DataFrame:
     """``host, pages, expression, frame`` of every host of ``pages(url, html)``.
 
     ``frame`` holds the texts that were the same in all pages that have their place, ``least``
-    different pages at least; copies of a page count once per task. Pages without a host have none.
+    different pages at least; ``pages`` counts different pages, copies once. Pages without a host have none.
     """
     named = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")).where("host <> ''")
     schema = "host string, part int, pages long, wrapper string"
 
-    def joined(known: dict, key: str, wrapper: list, count: int) -> None:
-        if key in known:
-            known[key] = (_merge(known[key][0], wrapper), known[key][1] + count)
-        else:
-            known[key] = (wrapper, count)
-
-    def rows(known: dict, part: int) -> pa.RecordBatch:
-        keys = list(known)
+    def rows(found: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(keys, pa.string()),
-                pa.array([part] * len(keys), pa.int32()),
-                pa.array([known[k][1] for k in keys], pa.int64()),
-                pa.array([json.dumps(known[k][0]) for k in keys], pa.string()),
+                pa.array([r[0] for r in found], pa.string()),
+                pa.array([r[1] for r in found], pa.int32()),
+                pa.array([r[2] for r in found], pa.int64()),
+                pa.array([json.dumps(r[3]) for r in found], pa.string()),
             ],
             names=["host", "part", "pages", "wrapper"],
         )
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = {}, set()
+        seen = set()
         for batch in batches:
+            out = []
             for key, page in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
                 found = blocks(page.as_py() or "")
-                look = (key, text_hash("\n".join(b.text for b in found)))
-                if look not in seen:
-                    seen.add(look)
-                    joined(known, key, page_wrapper(found), 1)
-                # What a task holds is bounded: its wrappers so far go out and new ones begin.
-                if len(known) >= 5000 or len(seen) >= 200_000:
-                    yield rows(known, text_hash(key) % 64)
-                    known, seen = {}, set()
-        if known:
-            yield rows(known, xxhash.xxh3_64_intdigest("".join(sorted(known)).encode()) % 64)
-
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {}
+                look = text_hash(json.dumps([(b.path, b.text) for b in found]))
+                # Copies that other tasks hold, or that come after this is cleared, meet below.
+                if (key, look) in seen:
+                    continue
+                if len(seen) >= 200_000:
+                    seen.clear()
+                seen.add((key, look))
+                out.append((key, look % PARTS, look, json.dumps(page_wrapper(found))))
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            types = [pa.string(), pa.int32(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "part", "look", "wrapper"]
+            )
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per host and part, in the order of the rows; the pages of a look come one after the other."""
+        current, last, tree, count = None, None, None, 0
         for batch in batches:
-            for key, count, wrapper in zip(
-                *(batch.column(c).to_pylist() for c in ("host", "pages", "wrapper")), strict=True
+            out = []
+            for key, part, look, pages, wrapper in zip(
+                *(batch.column(c).to_pylist() for c in ("host", "part", "look", "pages", "wrapper")), strict=True
             ):
-                if key not in known and len(known) >= 5000:
-                    # Rows come sorted by host, so all of these are done.
-                    yield rows(known, 0)
-                    known = {}
-                joined(known, key, json.loads(wrapper), count)
-        if known:
-            yield rows(known, 0)
-
-    parts = named.mapInArrow(infer, schema)
-    # Two steps, so that no task meets all parts of a large host.
-    halfway = parts.repartition("host", "part").sortWithinPartitions("host", "part", "wrapper").mapInArrow(combine, schema)
-    whole = halfway.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(combine, schema)
+                if (key, part) != current:
+                    if current:
+                        out.append((*current, count, tree))
+                    current, tree, count = (key, part), json.loads(wrapper), pages
+                elif look != last:
+                    tree, count = _merge(tree, json.loads(wrapper)), count + pages
+                last = look
+            yield rows(out)
+        if current:
+            yield rows([(*current, count, tree)])
+
+    looks = named.mapInArrow(infer, "host string, part int, look long, wrapper string").withColumn("pages", F.lit(1).cast("long"))
+    # Two steps, so that no task meets all pages of a large host. What meets in which order depends on the
+    # pages alone and not on how they are dealt to tasks.
+    parts = looks.repartition("host", "part").sortWithinPartitions("host", "part", "look").mapInArrow(merged, schema)
+    parts = parts.select("host", F.lit(0).alias("part"), F.col("part").cast("long").alias("look"), "pages", "wrapper")
+    whole = parts.repartition("host").sortWithinPartitions("host", "look").mapInArrow(merged, schema)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

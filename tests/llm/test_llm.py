@@ -319,6 +319,22 @@ def test_frame_texts_of_a_host_go(spark):
     assert html_wrappers.extract(pages.limit(0), html_wrappers.wrappers(pages.limit(0))).count() == 0
 
 
+def test_copies_of_a_page_count_once_however_they_are_dealt(spark):
+    page = "<body><div><h1>Head</h1><p>The only article</p></div></body>"
+    other = "<body><div><h1>Head</h1><p>Another article</p></div></body>"
+    for pages_of in ([page], [page, other]):
+        rows = [(i, "http://h.example/", pages_of[i % len(pages_of)]) for i in range(40)]
+        df = spark.createDataFrame(rows, "page_id long, url string, html string")
+        results = []
+        for n in (1, 8):
+            dealt = df.repartition(n, "page_id")
+            found = html_wrappers.wrappers(dealt)
+            assert [r.pages for r in found.collect()] == [len(pages_of)]
+            results.append({(r.page_id, r.text) for r in html_wrappers.extract(dealt, found).collect()})
+        assert results[0] == results[1]
+        assert {t for _, t in results[0]} == {"Head\n\n" + x for x in ("The only article", "Another article")[: len(pages_of)]}
+
+
 def test_line_dedup(spark, none):
     long = "this is a rather long line of text that goes on and on for a while until it ends here at last"
     rows = [(1, f"{long}\nunique one here"), (2, f"another line\n\n{long}!"), (3, long.upper()), (4, None), (5, ""), (6, "ab\nab"), (None, long)]

@@ -50,6 +50,7 @@ NOISE_WORDS = frozenset(
     " social comment comments respond disqus reply replies login signup search form pagination pager widget widgets"
     " toolbar skip copyright legal disclaimer".split()
 )
+IN_HEAD = frozenset("head base link meta".split())
 MAIN_WORDS = frozenset("article content main post entry story".split())
 #: Parts of a host whose pages are aligned first.
 PARTS = 64
@@ -105,7 +106,8 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 def _opened(tag: str, attributes: str, around: list[Open]) -> Open:
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
-    names = f"{values.get('class', '')} {values.get('id', '')}".lower()
+    own_id = values.get("id", "").strip().lower()
+    names = f"{values.get('class', '')} {own_id}".lower()
     parts = set(re.split(r"[^a-z]+", names)) if names.strip() else set()
     signature = tag + (f".{'.'.join(sorted(names.split()))}" if parts else "")
     region = max((o.region for o in around), default=0)
@@ -122,6 +124,9 @@ def _opened(tag: str, attributes: str, around: list[Open]) -> Open:
         # The heading of an article may stand in a header of its own.
         words = NOISE_WORDS - {"header"} if inside else NOISE_WORDS
         tags = NOISE_TAGS - {"header", "figcaption"} if inside else NOISE_TAGS - {"figcaption"}
+        # In an article, ids are made from headings: only a whole one means something.
+        if any(o.region >= 2 for o in around):
+            parts = set(re.split(r"[^a-z]+", values.get("class", "").lower())) | {own_id}
         noise = noise or tag in tags or role in NOISE_ROLES or bool(parts & words) or bool(hidden)
         if not noise and parts & MAIN_WORDS:
             region = max(region, 1)
@@ -161,6 +166,10 @@ def blocks(page: str) -> list[Block]:
         return -1
 
     for kind, name, rest in _tokens(page):
+        # Whatever can't stand in a head ends it, also without an end tag.
+        if stack and (rest.strip() if kind == "text" else kind == "open" and name not in IN_HEAD):
+            if (i := innermost({"head"})) >= 0:
+                close_to(i)
         if kind == "text":
             if stack and stack[-1].noise and stack[-1].inline:
                 continue

@@ -304,6 +304,18 @@ def test_main_text(spark):
     assert html_wrappers.main_text("<p>unclosed <!-- comment") == "unclosed"
 
 
+def test_open_heads_and_slug_ids_keep_the_article():
+    page = """<html><head><meta charset=utf-8><title>T</title><link rel=x><body><article><h2 id="related-work">Related</h2>
+    <section id="search-methods"><p>One</p></section><p id="legal-history">Two</p><p id="a-form-of-notice">Three</p>
+    <div id="comments">Nice!</div><div class="share">Share</div></article><aside>Side</aside>"""
+    text = "Related\n\nOne\n\nTwo\n\nThree"
+    assert html_wrappers.main_text(page) == text
+    assert html_wrappers.main_text(page.replace("<body>", "")) == text
+    assert html_wrappers.main_text(page.replace("article>", "main>")) == text
+    assert html_wrappers.main_text("<head><title>T</title>Bare <b>text</b>") == "Bare text"
+    assert html_wrappers.main_text("<head><title>T</title></head><div id='site-search'>Find</div><p>A</p>") == "A"
+
+
 def test_frame_texts_of_a_host_go(spark):
     def page(i):
         return f"<body><div class=top>The same on all pages</div><div class=x><p>Text {i}</p><p>More {i}</p></div></body>"

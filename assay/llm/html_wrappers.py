@@ -339,15 +339,11 @@ def main_text(page: str | None, frame: frozenset[int] = frozenset()) -> str:
     found = blocks(page) if page else []
     clean = [b for b in found if not b.noise]
     best = max((b.region for b in clean), default=0)
-    if best:
-        # Without an article element, a frame text may still stand in the main part.
-        kept = [b for b in clean if b.region == best or best == 3 and b.region > 3]
-        if best < 3:
-            kept = [b for b in kept if text_hash("\n".join([*b.path, str(text_hash(b.text))])) not in frame]
-    else:
-        kept = [
-            b for b in clean if not b.link and text_hash("\n".join([*b.path, str(text_hash(b.text))])) not in frame
-        ]
+    main = [b for b in clean if b.region == best and (best or not b.link)]
+    # A frame text may stand in the main part, in an article too. If all is frame, the main part is what pages repeat.
+    kept = [b for b in main if text_hash("\n".join([*b.path, str(text_hash(b.text))])) not in frame]
+    if best and not kept:
+        kept = main
     return "\n\n".join(b.text for b in kept)
 
 

@@ -331,6 +331,19 @@ def test_frame_texts_of_a_host_go(spark):
     assert html_wrappers.extract(pages.limit(0), html_wrappers.wrappers(pages.limit(0))).count() == 0
 
 
+def test_frame_texts_within_articles_go(spark):
+    def page(i, text):
+        return f"<body><nav>N{i}</nav><article><div class=tools>Tell your friends</div><h1>Title {text}</h1><p>{text}</p><p class=by>By the staff</p></article></body>"
+
+    rows = [(i, "http://h.example/", page(i, f"Text {i}")) for i in range(5)]
+    # Their article is all the same, so it is not taken for frame as a whole.
+    rows += [(10 + i, "http://same.example/", page(i, "same")) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_wrappers.extract(pages, html_wrappers.wrappers(pages)).collect()}
+    assert all(got[i] == f"Title Text {i}\n\nText {i}" for i in range(5))
+    assert all("Title same\n\nsame" in got[10 + i] for i in range(5))
+
+
 def test_copies_of_a_page_count_once_however_they_are_dealt(spark):
     page = "<body><div><h1>Head</h1><p>The only article</p></div></body>"
     other = "<body><div><h1>Head</h1><p>Another article</p></div></body>"

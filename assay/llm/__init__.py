@@ -24,6 +24,7 @@ MODULES = (
     "vector_tree",
     "near_dedup",
     "toxicity",
+    "bpe_codec",
 )
 
 

@@ -25,6 +25,7 @@ MODULES = (
     "near_dedup",
     "toxicity",
     "bpe_codec",
+    "collocations",
     "conversation_repair",
 )
 

@@ -3,10 +3,10 @@
 Tasks turn texts into word hashes, and prefix polynomials over them give the fingerprint of every
 run of words by one subtraction. A run can only be frequent if all shorter runs in it are. So
 first, buckets of fingerprints are counted, short runs before long ones, and a bitmap of the buckets that hold
-enough is kept per length. Runs that pass it go on as fingerprint, count and a pointer to one
-occurrence; of those whose sum is enough, the pointers are looked up in the texts. A task
-tells runs of one fingerprint apart by their words before it sums them up, and the words found
-at the pointers tell them apart between tasks. Only then, and only for frequent runs, phrases
+enough is kept per length. Runs that pass it go on as fingerprints, count and a pointer to one
+occurrence, and are added up. Collisions: runs of one fingerprint are told apart by their words within
+a part of a task, and by a second fingerprint, of other hashes and another base, between them; the words
+found in the text at the pointer must have both. Only then, and only for frequent runs, phrases
 are written out, and counts of parts give the scores.
 
 The bitmaps have 2**27 bits at most, whatever the table's size. With them full, as some hundred billion
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assay.llm.common import saved, table
+from assay.llm.common import saved, small_side, table
 from assay.plans.skew import salted_join
 
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -30,8 +30,11 @@ LONGEST = 5
 AT_ONCE, KNOWN_WORDS, SLICE = 1 << 20, 1 << 20, 1 << 20
 #: Bytes of text per bucket, and the bits of a bucket number at least, at most and within a block.
 PER_BUCKET, LEAST_BITS, MOST_BITS, BLOCK_BITS = 32, 16, 27, 16
-BASE = 0x9E3779B97F4A7C15
-INVERSE, WRAP = pow(BASE, -1, 1 << 64), (1 << 64) - 1
+#: Bases of the two fingerprints; odd, so that they have an inverse.
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+WRAP = (1 << 64) - 1
+#: Runs that a task holds before it sends them, and texts that are broadcast by their keys at most.
+HELD_RUNS, FEW_TEXTS = 1 << 20, 1 << 20
 NO_WORD, BREAK = 0, 1
 
 
@@ -61,7 +64,8 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
 
 
 def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
+    """128 bits: the lower half is for the first fingerprint, the upper for the second."""
+    return xxhash.xxh3_128_intdigest(word)
 
 
 def seed(lang: str, size: int) -> int:
@@ -75,12 +79,17 @@ def mixed(prints: np.ndarray) -> np.ndarray:
     return prints ^ (prints >> np.uint64(33))
 
 
-def fingerprint(lang: str, words: list[bytes]) -> int:
-    """The fingerprint of a phrase, as a signed 64-bit number."""
-    total, power = 0, 1
-    for word in words:
-        total, power = (total + word_hash(word) * power) & WRAP, (power * BASE) & WRAP
-    return int(mixed(np.array([total ^ seed(lang, len(words))], np.uint64)).view(np.int64)[0])
+def fingerprints(lang: str, words: list[bytes]) -> tuple[int, int]:
+    """Both fingerprints of a phrase, as signed 64-bit numbers."""
+    found = []
+    for half, base in enumerate(BASES):
+        total, power = 0, 1
+        for word in words:
+            total = (total + (word_hash(word) >> (64 * half) & WRAP) * power) & WRAP
+            power = power * base & WRAP
+        found.append(total ^ seed(lang, len(words)))
+    one, two = mixed(np.array(found, np.uint64)).view(np.int64).tolist()
+    return one, two
 
 
 class Words(dict):
@@ -88,50 +97,69 @@ class Words(dict):
 
     def __init__(self):
         super().__init__({b"": NO_WORD, b"\n": BREAK})
-        self.hashes = [0, 0]
+        self.halves: tuple[list[int], list[int]] = ([0, 0], [0, 0])
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.hashes)
-        self.hashes.append(word_hash(word))
+        number = self[word] = len(self.halves[0])
+        hashed = word_hash(word)
+        self.halves[0].append(hashed & WRAP)
+        self.halves[1].append(hashed >> 64)
         return number
 
+    def hashes(self) -> list[np.ndarray]:
+        return [np.array(half, np.uint64) for half in self.halves]
+
 
 class Powers:
-    """Powers of the base and of its inverse, as far as they have been needed."""
+    """Powers of a base and of its inverse, as far as they have been needed."""
 
-    def __init__(self):
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.empty(0, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             self.up, self.down = (
                 np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]), dtype=np.uint64)
-                for base in (BASE, INVERSE)
+                for base in self.bases
             )
         return self.up[:n], self.down[:n]
 
 
+class Polynomials:
+    """Prefix sums of word hashes times powers: the fingerprint of any run is a difference of two."""
+
+    def __init__(self, lang: str, hashes: np.ndarray, powers: Powers):
+        self.lang = lang
+        up, self.down = powers.upto(len(hashes))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
+
+    def prints(self, size: int, at: np.ndarray) -> np.ndarray:
+        total = (self.sums[at + size] - self.sums[at]) * self.down[at]
+        return mixed(total ^ np.uint64(seed(self.lang, size)))
+
+
 class Runs:
     """All runs of words in texts of one language, with what the bitmaps leave of them."""
 
-    def __init__(self, lang: str, ids: np.ndarray, hashes: np.ndarray, powers: Powers, bitmaps: dict[int, np.ndarray]):
-        self.lang, self.ids, self.bitmaps = lang, ids, bitmaps
-        up, self.down = powers.upto(len(ids))
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[ids] * up, dtype=np.uint64)])
+    def __init__(
+        self, lang: str, ids: np.ndarray, hashes: list[np.ndarray], powers: list[Powers], bitmaps: dict[int, np.ndarray]
+    ):
+        self.lang, self.ids, self.bitmaps, self.hashes, self.powers = lang, ids, bitmaps, hashes, powers
+        self.first = Polynomials(lang, hashes[0][ids], powers[0])
         # The words up to the next break; a break ends every text.
         places = np.where(ids == BREAK, np.arange(len(ids)), len(ids))
         self.room = np.minimum.accumulate(places[::-1])[::-1] - np.arange(len(ids))
 
-    def prints(self, size: int, at: np.ndarray) -> np.ndarray:
-        total = (self.sums[at + size] - self.sums[at]) * self.down[at]
-        return mixed(total ^ np.uint64(seed(self.lang, size)))
+    def second(self) -> Polynomials:
+        return Polynomials(self.lang, self.hashes[1][self.ids], self.powers[1])
 
     def levels(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per length: where runs begin that may be frequent, and their fingerprints."""
         below = None
         for size in range(1, longest + 1):
             at = np.flatnonzero(self.room >= size) if below is None else below[below_next]
-            prints = self.prints(size, at)
+            prints = self.first.prints(size, at)
             if size in self.bitmaps:
                 bits = self.bitmaps[size]
                 bucket = prints >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)
@@ -148,7 +176,7 @@ class Reader:
     """Collects texts per language until there is enough to look at together."""
 
     def __init__(self, bitmaps: dict[int, np.ndarray]):
-        self.words, self.powers, self.bitmaps = Words(), Powers(), bitmaps
+        self.words, self.powers, self.bitmaps = Words(), [Powers(base) for base in BASES], bitmaps
         self.held: dict[str, list[tuple[int, int, np.ndarray]]] = {}
         self.size = 0
 
@@ -176,7 +204,7 @@ class Reader:
 
     def runs(self) -> Iterator[tuple[Runs, np.ndarray, np.ndarray]]:
         """Per language its runs, and for every place the key of its text and the number of the word in it."""
-        hashes = np.array(self.words.hashes, np.uint64)
+        hashes = self.words.hashes()
         for lang, stretches in self.held.items():
             # In order of keys: tasks then tend to point at the same texts.
             stretches.sort(key=lambda s: s[:2])
@@ -255,22 +283,56 @@ def frequent_buckets(
     return bitmaps
 
 
+class Gathered:
+    """Runs of a task as rows of fingerprints, pointer and count, added up."""
+
+    def __init__(self):
+        self.rows: dict[tuple[str, int], list[tuple[np.ndarray, ...]]] = {}
+        self.size = 0
+
+    def add(self, lang: str, size: int, *columns: np.ndarray) -> None:
+        self.rows.setdefault((lang, size), []).append(columns)
+        self.size += len(columns[0])
+
+    def sums(self) -> Iterator[tuple[str, int, list[np.ndarray]]]:
+        """Per language and length one row for equal fingerprints, with the lowest pointer."""
+        for (lang, size), parts in self.rows.items():
+            columns = [np.concatenate(part) for part in zip(*parts)]
+            order = np.lexsort(columns[3::-1])
+            one, two, key, at, times = (column[order] for column in columns)
+            new = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+            yield lang, size, [one[new], two[new], key[new], at[new], np.add.reduceat(times, new)]
+
+    def merge(self) -> None:
+        merged = {(lang, size): [tuple(columns)] for lang, size, columns in self.sums()}
+        self.rows, self.size = merged, sum(len(parts[0][0]) for parts in merged.values())
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for lang, size, columns in self.sums():
+            n = len(columns[0])
+            head = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, size), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*head, *(pa.array(c, pa.int64()) for c in columns)], names=RUN)
+        self.rows, self.size = {}, 0
+
+
+RUN = ["lang", "size", "print", "other", "key", "at", "times"]
+
+
 def pointed_runs(texts: DataFrame, longest: int, bitmaps: dict[int, np.ndarray]) -> DataFrame:
-    """``lang, size, print, key, at, times``: runs that pass all bitmaps, counted within a part of a task.
+    """``lang, size, print, other, key, at, times``: runs that pass all bitmaps, added up within a task.
 
     ``key`` and ``at`` point at one occurrence: the hash of a text and the number of the word in it.
     Rows of size 0 hold all words of a language.
     """
     shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
-    types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-    names = ["lang", "size", "print", "key", "at", "times"]
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
+        reader, gathered = Reader(shared.value), Gathered()
         for _ in reader.read(batches):
             for runs, keys, number in reader.runs():
                 none = np.zeros(1, np.int64)
-                rows = [(0, none, none, none, np.array([(runs.ids != BREAK).sum()]))]
+                gathered.add(runs.lang, 0, none, none, none, none, np.array([(runs.ids != BREAK).sum()]))
+                second = runs.second()
                 for size, at, prints in runs.levels(longest):
                     while len(at):
                         unique, first, where = np.unique(prints, return_index=True, return_inverse=True)
@@ -280,27 +342,29 @@ def pointed_runs(texts: DataFrame, longest: int, bitmaps: dict[int, np.ndarray])
                         for step in range(size):
                             same &= runs.ids[at + step] == runs.ids[shown[where] + step]
                         times = np.bincount(where[same], minlength=len(unique))
-                        rows.append((size, unique.view(np.int64), keys[shown], number[shown], times))
+                        other = second.prints(size, shown)
+                        gathered.add(
+                            runs.lang, size, unique.view(np.int64), other.view(np.int64), keys[shown], number[shown], times
+                        )
                         at, prints = at[~same], prints[~same]
-                lengths = [len(row[1]) for row in rows]
-                columns = [
-                    np.full(sum(lengths), runs.lang, object),
-                    np.repeat([row[0] for row in rows], lengths),
-                    *(np.concatenate([row[i] for row in rows]) for i in range(1, 5)),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
-    return texts.mapInArrow(point, "lang string, size int, print long, key long, at long, times long")
+            if gathered.size > HELD_RUNS:
+                gathered.merge()
+                if 2 * gathered.size > HELD_RUNS:
+                    yield from gathered.batches()
+        yield from gathered.batches()
 
+    return texts.mapInArrow(point, "lang string, size int, print long, other long, key long, at long, times long")
 
-def _read_at(texts: DataFrame, pointers: DataFrame) -> DataFrame:
-    """``lang, size, phrase, times``: the words that pointers point at, if they have the fingerprint."""
 
+def _read_at(texts: DataFrame, runs: DataFrame) -> DataFrame:
+    """``lang, size, phrase, a``: the words that runs point at, if they have the fingerprints."""
+    wanted = runs.groupBy("key").agg(F.collect_list(F.struct("lang", "size", "print", "other", "at", "a")).alias("wanted"))
+    keys = runs.select("key").distinct()
+    needed = texts.join(small_side(keys, keys.count(), FEW_TEXTS), "key", "left_semi")
     # One text per key, or more should their hashes be equal. Copies are put together before they move.
-    known = texts.groupBy("key").agg(F.collect_set("text").alias("texts"))
-    wanted = pointers.groupBy("key").agg(F.collect_list(F.struct("lang", "size", "print", "at", "times")).alias("wanted"))
+    known = needed.groupBy("key").agg(F.collect_set("text").alias("texts"))
     named = known.join(wanted, "key").select(F.explode("texts").alias("text"), "wanted")
-    schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("times", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("a", pa.int64())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,13 +373,13 @@ def _read_at(texts: DataFrame, pointers: DataFrame) -> DataFrame:
                 found = []
                 for p in wanted.as_py():
                     run = words[p["at"] : p["at"] + p["size"]]
-                    if fingerprint(p["lang"], run) == p["print"]:
+                    if fingerprints(p["lang"], run) == (p["print"], p["other"]):
                         phrase = b" ".join(run).decode()
-                        found.append({"lang": p["lang"], "size": p["size"], "phrase": phrase, "times": p["times"]})
+                        found.append({"lang": p["lang"], "size": p["size"], "phrase": phrase, "a": p["a"]})
                 if found:
                     yield pa.RecordBatch.from_pylist(found, schema=schema)
 
-    return named.mapInArrow(read, "lang string, size int, phrase string, times long")
+    return named.mapInArrow(read, "lang string, size int, phrase string, a long")
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -334,17 +398,15 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST)
     bitmaps = frequent_buckets(texts, range(1, min(longest, 2) + 1), bits, least, {})
     if longest > 2:
         bitmaps |= frequent_buckets(texts, range(3, longest + 1), bits, least, bitmaps)
-    runs = saved(pointed_runs(texts, longest, bitmaps), "runs")
-    name = ["lang", "size", "print"]
-    sums = runs.where("size > 0").groupBy(*name).agg(F.sum("times").alias("total"), F.count("*").alias("_n"))
-    frequent = sums.where(F.col("total") >= least)
-    pointers = salted_join(
-        runs, frequent.select(*name), name, ["key", "at"], "left_semi", counts=frequent.select(*name, "_n")
+    summed = (
+        pointed_runs(texts, longest, bitmaps)
+        .groupBy("lang", "size", "print", "other")
+        .agg(F.sum("times").alias("a"), F.min(F.struct("key", "at")).alias("to"))
+        .where((F.col("size") == 0) | (F.col("a") >= least))
     )
-    pointers = pointers.groupBy(*name, "key", "at").agg(F.sum("times").alias("times"))
-    phrases = _read_at(texts, pointers).groupBy("lang", "size", "phrase").agg(F.sum("times").alias("a"))
-    totals = runs.where("size = 0").groupBy("lang").agg(F.sum("times").alias("n"))
-    return saved(phrases.where(F.col("a") >= least), "phrases"), totals
+    runs = saved(summed.select("lang", "size", "print", "other", "to.*", "a"), "runs")
+    phrases = saved(_read_at(texts, runs.where("size > 0")), "phrases")
+    return phrases, runs.where("size = 0").select("lang", F.col("a").alias("n"))
 
 
 def collocations(

@@ -67,8 +67,10 @@ def test_equals_counting_by_hand(spark, monkeypatch, at_once, piece, hashes):
     monkeypatch.setattr(collocations, "SLICE", piece)
     monkeypatch.setattr(collocations, "KNOWN_WORDS", 5 if at_once == 50 else 1 << 20)
     if hashes:
-        # Words of one hash: what differs must be told apart by the words themselves.
-        monkeypatch.setattr(collocations, "word_hash", lambda word: sum(word) % hashes + 1)
+        # Words of one first hash: runs of one fingerprint are told apart by words and second fingerprint.
+        full = collocations.word_hash
+        monkeypatch.setattr(collocations, "word_hash", lambda word: full(word) >> 64 << 64 | (sum(word) % hashes + 1))
+        monkeypatch.setattr(collocations, "HELD_RUNS", 10)
     rows = list(texts(at_once))
     rows += rows[:5] * 30
     got = collocations.collocations(frame(spark, rows), least=8, best=40).collect()
@@ -107,11 +109,13 @@ def test_polynomials_give_the_fingerprint_of_every_run():
     words = [f"w{i % 17}".encode() for i in range(200)]
     reader = collocations.Words()
     ids = np.array([reader[w] for w in words] + [collocations.BREAK])
-    runs = collocations.Runs("en", ids, np.array(reader.hashes, np.uint64), collocations.Powers(), {})
+    powers = [collocations.Powers(base) for base in collocations.BASES]
+    runs = collocations.Runs("en", ids, reader.hashes(), powers, {})
     for size, at, prints in runs.levels(5):
         assert at.tolist() == list(range(200 - size + 1))
-        expected = [collocations.fingerprint("en", words[i : i + size]) for i in at]
-        assert prints.view(np.int64).tolist() == expected
+        expected = [collocations.fingerprints("en", words[i : i + size]) for i in at]
+        second = runs.second().prints(size, at)
+        assert list(zip(prints.view(np.int64).tolist(), second.view(np.int64).tolist())) == expected
 
 
 def test_long_text_without_breaks(spark):

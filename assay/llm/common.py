@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of just this name, whatever marks it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def saved(df: DataFrame, name: str, rows: int | None = None, per_part: int = ROWS_PER_PART) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors.
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assay.llm.common import saved, table
+from assay.llm.common import quoted, saved, table
 
 FIRST_BITS, MORE_BITS, KEY_BITS = 12, 8, 64
 #: Key ranges with more than this part of all bytes or rows are divided further.
@@ -128,7 +128,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, tolerance: float = 0.001)
         at = np.searchsorted(starts, keys.to_numpy(), side="right") - 1
         return pd.DataFrame({"_range": at.astype(np.int32), "shard": shard[at], "_before": before[at]})
 
-    order = Window.partitionBy("_at._range").orderBy("_key", "doc_id", F.xxhash64(*plain.columns))
+    # Maps have no hash; their JSON has.
+    whole = [F.to_json(F.struct(quoted(c))) if "map<" in kind else quoted(c) for c, kind in plain.dtypes]
+    order = Window.partitionBy("_at._range").orderBy("_key", "doc_id", F.xxhash64(*whole))
     placed = plain.withColumn("size", size).withColumn("_key", key).withColumn("_at", place("_key"))
     slot = F.col("_at._before") + F.row_number().over(order) - 1
     return placed.withColumns({"shard": F.col("_at.shard"), "slot": slot.cast("long")}).drop("_key", "_at")

@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assay.llm.common import table
 
@@ -159,8 +160,8 @@ def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
             )
 
     plain = docs.drop("score", "predicted")
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in plain.schema)
-    return plain.mapInArrow(run, f"{fields}, score double, predicted int")
+    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> DataFrame:

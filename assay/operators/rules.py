@@ -1,8 +1,8 @@
 """Rule engine: rules are SQL predicates that are true for violating rows.
 
 Row rules of a table are compiled into shared aggregates, so one scan serves dozens of
-rules and reads only the columns they use. A rule that cannot be analysed, or is no boolean, becomes a
-result row with an error and leaves the others alone.
+rules and reads only the columns they use. A rule that cannot be analysed, is no boolean, or meets a
+value that it cannot be computed for, becomes a result row with an error and leaves the others alone.
 """
 
 import logging
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from assay.functions.statistics import pearson
 from assay.operators.checks import default_checks
 from assay.operators.profile import duplicate_count, numeric_columns, pairs, q
+from assay.operators.tolerant import tolerant
 from assay.plans.shape import PAIRS_PER_PASS, count_where, name, one_scan, percent, rows_of, text, union_all
 
 log = logging.getLogger(__name__)
@@ -25,6 +26,7 @@ RESULT = (
     "rule_id string, column_name string, severity string, description string, total_records bigint, "
     "violations bigint, compliance_rate double, error string"
 )
+ASSESSMENT = "section string, name string, column_name string, success boolean, value double, error string"
 
 
 @dataclass(frozen=True)
@@ -59,10 +61,13 @@ class Rule:
     def on(self, column_name: str, table_name: str = "") -> "Rule":
         return replace(self, column_name=column_name, table_name=table_name or self.table_name)
 
+    def known(self, predicate: str) -> str:
+        """SQL text of a boolean without nulls."""
+        return f"coalesce({predicate}, {str(self.on_null == 'violation').lower()})"
+
     @property
     def violation_sql(self) -> str:
-        """SQL text of a boolean without nulls."""
-        return f"coalesce({self.sql}, {str(self.on_null == 'violation').lower()})"
+        return self.known(self.sql)
 
     def violation(self) -> Column:
         return F.expr(self.violation_sql)
@@ -130,17 +135,55 @@ def rule_errors(df: DataFrame, rules: list[Rule]) -> dict[int, str]:
     return {i: error for i, error in errors.items() if error is not None}
 
 
-def _result(rule):
-    return lambda violations: {
-        "rule_id": text(rule.rule_id),
-        "column_name": text(rule.column_name),
-        "severity": text(rule.severity),
-        "description": text(rule.description),
-        "total_records": "_total",
-        "violations": violations,
-        "compliance_rate": percent(f"_total - {violations}", "_total", 100.0),
-        "error": text(None),
-    }
+@dataclass(frozen=True)
+class Counted:
+    """How the violations of a rule are counted: SQL texts over the value of its aggregate."""
+
+    aggregate: str
+    may_fail: bool
+    reasons: str = ""
+
+    def violations(self, value: str) -> str:
+        return f"{value}.violations" if self.may_fail else value
+
+    def unless_failed(self, value: str, then: str) -> str:
+        return f"IF({value}.failed = 0, {then}, NULL)" if self.may_fail else then
+
+    def error(self, value: str) -> str:
+        if not self.may_fail:
+            return text(None)
+        said = f"concat({text(self.reasons)}, ': cannot be computed for ', {value}.failed, ' rows')"
+        return f"IF({value}.failed > 0, {said}, NULL)"
+
+
+def counted(schema_only: DataFrame, rule: Rule) -> Counted:
+    """Violations, and beside them the rows for which the rule cannot be computed, if there can be such."""
+    form = tolerant(schema_only, rule.sql)
+    violations = f"count_if({rule.known(form.value)})"
+    if form.failed is None:
+        return Counted(violations, False)
+    return Counted(f"named_struct('violations', {violations}, 'failed', count_if({form.failed}))", True, form.reasons)
+
+
+def _schema_only(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], df.schema)
+
+
+def _result(rule, how: Counted = Counted("", False)):
+    def fields(value: str) -> dict[str, str]:
+        violations = how.violations(value)
+        return {
+            "rule_id": text(rule.rule_id),
+            "column_name": text(rule.column_name),
+            "severity": text(rule.severity),
+            "description": text(rule.description),
+            "total_records": how.unless_failed(value, "_total"),
+            "violations": how.unless_failed(value, violations),
+            "compliance_rate": how.unless_failed(value, percent(f"_total - {violations}", "_total", 100.0)),
+            "error": how.error(value),
+        }
+
+    return fields
 
 
 def _set_rule_counts(df: DataFrame, rule: SetRule) -> DataFrame:
@@ -153,10 +196,15 @@ def _set_rule_counts(df: DataFrame, rule: SetRule) -> DataFrame:
 
 
 def run_rules(df: DataFrame, rules: list[Rule], set_rules: list[SetRule] = ()) -> DataFrame:
-    """One result row per rule: totals, violations, compliance rate in percent, or an error."""
+    """One result row per rule: totals, violations, compliance rate in percent, or an error.
+
+    A rule that cannot be computed for some rows has their number as its error and no counts; the
+    rows of the other rules come from the same scan and are as they would be without it.
+    """
     errors = rule_errors(df, rules)
-    good = [r for i, r in enumerate(rules) if i not in errors]
-    frames = one_scan(df, [(f"count_if({r.violation_sql})", _result(r)) for r in good])
+    schema_only = _schema_only(df)
+    good = [(r, counted(schema_only, r)) for i, r in enumerate(rules) if i not in errors]
+    frames = one_scan(df, [(how.aggregate, _result(r, how)) for r, how in good])
     frames += [rows_of(_set_rule_counts(df, rule), [_result(rule)("violations")]) for rule in set_rules]
     bad = [
         (rules[i].rule_id, rules[i].column_name, rules[i].severity, rules[i].description, None, None, None, text)
@@ -168,9 +216,9 @@ def run_rules(df: DataFrame, rules: list[Rule], set_rules: list[SetRule] = ()) -
 
 
 def run_rules_isolated(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """As ``run_rules``, but evaluated now, and errors met on the data stay with their rule.
+    """As ``run_rules``, but evaluated now, for rules that may fail in ways that have no ``try_`` form.
 
-    If the shared scan fails, the rules are split in half and tried again, so one failing
+    If the shared scan fails all the same, the rules are split in half and tried again, so one failing
     rule costs a logarithmic number of extra scans. Only one row per rule is brought back.
     """
     if not rules:
@@ -202,7 +250,7 @@ def sample_violations(df: DataFrame, rules: list[Rule], key: str, k: int = 5) ->
     """The first ``k`` violating rows of each rule by ``key``: ``(rule_id, column_name, position, key, value)``.
 
     One scan marks the rows; each partition keeps at most ``k`` rows per rule before the
-    shuffle.
+    shuffle. Rows that a rule cannot be computed for count as unknown.
     """
     errors = rule_errors(df, rules)
     good = [r for i, r in enumerate(rules) if i not in errors]
@@ -210,8 +258,9 @@ def sample_violations(df: DataFrame, rules: list[Rule], key: str, k: int = 5) ->
         key_type = df.schema[key].dataType.simpleString()
         schema = f"key {key_type}, rule_id string, column_name string, value string, position int"
         return df.sparkSession.createDataFrame([], schema)
+    schema_only = _schema_only(df)
     marks = ", ".join(
-        f"IF({r.violation_sql}, named_struct('rule_id', {text(r.rule_id)}, 'column_name', {text(r.column_name)}, "
+        f"IF({r.known(tolerant(schema_only, r.sql).value)}, named_struct('rule_id', {text(r.rule_id)}, 'column_name', {text(r.column_name)}, "
         f"'value', CAST({name(r.column_name) if r.column_name else 'NULL'} AS STRING)), NULL)"
         for r in good
     )
@@ -230,15 +279,19 @@ def assessment_run(
     correlations, duplicates and set rules run beside it.
     """
 
-    def fields(section: str, item: str, column_name: str | None, judged: bool):
-        return lambda v: {
-            "section": text(section),
-            "name": text(item),
-            "column_name": text(column_name),
-            "success": f"{v} = 0" if judged else "CAST(NULL AS BOOLEAN)",
-            "value": f"CAST({v} AS DOUBLE)",
-            "error": text(None),
-        }
+    def fields(section: str, item: str, column_name: str | None, judged: bool, how: Counted = Counted("", False)):
+        def row(value: str) -> dict[str, str]:
+            found = how.unless_failed(value, how.violations(value))
+            return {
+                "section": text(section),
+                "name": text(item),
+                "column_name": text(column_name),
+                "success": f"coalesce({found} = 0, false)" if judged else "CAST(NULL AS BOOLEAN)",
+                "value": f"CAST({found} AS DOUBLE)",
+                "error": how.error(value),
+            }
+
+        return row
 
     measures = [("count(1)", fields("basic_stats", "row_count", None, False))]
     frames = []
@@ -261,17 +314,16 @@ def assessment_run(
             for check in default_checks(df, column)
         ]
     errors = rule_errors(df, rules)
-    measures += [
-        (f"count_if({r.violation_sql})", fields("rules", r.rule_id, r.column_name, True))
-        for i, r in enumerate(rules)
-        if i not in errors
-    ]
+    schema_only = _schema_only(df)
+    for i, r in enumerate(rules):
+        if i not in errors:
+            how = counted(schema_only, r)
+            measures.append((how.aggregate, fields("rules", r.rule_id, r.column_name, True, how)))
     frames += one_scan(df, measures)
     for rule in set_rules:
         row = fields("rules", rule.rule_id, rule.column_name, True)
         frames.append(rows_of(_set_rule_counts(df, rule), [row("violations")]))
     if errors:
         bad = [("rules", rules[i].rule_id, rules[i].column_name, False, None, text) for i, text in errors.items()]
-        schema = "section string, name string, column_name string, success boolean, value double, error string"
-        frames.append(df.sparkSession.createDataFrame(bad, schema))
+        frames.append(df.sparkSession.createDataFrame(bad, ASSESSMENT))
     return union_all(frames)

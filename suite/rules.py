@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from assay.operators import registry as rg
 from assay.operators import rules as ru
+from assay.operators.rule_book import assess_registered
 from assay.operators.rule_pack import OVERLAP, PACK, overlapping_rows
+from assay.plans.lineage import fresh_dir
 from suite import case
 from suite import views as v
 
@@ -182,37 +184,81 @@ def rule_sample_violations(spark, sf):
     return ru.sample_violations(per(spark, sf), placed_rules(), "id", 5)
 
 
-SUMMARY = ["id", "department_id", "salary", "age", "email", "nino", "country", "phone", "date_of_birth",
-           "postal_code", "project_code", "reference"]
-NUMERIC = ["id", "department_id", "salary", "age"]
+COLUMNS = ["id", "employee_id", "first_name", "last_name", "job_id", "department_id", "manager_id", "salary",
+           "commission_pct", "hire_date", "age", "email", "nino", "date_of_birth", "postal_code", "country", "phone",
+           "reference", "project_code", "latitude", "longitude"]
+NUMERIC = ["id", "employee_id", "department_id", "manager_id", "salary", "commission_pct", "age", "latitude", "longitude"]
+REGISTERED = [*PLACED, ("not_null", "*"), ("broken_column", "age")]
+
+
+def rule_events(spark, sf):
+    """Events that save and stop rules with their predicates, written to a log and read back."""
+    codes = {r: PACK[r].predicate for r, _ in PLACED} | {
+        "not_null": "column_name IS NULL",
+        "broken_column": "no_such_column > 1",
+    }
+    catalogue = spark.createDataFrame(
+        [(no, r, "per", c, "cat", r, codes[r]) for no, (r, c) in enumerate(REGISTERED)],
+        "rule_no bigint, rule_id string, table_name string, column_name string, category string, description string, predicate string",
+    )
+    log = fresh_dir(spark, "rule-log")
+    rg.append_event(v.view(spark, sf, v.RULE_EVENTS).join(F.broadcast(catalogue), "rule_no").drop("rule_no"), log)
+    return spark.read.parquet(log)
+
+
+def registered_counts():
+    """Per registered rule and column: rows for which its predicate is true, false and unknown."""
+    for no, (r, c) in enumerate(REGISTERED[:-1]):
+        for column in COLUMNS if c == "*" else [c]:
+            test = f"({column} IS NULL)" if c == "*" else violates(r, column)
+            yield (
+                f"SELECT {no} AS rule_no, '{r}' AS name, '{column}' AS column_name, count(*) FILTER ({test}) AS t, "
+                f"count(*) FILTER (NOT {test}) AS f, count(*) FILTER ({test} IS NULL) AS u FROM per"
+            )
+
+
+REGISTRY = (
+    v.with_views(per=v.PER, rule_events=v.RULE_EVENTS)[:-1]
+    + """,
+saves AS (SELECT *, row_number() OVER (PARTITION BY rule_no ORDER BY ts DESC, event_id DESC) AS rn
+          FROM rule_events WHERE action = 'save'),
+stops AS (SELECT *, row_number() OVER (PARTITION BY rule_no ORDER BY ts DESC, event_id DESC) AS rn
+          FROM rule_events WHERE action = 'deactivate'),
+standing AS (SELECT s.rule_no, coalesce(s.on_null, 'skip') AS on_null, coalesce(s.polarity, 'violation') AS polarity
+             FROM saves s LEFT JOIN stops d ON s.rule_no = d.rule_no AND d.rn = 1
+             WHERE s.rn = 1 AND NOT coalesce(d.ts > s.ts OR d.ts = s.ts AND d.event_id > s.event_id, false)),
+counted AS ("""
+    + "\nUNION ALL ".join(registered_counts())
+    + """),
+judged AS (SELECT name, column_name, CASE polarity WHEN 'pass' THEN f ELSE t END
+                  + CASE on_null WHEN 'violation' THEN u ELSE 0 END AS n
+           FROM counted JOIN standing USING (rule_no))
+"""
+)
 
 
 @case(
     "assessment_run",
-    PER
+    REGISTRY
     + "SELECT 'basic_stats' AS section, 'row_count' AS name, CAST(NULL AS VARCHAR) AS column_name, "
     + "CAST(NULL AS BOOLEAN) AS success, CAST(count(*) AS DOUBLE) AS value, false AS failed FROM per"
     + "\nUNION ALL SELECT 'basic_stats', 'duplicates', NULL, NULL, CAST(coalesce(sum(n - 1), 0) AS DOUBLE), false FROM "
-    + f"(SELECT count(*) AS n FROM per GROUP BY {', '.join(SUMMARY)}) t"
+    + f"(SELECT count(*) AS n FROM per GROUP BY {', '.join(COLUMNS)}) t"
     + "".join(
         f"\nUNION ALL SELECT 'missing_values', 'missing', '{c}', NULL, CAST(count(*) - count({c}) AS DOUBLE), false FROM per"
-        for c in SUMMARY
+        for c in COLUMNS
     )
     + "".join(
         f"\nUNION ALL SELECT 'correlations', '{b}', '{a}', NULL, round(corr({a}, {b}), 6), false FROM per"
         for i, a in enumerate(NUMERIC)
         for b in NUMERIC[i + 1 :]
     )
-    + "".join(
-        f"\nUNION ALL SELECT 'rules', '{r}', '{c}', count(*) FILTER ({violates(r, c)}) = 0, "
-        f"CAST(count(*) FILTER ({violates(r, c)}) AS DOUBLE), false FROM per"
-        for r, c in PLACED
-    )
-    + "\nUNION ALL SELECT 'rules', 'broken_column', 'age', false, NULL, true",
+    + "\nUNION ALL SELECT 'rules', name, column_name, n = 0, CAST(n AS DOUBLE), false FROM judged"
+    + f"\nUNION ALL SELECT 'rules', 'broken_column', 'age', false, NULL, true FROM standing WHERE rule_no = {len(PLACED) + 1}",
 )
 def assessment_run(spark, sf):
-    df = per(spark, sf).select(*SUMMARY)
-    result = ru.assessment_run(df, [*placed_rules(), broken_rules()[0]])
+    """All columns of the table, and the rules that its event log holds at the end."""
+    result = assess_registered(rule_events(spark, sf), "per", per(spark, sf))
     return result.select(
         "section",
         "name",
@@ -223,6 +269,36 @@ def assessment_run(spark, sf):
     )
 
 
+FAILS = {
+    "age_of_text": ("CAST(column_name AS INT) < 18", "reference"),
+    "ratio": ("salary / (age - 20) > 5000", "salary"),
+    "born_late": ("to_date(column_name, 'yyyy-MM-dd') > DATE '2000-01-01'", "date_of_birth"),
+}
+
+
+@case(
+    "rule_value_errors",
+    PER
+    + "SELECT rule_id, column_name, total_records, violations, CAST(NULL AS BIGINT) AS failed_rows FROM ("
+    + "\nUNION ALL ".join(result_sql(r, c, "per") for r, c in PLACED)
+    + """) t
+UNION ALL SELECT 'age_of_text', 'reference', NULL, NULL, count(*) FILTER (reference IS NOT NULL AND try_cast(reference AS INTEGER) IS NULL) FROM per
+UNION ALL SELECT 'ratio', 'salary', NULL, NULL, count(*) FILTER (age = 20 AND salary IS NOT NULL) FROM per
+UNION ALL SELECT 'born_late', 'date_of_birth', NULL, NULL, count(*) FILTER (date_of_birth IS NOT NULL AND
+  (try_strptime(date_of_birth, '%Y-%m-%d') IS NULL OR NOT regexp_matches(date_of_birth, '^\d{4}-\d{2}-\d{2}$'))) FROM per""",
+)
+def rule_value_errors(spark, sf):
+    """Rules that meet values they cannot be computed for, in one scan with rules that can."""
+    failing = [ru.Rule(name, predicate, column) for name, (predicate, column) in FAILS.items()]
+    return ru.run_rules(per(spark, sf), [*placed_rules(), *failing]).select(
+        "rule_id",
+        "column_name",
+        "total_records",
+        "violations",
+        F.regexp_extract("error", r"for (\d+) rows", 1).cast("bigint").alias("failed_rows"),
+    )
+
+
 @case(
     "assessment_run_column",
     ASSIGNMENTS

@@ -71,6 +71,14 @@ SELECT event_id, ts,
        CASE WHEN value > 60 THEN 'deactivate' ELSE 'save' END AS action
 FROM events"""
 
+RULE_EVENTS = """
+SELECT event_id, ts, event_id % 18 AS rule_no, 'registered_' || CAST(event_id % 18 AS STRING) AS config_key,
+       CASE user_id % 4 WHEN 0 THEN 'violation' WHEN 1 THEN NULL ELSE 'skip' END AS on_null,
+       CASE user_id % 3 WHEN 0 THEN 'pass' WHEN 1 THEN NULL ELSE 'violation' END AS polarity,
+       CASE event_id % 4 WHEN 0 THEN 'Critical' WHEN 1 THEN 'High' WHEN 2 THEN 'Medium' ELSE 'Low' END AS severity,
+       CASE WHEN value > 60 THEN 'deactivate' ELSE 'save' END AS action
+FROM events"""
+
 RUN_HISTORY = """
 SELECT event_type AS dataset, CAST(ts AS DATE) AS run_date, count(*) AS total_records,
        count(*) - count(DISTINCT user_id) AS duplicate_records,

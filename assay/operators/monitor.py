@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from assay.operators.profile import duplicate_count, numeric_columns
 from assay.plans.shape import name, one_scan, rows_of, text, union_all
-from assay.sources.results import append_alerts
+from assay.sources.results import publish, publish_alerts, run_key
 
 log = logging.getLogger(__name__)
 
@@ -99,8 +99,12 @@ def monitor_alerts(
 
     A run has at most one message per watched metric, so the list per run is bounded.
     """
+    return _alerts(metric_anomalies(history, threshold, metrics))
+
+
+def _alerts(judged: DataFrame) -> DataFrame:
     return (
-        _messages(metric_anomalies(history, threshold, metrics))
+        _messages(judged)
         .groupBy("dataset", "run_ts")
         .agg(
             F.count(F.lit(1)).alias("anomalies"),
@@ -109,6 +113,26 @@ def monitor_alerts(
     )
 
 
+def run_report(
+    history: DataFrame, run_ts: datetime, threshold: float = 2.0, metrics: tuple[str, ...] = WATCHED
+) -> DataFrame:
+    """The rows of one run of :func:`monitor_report`: judged by sums over its earlier runs, without a window."""
+    now = F.lit(run_ts).cast("timestamp_ntz")
+    earlier = (
+        history.where((F.col("run_ts") < now) & F.col("metric").isin(*metrics))
+        .groupBy("dataset", "metric")
+        .agg(F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_std"))
+    )
+    z = F.when(F.col("_std") > 0, F.abs(F.col("value") - F.col("_mean")) / F.col("_std"))
+    return (
+        history.where(F.col("run_ts") == now)
+        .join(earlier, ["dataset", "metric"], "left")
+        .withColumn("z_score", z)
+        .withColumn("is_anomaly", F.coalesce(F.col("z_score") > threshold, F.lit(False)))
+        .select(*history.columns, "z_score", "is_anomaly")
+    )
+
+
 def monitor_run(
     spark: SparkSession,
     data: dict[str, DataFrame],
@@ -117,16 +141,19 @@ def monitor_run(
     run_ts: datetime,
     threshold: float = 2.0,
 ) -> DataFrame:
-    """One monitoring run over all datasets: append metrics, judge them, append alerts.
+    """One monitoring run over all datasets: publish metrics, judge them, publish alerts.
 
-    A dataset that fails is logged and skipped. Returns the report rows of this run.
+    A run is named by ``run_ts``: run again, after a failure at any point or without one, it leaves its
+    metrics and alerts once. A dataset that fails is logged and skipped. Returns the report rows of
+    this run.
     """
     for dataset, df in data.items():
         try:
-            monitor_metrics(df, dataset, run_ts).write.mode("append").partitionBy("dataset").parquet(history_path)
+            measured = monitor_metrics(df, dataset, run_ts).withColumn("run", F.lit(run_key(run_ts)))
+            publish(measured, history_path, ["run", "dataset"])
         except PySparkException:
             log.exception("monitoring of %s failed", dataset)
-    history = spark.read.parquet(history_path).withColumn("dataset", F.col("dataset").cast("string"))
-    now = F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz")
-    append_alerts(monitor_alerts(history, threshold).where(now), alerts_path)
-    return monitor_report(history, threshold).where(now)
+    history = spark.read.parquet(history_path).withColumn("dataset", F.col("dataset").cast("string")).drop("run")
+    report = run_report(history, run_ts, threshold)
+    publish_alerts(_alerts(report), alerts_path, run_ts)
+    return report

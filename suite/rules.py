@@ -1,5 +1,7 @@
 """Rule engine, rule pack, registry and rule statistics."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from assay.operators import registry as rg
@@ -7,6 +9,7 @@ from assay.operators import rules as ru
 from assay.operators.rule_book import assess_registered
 from assay.operators.rule_pack import OVERLAP, PACK, overlapping_rows
 from assay.plans.lineage import fresh_dir
+from assay.sources import results as rs
 from suite import case
 from suite import views as v
 
@@ -460,3 +463,33 @@ def rule_execution_history(spark, sf):
     )
     rates = ["compliance_rate", "previous_rate", "change"]
     return rg.rule_execution_history(results).withColumns({c: F.round(c, 6) for c in rates})
+
+
+RUNS = [(datetime(2024, 3, day, 8), keep) for day, keep in ((1, "id % 3 <> 0"), (2, "id % 3 <> 1"), (3, "id % 3 <> 2"))]
+WATCHED = PLACED[:8]
+
+
+@case(
+    "rule_execution_saved",
+    PER
+    + ", saved AS ("
+    + "\nUNION ALL ".join(
+        f"SELECT rule_id, compliance_rate, TIMESTAMP '{ts}' AS run_ts FROM ({result_sql(r, c, f'(SELECT * FROM per WHERE {keep}) t')}) s"
+        for ts, keep in RUNS
+        for r, c in WATCHED
+    )
+    + """)
+SELECT rule_id, CAST(run_ts AS TIMESTAMP) AS run_ts, compliance_rate, lag(compliance_rate) OVER w AS previous_rate,
+       CAST(max(run_ts) OVER (PARTITION BY rule_id) AS TIMESTAMP) AS last_validated,
+       round(compliance_rate - lag(compliance_rate) OVER w, 6) AS change
+FROM saved WINDOW w AS (PARTITION BY rule_id ORDER BY run_ts)""",
+)
+def rule_execution_saved(spark, sf):
+    """Runs are saved to disk, the last one twice, and their history is read back."""
+    folder = fresh_dir(spark, "runs")
+    people = per(spark, sf)
+    for ts, keep in [*RUNS, RUNS[-1]]:
+        results = ru.run_rules(people.where(keep), [PACK[r].on(c, "per") for r, c in WATCHED])
+        rs.save_results(rounded(results), folder, ts, "per")
+    saved = rs.load_results(spark, folder).select("rule_id", "run_ts", "compliance_rate")
+    return rg.rule_execution_history(saved).withColumn("change", F.round("change", 6))

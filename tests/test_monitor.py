@@ -159,3 +159,53 @@ def test_metrics_history_file(spark):
     spark.createDataFrame([("timestamp,accuracy",), ("2024-01-02 03:04:05,0.5",), ("2024-01-03,0.6",), ("soon,",)], "value string").coalesce(1).write.text(path)
     got = rows(rs.load_metrics_history(spark, path, ["accuracy"]))
     assert got == [(None, None), (datetime(2024, 1, 2, 3, 4, 5), 0.5), (datetime(2024, 1, 3), 0.6)]
+
+
+def test_a_run_that_is_repeated_is_published_once(spark, monkeypatch):
+    """Repeats, and a failure between the metrics and the alerts, leave the rows of one run."""
+    folder = fresh_dir(spark, "monitor")
+
+    def run(i, n):
+        data = {"a": spark.range(n), "b": spark.range(5)}
+        return mo.monitor_run(spark, data, f"{folder}/h", f"{folder}/a", day(i))
+
+    def kept():
+        history = spark.read.parquet(f"{folder}/h").select("dataset", "run_ts", "metric", "column_name", "value")
+        alerts = rs.load_alerts(spark, f"{folder}/a")
+        return rows(history), rows(alerts)
+
+    for i, n in enumerate((10, 12, 90, 10)):
+        run(i + 1, n)
+    once = kept()
+    assert len(once[1]) == 1
+    report = rows(run(3, 90))
+    assert kept() == once
+    publish = mo.publish_alerts
+    monkeypatch.setattr(mo, "publish_alerts", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        run(3, 90)
+    monkeypatch.setattr(mo, "publish_alerts", publish)
+    assert rows(run(3, 90)) == report and kept() == once
+    # The run is mended: its alerts go with what caused them.
+    run(3, 13)
+    assert kept()[1] == [] or all(r[1] != day(3) for r in kept()[1])
+    assert len(kept()[0]) == len(once[0])
+
+
+def test_the_report_of_a_run_equals_its_part_of_the_whole(spark):
+    values = [("a", day(i), "total_records", None, float(x)) for i, x in enumerate((10, 12, 11, 90, 12), 1)]
+    values += [("a", day(i), "mean", "x", float(i)) for i in range(1, 6)] + [("b", day(4), "total_records", None, 3.0)]
+    history = spark.createDataFrame(values, "dataset string, run_ts timestamp_ntz, metric string, column_name string, value double")
+    for i in range(1, 6):
+        whole = mo.monitor_report(history).where(F.col("run_ts") == F.lit(day(i)).cast("timestamp_ntz"))
+        own = mo.run_report(history, day(i))
+        columns = ["dataset", "run_ts", "metric", "column_name", "value", F.round("z_score", 9), "is_anomaly"]
+        assert rows(own.select(*columns)) == rows(whole.select(*columns))
+
+
+def test_saved_results_replace_the_same_run_only(spark):
+    path = fresh_dir(spark, "results")
+    for value, hour, column in ((1, 1, "c"), (2, 1, "d"), (3, 2, "c"), (4, 2, None), (5, 1, "c")):
+        rs.save_results(spark.createDataFrame([(value,)], "v int"), path, datetime(2024, 1, 1, hour), "t", column)
+    assert rows(rs.load_results(spark, path).select("v")) == [(2,), (3,), (4,), (5,)]
+    assert "run_key" not in rs.load_results(spark, path).columns

@@ -99,10 +99,11 @@ def monitor_alerts(
 
     A run has at most one message per watched metric, so the list per run is bounded.
     """
-    return _alerts(metric_anomalies(history, threshold, metrics))
+    return alerts_of(metric_anomalies(history, threshold, metrics))
 
 
-def _alerts(judged: DataFrame) -> DataFrame:
+def alerts_of(judged: DataFrame) -> DataFrame:
+    """``(dataset, run_ts, anomalies, messages)`` from rows with ``z_score`` and ``is_anomaly``."""
     return (
         _messages(judged)
         .groupBy("dataset", "run_ts")
@@ -155,5 +156,5 @@ def monitor_run(
             log.exception("monitoring of %s failed", dataset)
     history = spark.read.parquet(history_path).withColumn("dataset", F.col("dataset").cast("string")).drop("run")
     report = run_report(history, run_ts, threshold)
-    publish_alerts(_alerts(report), alerts_path, run_ts)
+    publish_alerts(alerts_of(report), alerts_path, run_ts)
     return report

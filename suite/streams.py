@@ -60,6 +60,32 @@ def stream_monitor(spark, sf):
     )
 
 
+@case(
+    "stream_alerts",
+    """WITH closed AS (
+  SELECT event_type AS dataset, date_trunc('day', ts) AS run_ts, count(*) AS n, avg(value) AS mean FROM events
+  WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2),
+measured AS (SELECT dataset, run_ts, 'total_records' AS metric, CAST(n AS DOUBLE) AS value FROM closed
+             UNION ALL SELECT dataset, run_ts, 'mean', mean FROM closed),
+scored AS (SELECT *, abs(value - avg(value) OVER w) / nullif(stddev_samp(value) OVER w, 0) AS z FROM measured
+           WINDOW w AS (PARTITION BY dataset, metric ORDER BY run_ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT dataset, CAST(run_ts AS TIMESTAMP) AS run_ts, count(*) AS anomalies FROM scored WHERE z > 1.5 GROUP BY 1, 2""",
+)
+def stream_alerts(spark, sf):
+    """Alerts of the stream, judged by the state that is kept between batches."""
+    alerts = fresh_dir(spark, "stream-alerts")
+    sm.start_stream_monitor(
+        _wide(stream(spark, sf, "events")),
+        fresh_dir(spark, "stream-history"),
+        alerts,
+        fresh_dir(spark, "stream-state"),
+        threshold=1.5,
+        metrics=("total_records", "mean"),
+    ).awaitTermination()
+    found = spark.read.schema("dataset string, run_ts timestamp_ntz, anomalies bigint").parquet(alerts)
+    return found.select("dataset", "run_ts", "anomalies")
+
+
 RULES = [("ppl_001", "age"), ("dq1", "email"), ("asg_002", "project_code"), ("addr_002", "country"), ("dq2", "date_of_birth")]
 FAILED = "concat_ws(',', " + ", ".join(f"CASE WHEN {violates(r, c)} THEN '{r}' END" for r, c in RULES) + ")"
 

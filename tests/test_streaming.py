@@ -1,9 +1,11 @@
 """Streaming jobs against the same computation on a table."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from assay.operators import monitor as mo
 from assay.operators.rule_pack import PACK
 from assay.operators.rules import Rule
 from assay.plans.lineage import fresh_dir
@@ -109,3 +111,51 @@ def test_rules_that_fail_on_values_quarantine_the_batch(spark):
 
 def test_no_rules_let_everything_pass(spark):
     assert rows(sv.with_failing_rules(spark.range(1), [])) == [(0, [])]
+
+
+def test_state_over_batches_judges_as_the_whole_history(spark):
+    """Values far from zero, nulls, datasets that begin late or pause: as the windows over all runs."""
+    rng = random.Random(2)
+    start, values = datetime(2024, 1, 1), []
+    for hour in range(40):
+        for dataset, metric in (("a", "total_records"), ("a", "approx_duplicates"), ("b", "total_records"), ("c", "total_records")):
+            if (dataset, hour % 7) not in (("b", 3), ("c", 1)) and (dataset != "c" or hour > 25):
+                value = None if rng.random() < 0.1 else 1e9 + rng.choice([0, 1, 2, 30])
+                values.append((dataset, start + timedelta(hours=hour), metric, None, value))
+    history = spark.createDataFrame(values, sm.HISTORY).cache()
+    state, found = spark.createDataFrame([], sm.STATE), []
+    for low, high in ((0, 1), (1, 4), (4, 4), (4, 20), (20, 21), (21, 40)):
+        arrived = history.where(
+            (F.col("run_ts") >= F.lit(start + timedelta(hours=low)).cast("timestamp_ntz"))
+            & (F.col("run_ts") < F.lit(start + timedelta(hours=high)).cast("timestamp_ntz"))
+        )
+        judged = sm.judged_by_state(state, arrived, 1.5)
+        found += judged.select("dataset", "run_ts", "metric", F.round("z_score", 5), "is_anomaly").collect()
+        state = spark.createDataFrame(sm.advanced_state(state, arrived).collect(), sm.STATE)
+    whole = mo.metric_anomalies(history, 1.5, sm.WATCHED)
+    expected = rows(whole.select("dataset", "run_ts", "metric", F.round("z_score", 5), "is_anomaly"))
+    assert sorted((tuple(r) for r in found), key=str) == sorted(expected, key=str)
+    assert sum(r.is_anomaly for r in found) > 3
+    assert state.count() == 4
+
+
+def test_alerts_over_many_batches_and_after_lost_state(spark):
+    start, data = datetime(2024, 1, 1), []
+    for hour, n in enumerate((5, 6, 5, 60, 5, 5, 6, 5, 70, 5, 5, 6)):
+        data += [(1000 * hour + i, "ab"[i % 2], start + timedelta(hours=hour, seconds=i), 1.0) for i in range(n)]
+    source, folder = fresh_dir(spark, "source"), fresh_dir(spark, "stream")
+    states = [f"{folder}/s1", f"{folder}/s1", f"{folder}/s2", f"{folder}/s2"]
+    for k, state in enumerate(states):
+        feed(spark, source, [r for r in data if r[0] // 3000 == k])
+        sm.start_stream_monitor(
+            wide(spark.readStream.schema(SCHEMA).parquet(source)), f"{folder}/h", f"{folder}/a", f"{folder}/c",
+            metrics=("total_records",), state_path=state,
+        ).awaitTermination()
+    history = spark.read.schema(sm.HISTORY).parquet(f"{folder}/h")
+    expected = mo.monitor_alerts(history, metrics=("total_records",))
+    got = spark.read.schema("dataset string, run_ts timestamp_ntz, anomalies bigint, messages array<string>").parquet(f"{folder}/a")
+    names = ["dataset", "run_ts", "anomalies", "messages"]
+    assert rows(got.select(*names)) == rows(expected.select(*names)) and got.count() >= 2
+    # A row per dataset and metric, and the mark, in each of the two folders.
+    kept = spark.read.parquet(f"{folder}/s2")
+    assert kept.groupBy("slot").count().where("count <> 3").isEmpty()

@@ -13,6 +13,8 @@ sent to the tasks; their size is that of the vocabulary file.
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,11 +27,25 @@ from assay.llm.common import table
 
 #: Stands for the end of a word in the text that the machine reads; no byte-level symbol is equal to it.
 END = "\ue000"
-KNOWN_CHUNKS, LONGEST_KNOWN, KNOWN_PAIRS = 400_000, 64, 2_000_000
+KNOWN_CHUNKS, KNOWN_WORDS, LONGEST_KNOWN, KNOWN_PAIRS = 200_000, 300_000, 64, 1_000_000
+#: Printable ASCII and Latin letters: composed, and of the same kind and lower case in every Unicode version.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+#: Steps of a file whose pre-tokens a regular expression finds alone, if the text is plain.
+PLAIN_STEPS = ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
 DECODED_AT_ONCE = 1 << 20
 NEVER = 1 << 62
 
 
+def _byte_letters() -> dict[int, int]:
+    """Bytes as letters: printable ones stand for themselves, the rest take code points from 256 on, in order."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [byte for byte in range(256) if byte not in printable]
+    return {byte: 256 + i for i, byte in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 @dataclass
 class Vocabulary:
     """What tasks need of a vocabulary file; sent to them once."""
@@ -128,15 +144,23 @@ class Encoder:
         for text, i in by_text.items():
             self.machine.add_word(text[::-1], i)
         self.machine.make_automaton()
-        self.length = {i: len(text) for i, text in texts.items()}
-        self.shorter = {
-            i: next((by_text[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in by_text), -1)
-            for i, text in texts.items()
-        }
+        self.length, self.shorter = [0] * len(vocabulary.tokens), [-1] * len(vocabulary.tokens)
+        for text, i in by_text.items():
+            self.length[i] = len(text)
+            self.shorter[i] = next((by_text[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in by_text), -1)
+        spec = json.loads(vocabulary.shell)
+        steps = [*spec["normalizer"].get("normalizers", []), *spec["pre_tokenizer"].get("pretokenizers", [])]
+        self.split = None
+        if [step["type"] for step in steps] == PLAIN_STEPS and steps[3]["invert"] and steps[3]["behavior"] == "Removed":
+            import regex
+
+            # White space is all that the replacement changes, and plain text has none.
+            self.split = regex.compile(steps[3]["pattern"]["Regex"])
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(map(re.escape, special))})") if special else None
         self.pairs: dict[tuple[int, int], bool] = {}
         self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def fits(self, a: int, b: int) -> bool:
         """Whether the encoding of the two texts in a row is just the two tokens."""
@@ -150,53 +174,70 @@ class Encoder:
     def word(self, word: str) -> list[int]:
         """Ids of one pre-token, given in the byte alphabet of the vocabulary."""
         text = word + END
-        n = len(text)
-        longest = [-1] * n
-        for end, token in self.machine.iter(text[::-1]):
-            # Of the matches at one place the longest is reported first.
-            if longest[n - 1 - end] < 0:
-                longest[n - 1 - end] = token
+        top = len(text) - 1
+        # Of the matches at one place the longest is reported first, so it is entered last.
+        longest = dict(reversed([*self.machine.iter(text[::-1])]))
+        length, shorter, pairs = self.length, self.shorter, self.pairs
         tokens: list[int] = []
         failed: set[int] = set()
-        at, token = 0, longest[0]
-        while at < n:
+        at, token, last = 0, longest.get(top, -1), -1
+        while at <= top:
             while token >= 0:
-                if at + self.length[token] not in failed and (not tokens or self.fits(tokens[-1], token)):
-                    break
-                token = self.shorter[token]
+                if at + length[token] not in failed:
+                    fits = last < 0 or pairs.get((last, token))
+                    if fits or (fits is None and self.fits(last, token)):
+                        break
+                token = shorter[token]
             if token >= 0:
                 tokens.append(token)
-                at += self.length[token]
-                token = longest[at] if at < n else -1
+                at += length[token]
+                last, token = token, longest.get(top - at, -1)
             elif tokens:
                 failed.add(at)
                 last = tokens.pop()
-                at -= self.length[last]
-                token = self.shorter[last]
+                at -= length[last]
+                token, last = shorter[last], tokens[-1] if tokens else -1
             else:
                 raise ValueError(f"no encoding: {word[:100]!r}")
         return tokens
 
+    def pieces(self, text: str) -> list[str]:
+        """Pre-tokens in the byte alphabet."""
+        if self.split and PLAIN.fullmatch(text):
+            found = self.split.findall(text.lower())
+            return found if text.isascii() else [p.encode().decode("latin-1").translate(BYTE_LETTERS) for p in found]
+        return [p for p, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(text))]
+
     def chunk(self, chunk: bytes) -> bytes:
-        """Ids of a stretch without white space."""
-        ids: list[int] = []
+        """Ids of a stretch without white space; a chunk that is met again is looked up."""
         text = chunk.decode(errors="replace")
+        found: list[bytes] = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.vocabulary.special:
-                ids.append(self.vocabulary.special[part])
+                found.append(np.array([self.vocabulary.special[part]], "<u4").tobytes())
             elif part:
-                for piece, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(part)):
-                    ids += self.word(piece)
-        packed = np.array(ids, "<u4").tobytes()
+                found += [self.words.get(piece) or self.learn(piece) for piece in self.pieces(part)]
+        ids = b"".join(found)
         if len(chunk) <= LONGEST_KNOWN:
             if len(self.chunks) >= KNOWN_CHUNKS:
                 self.chunks.clear()
-            self.chunks[chunk] = packed
-        return packed
+            self.chunks[chunk] = ids
+        return ids
+
+    def learn(self, piece: str) -> bytes:
+        packed = array("I", self.word(piece))
+        if sys.byteorder != "little":
+            packed.byteswap()
+        ids = packed.tobytes()
+        if len(piece) <= LONGEST_KNOWN:
+            if len(self.words) >= KNOWN_WORDS:
+                self.words.clear()
+            self.words[piece] = ids
+        return ids
 
     def text(self, text: bytes) -> bytes:
         known = self.chunks.get
-        return b"".join([known(c) or self.chunk(c) for c in text.split()])
+        return b"".join([known(chunk) or self.chunk(chunk) for chunk in text.split()])
 
 
 class Decoder:

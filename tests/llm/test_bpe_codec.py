@@ -48,6 +48,16 @@ def test_odd_texts(library, encoder):
     same(ODD, library, encoder)
 
 
+def test_plain_text_is_split_as_by_the_library(encoder):
+    rng = random.Random(8)
+    plain = [chr(c) for c in [*range(0x21, 0x7F), *range(0xC0, 0x250)] if bpe_codec.PLAIN.fullmatch(chr(c))]
+    words = ["".join(rng.choices(plain, k=rng.randint(1, 12))) for _ in range(5000)] + plain + ["'S", "DON'T", "a'LLb", "1a2"]
+    assert encoder.split is not None
+    for word in words:
+        slow = encoder.pre_tokenizer.pre_tokenize_str(encoder.normalizer.normalize_str(word))
+        assert encoder.pieces(word) == [piece for piece, _ in slow], word
+
+
 @pytest.mark.parametrize("letters", ["ab", "aein", "thern", "abcdefghijklmnopqrstuvwxyz'0 ", "aéß 中!?́　"])
 def test_random_words(library, encoder, letters):
     rng = random.Random(len(letters))

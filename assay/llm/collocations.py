@@ -33,8 +33,9 @@ PER_BUCKET, LEAST_BITS, MOST_BITS, BLOCK_BITS = 32, 16, 27, 16
 #: Bases of the two fingerprints; odd, so that they have an inverse.
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 WRAP = (1 << 64) - 1
-#: Runs that a task holds before it sends them, and texts that are broadcast by their keys at most.
-HELD_RUNS, FEW_TEXTS = 1 << 20, 1 << 20
+#: Runs that a task holds before it sends them, texts that are broadcast by their keys at most, and the
+#: leading bits of a fingerprint that name its block.
+HELD_RUNS, FEW_TEXTS, RUN_BLOCK_BITS = 1 << 20, 1 << 20, 8
 NO_WORD, BREAK = 0, 1
 
 
@@ -307,19 +308,33 @@ class Gathered:
         merged = {(lang, size): [tuple(columns)] for lang, size, columns in self.sums()}
         self.rows, self.size = merged, sum(len(parts[0][0]) for parts in merged.values())
 
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        for lang, size, columns in self.sums():
-            n = len(columns[0])
-            head = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, size), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*head, *(pa.array(c, pa.int64()) for c in columns)], names=RUN)
+    def take(self) -> Iterator[tuple[str, int, list[np.ndarray]]]:
+        """The sums; nothing is held afterwards."""
+        yield from self.sums()
         self.rows, self.size = {}, 0
 
 
-RUN = ["lang", "size", "print", "other", "key", "at", "times"]
+RUN = ("print", "other", "key", "at", "times")
+PACKED = "lang string, size int, block int, print binary, other binary, key binary, at binary, times binary"
+
+
+def _packed(gathered: Gathered) -> Iterator[pa.RecordBatch]:
+    """One row per language, length and block of fingerprints, with the numbers of its runs packed."""
+    rows = []
+    for lang, size, columns in gathered.take():
+        # Sorted as signed numbers, so the blocks are stretches.
+        blocks, starts = np.unique(columns[0] >> np.int64(64 - RUN_BLOCK_BITS), return_index=True)
+        for block, start, end in zip(blocks.tolist(), starts, [*starts[1:], len(columns[0])]):
+            rows.append((lang, size, block, *(c[start:end].astype(np.int64).tobytes() for c in columns)))
+    if rows:
+        types = (pa.string(), pa.int32(), pa.int32(), *[pa.binary()] * 5)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["lang", "size", "block", *RUN]
+        )
 
 
 def pointed_runs(texts: DataFrame, longest: int, bitmaps: dict[int, np.ndarray]) -> DataFrame:
-    """``lang, size, print, other, key, at, times``: runs that pass all bitmaps, added up within a task.
+    """Runs that pass all bitmaps, added up within a task and packed by blocks of fingerprints.
 
     ``key`` and ``at`` point at one occurrence: the hash of a text and the number of the word in it.
     Rows of size 0 hold all words of a language.
@@ -350,10 +365,44 @@ def pointed_runs(texts: DataFrame, longest: int, bitmaps: dict[int, np.ndarray])
             if gathered.size > HELD_RUNS:
                 gathered.merge()
                 if 2 * gathered.size > HELD_RUNS:
-                    yield from gathered.batches()
-        yield from gathered.batches()
+                    yield from _packed(gathered)
+        yield from _packed(gathered)
+
+    return texts.mapInArrow(point, PACKED)
+
 
-    return texts.mapInArrow(point, "lang string, size int, print long, other long, key long, at long, times long")
+def summed_runs(packed: DataFrame, least: int) -> DataFrame:
+    """``lang, size, print, other, key, at, a``: runs met ``least`` times in all, and the words per language (size 0)."""
+    schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), *[(c, pa.int64()) for c in (*RUN[:4], "a")]])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, gathered = None, Gathered()
+
+        def enough():
+            for lang, size, columns in gathered.take():
+                kept = (columns[4] >= least) | (size == 0)
+                n = int(kept.sum())
+                if n:
+                    head = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, size), pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*head, *(pa.array(c[kept]) for c in columns)], schema=schema)
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                here = tuple(batch.column(c)[row].as_py() for c in ("lang", "size", "block"))
+                if here != name:
+                    yield from enough()
+                    name = here
+                gathered.add(*here[:2], *(np.frombuffer(batch.column(c)[row].as_py(), np.int64) for c in RUN))
+                if gathered.size > HELD_RUNS:
+                    gathered.merge()
+        yield from enough()
+
+    order = ["lang", "size", "block"]
+    return (
+        packed.repartition(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(add, "lang string, size int, print long, other long, key long, at long, a long")
+    )
 
 
 def _read_at(texts: DataFrame, runs: DataFrame) -> DataFrame:
@@ -398,13 +447,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST)
     bitmaps = frequent_buckets(texts, range(1, min(longest, 2) + 1), bits, least, {})
     if longest > 2:
         bitmaps |= frequent_buckets(texts, range(3, longest + 1), bits, least, bitmaps)
-    summed = (
-        pointed_runs(texts, longest, bitmaps)
-        .groupBy("lang", "size", "print", "other")
-        .agg(F.sum("times").alias("a"), F.min(F.struct("key", "at")).alias("to"))
-        .where((F.col("size") == 0) | (F.col("a") >= least))
-    )
-    runs = saved(summed.select("lang", "size", "print", "other", "to.*", "a"), "runs")
+    runs = saved(summed_runs(pointed_runs(texts, longest, bitmaps), least), "runs")
     phrases = saved(_read_at(texts, runs.where("size > 0")), "phrases")
     return phrases, runs.where("size = 0").select("lang", F.col("a").alias("n"))
 

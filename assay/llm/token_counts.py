@@ -71,7 +71,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = None
         for batch in batches:
-            counts = counts or ChunkCounts(path)
+            if counts is None:  # an empty one is false
+                counts = ChunkCounts(path)
             texts = batch.column("text")
             tokens = [counts.of(texts[i].as_py()) for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays(

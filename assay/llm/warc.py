@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import table
+from assay.llm.common import saved, small_side, table
 from assay.plans.lineage import fresh_dir
 
 VERSION = re.compile(rb"WARC/[01]\.[0-9]+\r\n")
 MEMBER = b"\x1f\x8b\x08"
 LONGEST_HEADER = 1 << 20
+#: Bytes of a record beside its page and address, at most; revisits that are broadcast, at most.
+LONGEST_FIXED, FEW_REVISITS = 2048, 1_000_000
 
 RECORDS = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long,"
@@ -52,14 +54,16 @@ def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     last = long_ones.groupBy("payload_digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
     # Only payloads that occur again need looking up, so the pages themselves need not move.
     again = last.where("n > 1").select("payload_digest", "last")
-    revisits = (
+    revisits = saved(
         long_ones.join(again, "payload_digest")
         .where("last IS NOT NULL AND NOT page_id <=> last")
         .select("page_id", "payload_digest", F.col("last").alias("refers_to"))
-        .distinct()
+        .distinct(),
+        "revisits",
     )
-    key = (sized.page_id.eqNullSafe(revisits.page_id)) & (sized.payload_digest == revisits.payload_digest)
-    return sized.join(revisits, key, "left").select(sized["*"], "refers_to")
+    few = small_side(revisits, revisits.count(), FEW_REVISITS)
+    key = (sized.page_id.eqNullSafe(few.page_id)) & (sized.payload_digest == few.payload_digest)
+    return sized.join(few, key, "left").select(sized["*"], "refers_to")
 
 
 def record_id(page_id: Column) -> Column:
@@ -98,10 +102,18 @@ def record_text(date: str = "2024-01-01T00:00:00Z") -> Column:
     return F.concat(F.concat_ws(line, F.lit("WARC/1.1"), *lines), F.lit(line * 2), block, F.lit(line))
 
 
-def write_warc(pages: DataFrame, path: str, least: int = 1000, records_per_file: int = 8192) -> None:
-    """A WARC record per row of ``pages(page_id, url, html)`` in files below ``path``."""
+def write_warc(
+    pages: DataFrame, path: str, least: int = 1000, records_per_file: int = 8192, file_bytes: int = 1 << 29
+) -> None:
+    """A WARC record per row of ``pages(page_id, url, html)`` in files below ``path``.
+
+    A file has ``records_per_file`` records at most, and fewer if as many of the longest page would
+    pass ``file_bytes``; only a single record can be larger than that.
+    """
+    longest = pages.agg(F.max(F.octet_length("html") + F.coalesce(F.octet_length("url"), F.lit(0)))).first()[0] or 0
+    held = max(1, min(records_per_file, file_bytes // (longest + LONGEST_FIXED)))
     records = with_revisits(pages, least).select(record_text().alias("value"))
-    records.write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+    records.write.option("lineSep", "\r\n").option("maxRecordsPerFile", held).text(path)
 
 
 def member(record: bytes) -> bytes:

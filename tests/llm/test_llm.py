@@ -271,6 +271,16 @@ def test_warc_round_trip(spark, none, tmp_path):
     assert next(r for r in got if r.page_id == 3).payload.decode() == long
 
 
+def test_archive_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", f"<p>{i} " + "x" * (20_000 if i == 3 else 200)) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, f"{tmp_path}/warc", file_bytes=100_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "warc").glob("part-*")]
+    assert len(sizes) == 50 and max(sizes) < 100_000
+    records = warc.read_warc(spark, f"{tmp_path}/warc").collect()
+    assert sorted(r.page_id for r in records if r.reason is None) == list(range(200)) and len(records) == 200
+
+
 @pytest.mark.parametrize("packed", [False, True])
 def test_salvage_goes_on_after_damage(packed):
     records = []

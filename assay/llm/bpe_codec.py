@@ -27,7 +27,7 @@ from assay.llm.common import table
 
 #: Stands for the end of a word in the text that the machine reads; no byte-level symbol is equal to it.
 END = "\ue000"
-KNOWN_CHUNKS, KNOWN_WORDS, LONGEST_KNOWN, KNOWN_PAIRS = 200_000, 300_000, 64, 1_000_000
+KNOWN_CHUNKS, KNOWN_WORDS, LONGEST_KNOWN, KNOWN_PAIRS, ROWS_AT_ONCE = 100_000, 200_000, 32, 250_000, 500
 #: Printable ASCII and Latin letters: composed, and of the same kind and lower case in every Unicode version.
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Steps of a file whose pre-tokens a regular expression finds alone, if the text is plain.
@@ -260,6 +260,13 @@ class Decoder:
         return self.bytes[np.arange(ends[-1]) + np.repeat(first - (ends - size), size)].tobytes()
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that little is held beside the batch itself."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -272,7 +279,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
-        for batch in batches:
+        for batch in _small(batches):
             if encoder is None:
                 encoder = Encoder(shared.value)
             ids = [encoder.text(text.as_py() or b"") for text in batch.column("text")]
@@ -291,7 +298,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = None
-        for batch in batches:
+        for batch in _small(batches):
             if decoder is None:
                 decoder = Decoder(shared.value)
             packed = [ids.as_py() for ids in batch.column("ids")]

@@ -27,7 +27,7 @@ from assay.llm.common import table
 
 #: Stands for the end of a word in the text that the machine reads; no byte-level symbol is equal to it.
 END = "\ue000"
-KNOWN_CHUNKS, KNOWN_WORDS, LONGEST_KNOWN, KNOWN_PAIRS, ROWS_AT_ONCE = 100_000, 200_000, 32, 250_000, 500
+KNOWN_CHUNKS, KNOWN_WORDS, LONGEST_KNOWN, KNOWN_PAIRS, ROWS_AT_ONCE = 150_000, 300_000, 64, 250_000, 500
 #: Printable ASCII and Latin letters: composed, and of the same kind and lower case in every Unicode version.
 PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Steps of a file whose pre-tokens a regular expression finds alone, if the text is plain.

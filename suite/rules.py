@@ -284,7 +284,7 @@ FAILS = {
     PER
     + "SELECT rule_id, column_name, total_records, violations, CAST(NULL AS BIGINT) AS failed_rows FROM ("
     + "\nUNION ALL ".join(result_sql(r, c, "per") for r, c in PLACED)
-    + """) t
+    + r""") t
 UNION ALL SELECT 'age_of_text', 'reference', NULL, NULL, count(*) FILTER (reference IS NOT NULL AND try_cast(reference AS INTEGER) IS NULL) FROM per
 UNION ALL SELECT 'ratio', 'salary', NULL, NULL, count(*) FILTER (age = 20 AND salary IS NOT NULL) FROM per
 UNION ALL SELECT 'born_late', 'date_of_birth', NULL, NULL, count(*) FILTER (date_of_birth IS NOT NULL AND

@@ -12,10 +12,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm.common import saved, small_side, table
+from assay.llm.common import quoted, saved, small_side, table
 from assay.llm.stars import Verify, star_components
 
 SHINGLE = 8
@@ -88,7 +88,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line, keys`` of every line that isn't blank; ``line`` is the hash of its text."""
+    """``doc_id, text_key, line_no, line, keys`` of every line that isn't blank; ``line`` is the hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
@@ -99,31 +99,34 @@ def occurrences(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
+                    pa.array(texts, pa.int64()),
                     pa.array(numbers, pa.int32()),
                     pa.array([line_hash(line) for line in lines], pa.int64()),
                     flat,
                 ],
-                names=["doc_id", "line_no", "line", "keys"],
+                names=["doc_id", "text_key", "line_no", "line", "keys"],
             )
 
         for batch in batches:
-            ids, numbers, lines, held = [], [], [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            ids, texts, numbers, lines, held = [], [], [], [], 0
+            keys_of = batch.column("text_key").to_pylist()
+            for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), keys_of, batch.column("text"), strict=True):
                 for number, line in enumerate((text.as_py() or "").split("\n")):
                     line = plain(line)
                     if line:
                         ids.append(doc_id)
+                        texts.append(key)
                         numbers.append(number)
                         lines.append(line)
                         held += len(line)
                 # A megabyte at a time keeps the hashes in the processor's cache.
                 if held > CHUNK * 4:
                     yield flush()
-                    ids, numbers, lines, held = [], [], [], 0
+                    ids, texts, numbers, lines, held = [], [], [], [], 0
             if lines:
                 yield flush()
 
-    return docs.mapInArrow(run, "doc_id long, line_no int, line long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key long, line_no int, line long, keys array<long>")
 
 
 def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
@@ -171,46 +174,58 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
     return verify, traits
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows apart that share a doc_id and not the text."""
+    return F.xxhash64(text)
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no`` of every line that repeats an earlier one, equal or similar.
+    """``doc_id, text_key, line_no`` of every line that repeats an earlier one, equal or similar.
 
     Lines are numbered from 0 within a text; blank lines, null and empty texts repeat nothing.
-    The first occurrence, by doc_id and line number, of each component stays. Rows that repeat a
-    doc_id with its text repeat its lines at the same place and are not dropped for that; rows
-    without doc_id are left out.
+    The first occurrence, by doc_id, line number and hash of the text, of each component stays. A row is
+    known by its doc_id and :func:`text_key`: rows that share an id and not the text are judged apart,
+    rows that repeat an id with its text repeat its lines at the same place and are not dropped for
+    that; rows without doc_id are left out.
     """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
+    narrow = narrow.where("doc_id IS NOT NULL")
     found = saved(occurrences(narrow), "occurrences")
-    distinct = found.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
-    keyed = distinct.select(F.col("line").alias("node"), F.explode("keys").alias("key")).distinct()
+    distinct = found.groupBy("line").agg(F.first("keys").alias("keys"))
+    # A line's keys differ from each other, as the number of the band is hashed with them.
+    keyed = distinct.select(F.col("line").alias("node"), F.explode("keys").alias("key"))
     components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes), THRESHOLD)
-    where = found.select("doc_id", "line_no", "line")
+    where = found.select("doc_id", "text_key", "line_no", "line")
     if components is not None:
         where = where.join(components.withColumnRenamed("node", "line"), "line", "left")
-        where = where.select("doc_id", "line_no", F.coalesce("component", "line").alias("line"))
-    # Doc and line number in one comparable value, so that the smallest needs no sorting.
-    place = F.struct("doc_id", "line_no")
+        where = where.select("doc_id", "text_key", "line_no", F.coalesce("component", "line").alias("line"))
+    # The whole place in one comparable value, so that the smallest needs no sorting.
+    place = F.struct("doc_id", "line_no", "text_key")
     first = where.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     joined = where.join(first, "line")
-    return joined.where(place != F.col("first")).select("doc_id", "line_no")
+    return joined.where(place != F.col("first")).select("doc_id", "text_key", "line_no")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` without repeated lines in ``text``; see :func:`repeated_lines`. All rows stay."""
-    dropped = repeated_lines(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("_dropped"))
-    lines = F.split(F.col("text"), "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("_dropped", i))
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return docs.join(dropped, "doc_id", "left").withColumn("text", text).select(*docs.columns)
+    """``docs`` without repeated lines in ``text``; see :func:`repeated_lines`. All rows and columns stay."""
+    dropped = repeated_lines(docs).groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("dropped"))
+    # Columns of the caller stay in a struct, so that none of theirs can clash with these.
+    own = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
+    own = own.withColumns({"doc_id": F.col("row.doc_id").cast("long"), "text_key": text_key(F.col("row.text"))})
+    kept = F.filter(F.split(F.col("row.text"), "\n"), lambda _, i: ~F.array_contains("dropped", i))
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    return own.join(dropped, ["doc_id", "text_key"], "left").select(
+        *[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns]
+    )
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document with repeated lines: their number and their places in order."""
-    dropped = repeated_lines(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     lines = F.array_sort(F.collect_set("line_no"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"))
-    per = dropped.groupBy("doc_id").agg(lines.alias("dropped_lines"))
-    return docs.join(per, "doc_id", "left").select(
+    per = repeated_lines(docs).groupBy("doc_id", "text_key").agg(lines.alias("dropped_lines"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"))
+    return own.join(per, ["doc_id", "text_key"], "left").select(
         "doc_id",
         F.coalesce(F.size("dropped_lines"), F.lit(0)).alias("n_dropped"),
         F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped_lines"),

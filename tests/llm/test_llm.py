@@ -382,6 +382,52 @@ def test_line_dedup(spark, none):
     assert line_dedup.repeated_lines(empty).count() == 0
 
 
+def test_lines_of_one_id_with_unlike_texts_are_judged_apart(spark):
+    line = "a line that is long enough to be compared by its shingles, kept where it is met first"
+    rows = [(1, f"{line}\nfirst"), (2, "its own text that no other row holds\nsecond"), (2, f"{line}\nkept here"), (2, f"{line}\nkept here")]
+    schema = "doc_id long, text string, `a.b` int, dropped string, row map<string,int>, text_key int"
+    docs = spark.createDataFrame([(*r, i, "mine", {"k": i}, i) for i, r in enumerate(rows)], schema)
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns == docs.columns
+    want = [f"{line}\nfirst", rows[1][1], "kept here", "kept here"]
+    assert [tuple(r) for r in got.orderBy("`a.b`").collect()] == [
+        (r[0], w, i, "mine", {"k": i}, i) for i, (r, w) in enumerate(zip(rows, want, strict=True))
+    ]
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(400)]
+    originals = [" ".join(rng.choice(words, 14)) for _ in range(60)]
+    texts = []
+    for _ in range(150):
+        lines = []
+        for _ in range(int(rng.integers(1, 6))):
+            line = originals[int(rng.integers(60))].split()
+            if rng.random() < 0.5:
+                line[int(rng.integers(len(line)))] = str(rng.choice(words))
+            lines.append(" ".join(line))
+        texts.append("\n".join(lines))
+    places = [(d, n, line) for d, text in enumerate(texts) for n, line in enumerate(text.split("\n"))]
+    sets = [line_dedup.shingle_set(line_dedup.plain(line)) for *_, line in places]
+    root = list(range(len(places)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(places)):
+        for j in range(i):
+            if line_dedup.jaccard(sets[i], sets[j]) >= line_dedup.THRESHOLD:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    want = {(d, n) for i, (d, n, _) in enumerate(places) if find(i) != i}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.line_no) for r in line_dedup.repeated_lines(docs).collect()} == want
+    assert want and len(want) < len(places) - 1
+
+
 def test_nearest_finds_what_brute_force_finds(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 16)) * rng.uniform(0.5, 2, (3000, 1))

@@ -2,10 +2,9 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from assay.plans.shape import name
+from assay.plans.shape import name, text
 
 
 def pearson(x: str, y: str) -> str:
@@ -15,82 +14,107 @@ def pearson(x: str, y: str) -> str:
     return f"try_divide(covar_pop({a}, {b}), {spread})"
 
 
+#: Relative error of the rank in Spark's quantile sketch is 1 / SKETCH.
+SKETCH = 10_000
+#: Values of a column that a pass brings back, at most.
+KEEP = 10_000
+
+
 @dataclass
 class _Search:
-    """Where one order statistic still may lie: in [low, high], at ``rank`` (from 0) within it."""
+    """The two middle ranks of a column, whose values lie in [low, high]; at most ``inside`` lie strictly between."""
 
     column: str
-    rank: int
+    n: int
+    ends: tuple[float, float]
     low: float
     high: float
+    inside: float
+    bins: int
+    slack: int = 1
+    found: tuple[float, float] | None = None
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        return (self.n - 1) // 2, self.n // 2
+
+    def measures(self, v: str) -> str:
+        """SQL aggregate of a pass: rows below, at and between the ends, and the values or quantiles between them."""
+        low, high = (f"CAST({text(repr(end))} AS DOUBLE)" for end in (self.low, self.high))
+        between = f"CASE WHEN {v} > {low} AND {v} < {high} THEN {v} END"
+        if self.inside <= KEEP:
+            seen = f"array_sort(collect_list({between}))"
+        else:
+            grid = ", ".join(f"{i / self.bins}D" for i in range(self.bins + 1))
+            seen = f"percentile_approx({between}, array({grid}), {SKETCH})"
+        return (
+            f"named_struct('below', count_if({v} < {low}), 'at_low', count_if({v} = {low}), 'between', count({between}), "
+            f"'at_high', count_if({v} = {high}), 'seen', {seen})"
+        )
 
-
-def exact_medians(
-    df: DataFrame, columns: list[str], bins: int = 4096
-) -> dict[str, float | None]:
+    def narrow(self, counted) -> None:
+        """Take the counts of a pass: find both values or a smaller range."""
+        first = counted["below"] + counted["at_low"]
+        after = first + counted["between"]
+
+        def value(rank: int) -> float | None:
+            if counted["below"] <= rank < first:
+                return self.low
+            if after <= rank < after + (counted["at_high"] if self.high > self.low else 0):
+                return self.high
+            if first <= rank < after and self.inside <= KEEP:
+                return counted["seen"][rank - first]
+            return None
+
+        values = tuple(value(rank) for rank in self.ranks)
+        if None not in values:
+            self.found = values
+        elif self.ranks[0] < counted["below"] or self.ranks[1] >= after + counted["at_high"]:
+            # Not where the sketch put it: a range that surely holds it, and more room for the sketch's error.
+            self.low, self.high, self.inside, self.slack = *self.ends, self.n, 2 * self.slack
+        else:
+            share = [(rank - first) / max(counted["between"], 1) * self.bins for rank in self.ranks]
+            grid = counted["seen"]
+            low, high = int(share[0]) - self.slack, int(share[1]) + 1 + self.slack
+            if low >= 0:
+                self.low = grid[low]
+            if high <= self.bins:
+                self.high = grid[high]
+            self.inside = counted["between"] * ((high - low) / self.bins + 2 / SKETCH)
+
+
+def exact_medians(df: DataFrame, columns: list[str], bins: int = 256) -> dict[str, float | None]:
     """Exact median of each column without gathering the column anywhere; NaN counts as missing.
 
-    The value range is cut into ``bins`` equal parts, rows are counted per part, and the search
-    goes on in the part that holds the wanted rank. One pass serves all columns and brings back at
-    most ``bins`` counts per column.
+    A quantile sketch gives a range that holds both middle ranks and few rows. The next pass counts
+    what lies below and in it and brings the values between its ends back, if they are sure to be at
+    most ``KEEP``; else it asks a sketch of those values for ``bins + 1`` quantiles and so a smaller
+    range. Up to some 16 million rows take two passes for all columns, a trillion takes four or five.
     """
     if not columns:
         return {}
-    doubles = {c: F.col(name(c)).cast("double") for c in columns}
-    value = {c: F.when(~F.isnan(v), v) for c, v in doubles.items()}
-    bounds = df.agg(
-        *[
-            F.struct(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).alias(c)
-            for c, v in value.items()
-        ]
-    ).first()
-
-    found: dict[tuple[str, int], float] = {}
-    wanted: dict[str, tuple[int, int]] = {}
-    open_: list[_Search] = []
-    for c in columns:
-        n, low, high = bounds[c]["n"], bounds[c]["low"], bounds[c]["high"]
-        if n:
-            wanted[c] = ((n - 1) // 2, n // 2)
-            open_ += [_Search(c, rank, low, high) for rank in sorted(set(wanted[c]))]
-    ranks = {id(s): (s.column, s.rank) for s in open_}
-
-    while open_:
-        for s in [s for s in open_ if s.low == s.high]:
-            found[ranks[id(s)]] = s.low
-        open_ = [s for s in open_ if s.low < s.high]
-        if not open_:
-            break
-        marks = [
-            F.struct(F.lit(i).alias("search"), _bin(value, s, bins).alias("bin"), _within(value, s).alias("v"))
-            for i, s in enumerate(open_)
+    doubles = [f"CAST({name(c)} AS DOUBLE)" for c in columns]
+    values = df.selectExpr(*[f"CASE WHEN NOT isnan({v}) THEN {v} END AS v{i}" for i, v in enumerate(doubles)])
+    about = f"array({0.5 - 2 / SKETCH}D, {0.5 + 2 / SKETCH}D)"
+
+    def one_row(measures: list[str]):
+        return values.selectExpr(*[f"{m} AS m{i}" for i, m in enumerate(measures)]).first()
+
+    ranges = one_row(
+        [
+            f"named_struct('n', count(v{i}), 'low', min(v{i}), 'high', max(v{i}), "
+            f"'about', percentile_approx(v{i}, {about}, {SKETCH}))"
+            for i in range(len(columns))
         ]
-        counted = (
-            df.select(F.inline(F.array(*marks)))
-            .where("v IS NOT NULL")
-            .groupBy("search", "bin")
-            .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .collect()
-        )
-        for i, s in enumerate(open_):
-            for part in sorted((r for r in counted if r["search"] == i), key=lambda r: r["bin"]):
-                if s.rank < part["n"]:
-                    s.low, s.high = part["low"], part["high"]
-                    break
-                s.rank -= part["n"]
-    return {
-        c: (found[c, wanted[c][0]] + found[c, wanted[c][1]]) / 2 if c in wanted else None for c in columns
+    )
+    searches = {
+        f"v{i}": _Search(c, r["n"], (r["low"], r["high"]), *r["about"], r["n"] * 6 / SKETCH, bins)
+        for i, (c, r) in enumerate(zip(columns, ranges, strict=True))
+        if r["n"]
     }
-
-
-def _within(value: dict[str, Column], s: _Search) -> Column:
-    v = value[s.column]
-    return F.when(v.between(s.low, s.high), v)
-
-
-def _bin(value: dict[str, Column], s: _Search, bins: int) -> Column:
-    """Part of the range; the end values have parts of their own, so every pass gets closer."""
-    v = value[s.column]
-    part = F.try_divide(v - s.low, F.lit((s.high - s.low) / bins)).try_cast("bigint")
-    inner = F.greatest(F.lit(1), F.least(F.coalesce(part, F.lit(1)), F.lit(bins - 2)))
-    return F.when(v == s.low, F.lit(0)).when(v == s.high, F.lit(bins - 1)).otherwise(inner)
+    while still := {v: s for v, s in searches.items() if s.found is None}:
+        for s, counted in zip(still.values(), one_row([s.measures(v) for v, s in still.items()]), strict=True):
+            s.narrow(counted)
+    searches = searches.values()
+    medians = {s.column: (s.found[0] + s.found[1]) / 2 for s in searches}
+    return {c: medians.get(c) for c in columns}

@@ -114,6 +114,24 @@ def test_exact_medians(spark, bins):
         assert got[name] == (statistics.median(values) if values else None), name
 
 
+@pytest.mark.parametrize("bins", [8, 40])
+def test_exact_medians_over_many_passes(spark, monkeypatch, bins):
+    # A coarse sketch and few values brought back stand for a table of very many rows.
+    monkeypatch.setattr("assay.functions.statistics.SKETCH", 50)
+    monkeypatch.setattr("assay.functions.statistics.KEEP", 5)
+    rng = random.Random(3)
+    columns = {
+        "normal": [rng.gauss(0, 1) for _ in range(4000)],
+        "tail": [rng.lognormvariate(0, 8) for _ in range(3999)] + [None],
+        "steps": [float(rng.randrange(40)) for _ in range(4000)],
+        "halves": [1.0] * 2000 + [2.0] * 2000,
+        "one": [7.0] + [None] * 3999,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    got = exact_medians(df, list(columns), bins)
+    assert got == {c: statistics.median([x for x in xs if x is not None]) for c, xs in columns.items()}
+
+
 def test_pearson_of_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5), (2.0, 4.5, 5), (3.0, None, 5)], "a double, b double, c int")
     row = df.selectExpr(f"{pearson('a', 'c')} AS ac", f"{pearson('a', 'b')} AS ab").first()

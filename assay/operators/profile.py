@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assay.functions.gram import gram_correlations
 from assay.functions.statistics import exact_medians, pearson
 from assay.plans.shape import COLUMNS_PER_PASS, PAIRS_PER_PASS, count_where, name, one_scan, rows_of, text, union_all
 from assay.plans.skew import HOT_ROWS, salted_join
@@ -262,17 +263,34 @@ def pairs(columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
 
 
-def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``(column1, column2, correlation)`` for each pair, several pairs per scan."""
+def _correlations(df: DataFrame, columns: list[str], diagonal: bool) -> DataFrame:
+    """``(column1, column2, correlation)`` for each pair, in the order of ``columns``, in one scan.
+
+    A few pairs are plain aggregates; more than a scan can hold of them come out of matrices.
+    """
+    if len(pairs(columns)) > PAIRS_PER_PASS:
+        names = F.array(*[F.lit(c) for c in columns])
+        found = gram_correlations(df, columns)
+        return found.where("true" if diagonal else "i < j").select(
+            names[F.col("i")].alias("column1"), names[F.col("j")].alias("column2"), "correlation"
+        )
 
     def fields(a: str, b: str):
         return lambda r: {"column1": text(a), "column2": text(b), "correlation": r}
 
-    measures = [(pearson(a, b), fields(a, b)) for a, b in pairs(columns or numeric_columns(df))]
-    frames = one_scan(df, measures, PAIRS_PER_PASS)
-    if not frames:
+    measures = [(pearson(a, b), fields(a, b)) for a, b in pairs(columns)]
+    if diagonal:
+        one = "CASE WHEN stddev_pop(CAST({0} AS DOUBLE)) > 0 THEN 1D END"
+        measures += [(one.format(name(c)), fields(c, c)) for c in columns]
+    return union_all(one_scan(df, measures, len(measures)))
+
+
+def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``(column1, column2, correlation)`` for each pair, all in one scan."""
+    columns = columns or numeric_columns(df)
+    if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "column1 string, column2 string, correlation double")
-    return union_all(frames)
+    return _correlations(df, columns, False)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -280,15 +298,8 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     columns = columns or numeric_columns(df)
     if len(columns) < 2:
         return correlation_pairs(df, columns)
-
-    def fields(a: str, b: str):
-        return lambda r: {"column1": text(a), "column2": text(b), "correlation": r}
-
-    measures = [(pearson(a, b), fields(a, b)) for a, b in pairs(columns)]
-    measures += [(f"CASE WHEN stddev_pop(CAST({name(c)} AS DOUBLE)) > 0 THEN 1D END", fields(c, c)) for c in columns]
-    half = union_all(one_scan(df, measures, PAIRS_PER_PASS))
     both = rows_of(
-        half,
+        _correlations(df, columns, True),
         [
             {"column1": "column1", "column2": "column2", "correlation": "correlation", "mirrored": "false"},
             {"column1": "column2", "column2": "column1", "correlation": "correlation", "mirrored": "true"},
@@ -392,9 +403,13 @@ def table_assessment(df: DataFrame) -> DataFrame:
         (F.lit(len(df.columns)), fields("basic_stats", "column_count")),
         *[(f"count_if({name(c)} IS NULL)", fields("missing_values", c)) for c in df.columns],
     ]
-    related = [(pearson(a, b), fields("correlations", f"{a}~{b}")) for a, b in pairs(numeric_columns(df))]
+    related = correlation_pairs(df).select(
+        F.lit("correlations").alias("section"),
+        F.concat_ws("~", "column1", "column2").alias("name"),
+        F.col("correlation").alias("value"),
+    )
     duplicates = rows_of(duplicate_count(df), [fields("basic_stats", "duplicates")("duplicate_records")])
-    return union_all([*one_scan(df, measures), *one_scan(df, related, PAIRS_PER_PASS), duplicates])
+    return union_all([*one_scan(df, measures), related, duplicates])
 
 
 def column_assessment(df: DataFrame, column: str, key: str | None = None) -> DataFrame:

@@ -26,13 +26,12 @@ TEXT = {
     "empty_strings": "Check for empty strings",
     "special_characters": "Check for special characters",
 }
-DEFAULTS = {
-    "salary": ["missing_values", "negative_values", "zero_values"],
-    "age": ["missing_values", "negative_values", "zero_values"],
-    "country": ["missing_values", "empty_strings", "special_characters"],
-    "first_name": ["missing_values", "empty_strings", "special_characters"],
-    "hire_date": ["missing_values"],
+BY_CLASS = {
+    "numeric": ["missing_values", "negative_values", "zero_values"],
+    "string": ["missing_values", "empty_strings", "special_characters"],
+    "other": ["missing_values"],
 }
+DEFAULTS = {c: BY_CLASS[kind] for c, kind in PER_CLASSES.items()}
 
 
 def per(spark, sf):

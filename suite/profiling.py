@@ -22,6 +22,7 @@ PER_TYPES = {
 WIDTHS = {"bigint": 8, "double": 8, "int": 4, "date": 4}
 NUMERIC = [c for c in PER_COLUMNS if PER_TYPES[c] in ("bigint", "int", "double")]
 STRINGS = [c for c in PER_COLUMNS if PER_TYPES[c] == "string"]
+PER_CLASSES = {c: "numeric" if c in NUMERIC else "string" if c in STRINGS else "other" for c in PER_COLUMNS}
 
 
 def per(spark, sf):
@@ -164,20 +165,17 @@ def string_column_stats(spark, sf):
     return rounded(pr.string_column_stats(per(spark, sf), STRINGS), ["avg_length"])
 
 
-TOP = ["department_id", "job_id", "country", "phone", "date_of_birth", "age", "nino"]
-
-
 @case(
     "top_values",
     PER
-    + f""", long AS ({each(TOP, "SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM per")}),
+    + f""", long AS ({each(PER_COLUMNS, "SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM per")}),
 counts AS (SELECT column_name, value, count(*) AS frequency FROM long WHERE value IS NOT NULL GROUP BY ALL)
 SELECT * FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value) AS INTEGER) AS position
   FROM counts) t WHERE position <= 5""",
 )
 def top_values(spark, sf):
-    return pr.top_values(per(spark, sf), TOP, 5)
+    return pr.top_values(per(spark, sf), PER_COLUMNS, 5)
 
 
 @case("sample_values", PER + "SELECT id, CAST(email AS VARCHAR) AS value FROM per ORDER BY id LIMIT 5")
@@ -186,10 +184,7 @@ def sample_values(spark, sf):
 
 
 def _types():
-    return ", ".join(
-        f"('{c}', '{t}', '{'string' if t == 'string' else 'other' if t == 'date' else 'numeric'}')"
-        for c, t in PER_TYPES.items()
-    )
+    return ", ".join(f"('{c}', '{t}', '{PER_CLASSES[c]}')" for c, t in PER_TYPES.items())
 
 
 @case(
@@ -246,26 +241,21 @@ def quality_dimensions(spark, sf):
     return rounded(result, ["completeness", "accuracy", "timeliness"])
 
 
-ASSESSED = ["department_id", "salary", "age", "email", "nino", "country", "latitude"]
-ASSESSED_PAIRS = [("department_id", "salary"), ("department_id", "age"), ("department_id", "latitude"),
-                  ("salary", "age"), ("salary", "latitude"), ("age", "latitude")]
-
-
 @case(
     "table_assessment",
     PER
     + "SELECT 'basic_stats' AS section, 'row_count' AS name, CAST(count(*) AS DOUBLE) AS value FROM per"
-    + f"\nUNION ALL SELECT 'basic_stats', 'column_count', CAST({len(ASSESSED)} AS DOUBLE)"
+    + f"\nUNION ALL SELECT 'basic_stats', 'column_count', CAST({len(PER_COLUMNS)} AS DOUBLE)"
     + "\nUNION ALL SELECT 'basic_stats', 'duplicates', CAST(coalesce(sum(n - 1), 0) AS DOUBLE) FROM "
-    + f"(SELECT count(*) AS n FROM per GROUP BY {', '.join(ASSESSED)}) t"
+    + f"(SELECT count(*) AS n FROM per GROUP BY {', '.join(PER_COLUMNS)}) t"
     + "\nUNION ALL "
-    + each(ASSESSED, "SELECT 'missing_values', '{c}', CAST(count(*) - count({c}) AS DOUBLE) FROM per")
+    + each(PER_COLUMNS, "SELECT 'missing_values', '{c}', CAST(count(*) - count({c}) AS DOUBLE) FROM per")
     + "".join(
-        f"\nUNION ALL SELECT 'correlations', '{a}~{b}', round(corr({a}, {b}), 6) FROM per" for a, b in ASSESSED_PAIRS
+        f"\nUNION ALL SELECT 'correlations', '{a}~{b}', round(corr({a}, {b}), 6) FROM per" for a, b in pr.pairs(NUMERIC)
     ),
 )
 def table_assessment(spark, sf):
-    return rounded(pr.table_assessment(per(spark, sf).select(*ASSESSED)), ["value"])
+    return rounded(pr.table_assessment(per(spark, sf).select(*PER_COLUMNS)), ["value"])
 
 
 @case(

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions import predicates as p
@@ -63,19 +63,44 @@ def quality_report(results: DataFrame) -> DataFrame:
 
 
 class CheckSuite:
-    """Named checks, each from DataFrame to DataFrame with equal columns, run together."""
+    """Named checks that run together.
+
+    A check is a function from DataFrame to DataFrame, all with equal columns, or the condition that a
+    violating row meets. Conditions share scans and give ``found``, the number of rows that meet them; if
+    there are functions too, ``found`` must be their column as well.
+    """
 
     def __init__(self) -> None:
         self._checks: dict[str, Callable[[DataFrame], DataFrame]] = {}
+        self._conditions: dict[str, Column | str | Callable[[DataFrame], Column]] = {}
 
     def add_quality_check(self, title: str, check: Callable[[DataFrame], DataFrame]) -> "CheckSuite":
+        self._conditions.pop(title, None)
         self._checks[title] = check
         return self
 
+    def add_row_check(self, title: str, violates: Column | str | Callable[[DataFrame], Column]) -> "CheckSuite":
+        """Count the rows for which ``violates`` is true: a column, SQL text, or a function from the table to a column."""
+        self._checks.pop(title, None)
+        self._conditions[title] = violates
+        return self
+
     def run_quality_checks(self, df: DataFrame) -> DataFrame:
         """Union of all results with a leading ``quality_check``."""
-        if not self._checks:
+        if not self._checks and not self._conditions:
             raise ValueError("no checks registered")
+
+        def measure(violates) -> Column:
+            if isinstance(violates, str):
+                return count_where(F.expr(violates))
+            return count_where(violates if isinstance(violates, Column) else violates(df))
+
+        def fields(title: str):
+            return lambda found: {"quality_check": text(title), "found": found}
+
         return union_all(
-            [check(df).select(F.lit(title).alias("quality_check"), "*") for title, check in self._checks.items()]
+            [
+                *one_scan(df, [(measure(c), fields(title)) for title, c in self._conditions.items()]),
+                *[check(df).select(F.lit(title).alias("quality_check"), "*") for title, check in self._checks.items()],
+            ]
         )

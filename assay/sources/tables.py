@@ -54,3 +54,43 @@ def scan_csv_set(
         .csv(path)
         for name, path in files.items()
     }
+
+
+def _judged_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, header: bool) -> tuple[DataFrame, str]:
+    """Rows with the name of a column that holds the text of those that don't fit ``schema``, else NULL."""
+    record = "record"
+    while record in schema.fieldNames():
+        record += "_"
+    read = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(record, T.StringType())]))
+        .options(header=header, multiLine=multi_line, escape='"', columnPruning=False)
+        .csv(path, mode="PERMISSIVE", columnNameOfCorruptRecord=record)
+    )
+    # Spark judges a line by the fields that a query needs. This is always true and needs all of them.
+    every = F.hash(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+    return read.where(every >= F.lit(-(1 << 31))), record
+
+
+def scan_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit ``schema``, and the others as ``(file, record)`` with their whole text.
+
+    A line goes to the second frame if it has too few or too many fields or one that can't be read as its
+    type; every line but headers and empty lines is in exactly one of them. Nothing is read before
+    either is used.
+    """
+    read, record = _judged_csv(spark, path, schema, multi_line, header)
+    text = F.col(f"`{record}`")
+    good = read.where(text.isNull()).select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+    bad = read.where(text.isNotNull()).select(F.col("_metadata.file_path").alias("file"), text.alias("record"))
+    return good, bad
+
+
+def csv_counts(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, header: bool = True
+) -> DataFrame:
+    """One row ``(total, good, bad)`` from one scan."""
+    read, record = _judged_csv(spark, path, schema, multi_line, header)
+    broken = F.col(f"`{record}`").isNotNull()
+    return read.agg(F.count(F.lit(1)).alias("total"), F.count_if(~broken).alias("good"), F.count_if(broken).alias("bad"))

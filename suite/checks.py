@@ -8,6 +8,7 @@ from assay.operators import datasets as ds
 from assay.operators import expectations as ex
 from suite import case
 from suite import views as v
+from suite.profiling import PER_CLASSES
 
 PER = v.with_views(per=v.PER)
 
@@ -309,8 +310,8 @@ def check_suite(spark, sf):
         return rows.agg(F.count(F.lit(1)).alias("found"))
 
     suite = ds.CheckSuite()
-    suite.add_quality_check("nino_validation", lambda df: found(df.where(~p.null_fails(p.is_nino(F.col("nino"))))))
-    suite.add_quality_check("minors", lambda df: found(df.where("age < 18")))
+    suite.add_row_check("nino_validation", ~p.null_fails(p.is_nino(F.col("nino"))))
+    suite.add_row_check("minors", "age < 18")
     suite.add_quality_check(
         "repeated_names", lambda df: found(df.groupBy("first_name").count().where("count > 1"))
     )

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from assay.operators import profile as pr
+from assay.operators import stored_profile as sp
+from assay.plans.lineage import fresh_dir
 from suite import case
 from suite import views as v
 
@@ -199,6 +201,25 @@ def table_profile(spark, sf):
     return rounded(pr.table_profile(per(spark, sf)), [*MEASURES, "avg_length"])
 
 
+KEPT = ["column_name", "dtype", "missing", "total", "mean", "std", "min", "max", "avg_length", "max_length", "empty_strings"]
+
+
+@case(
+    "stored_profile",
+    PER
+    + f""", missing AS ({MISSING}), numbers AS ({NUMBERS}), texts AS ({TEXTS}),
+types(column_name, dtype, column_class) AS (VALUES {_types()})
+SELECT {', '.join(KEPT)} FROM missing JOIN types USING (column_name)
+LEFT JOIN numbers USING (column_name) LEFT JOIN texts USING (column_name)""",
+)
+def stored_profile(spark, sf):
+    """Parts by department, merged; medians and distinct counts, being sketches, are left to the tests."""
+    path = fresh_dir(spark, "profile")
+    sp.store_profile(per(spark, sf), path, "department_id")
+    merged = sp.stored_profile(spark, path).select(*KEPT)
+    return rounded(merged, ["mean", "std", "min", "max", "avg_length"])
+
+
 @case(
     "column_histogram",
     """WITH bounds AS (SELECT min(value) AS low, max(value) AS high FROM events),

@@ -63,6 +63,28 @@ def scan_csv_set(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@case(
+    "csv_quarantine",
+    v.with_views(per=v.PER)
+    + """SELECT 'good' AS outcome, id, CAST(NULL AS VARCHAR) AS record FROM per WHERE id % 11 NOT IN (3, 7)
+UNION ALL SELECT 'bad', NULL, CASE id % 11 WHEN 3 THEN id || ',today,' || coalesce(age, 0) ELSE id || ',2024-01-01' END
+FROM per WHERE id % 11 IN (3, 7)""",
+)
+def csv_quarantine(spark, sf):
+    """Lines with a word for a date or a field too few, among good ones."""
+    folder = fresh_dir(spark, "broken")
+    people = v.view(spark, sf, v.PER)
+    people.selectExpr(
+        "CASE id % 11 WHEN 3 THEN concat(id, ',today,', coalesce(age, 0)) WHEN 7 THEN concat(id, ',2024-01-01') "
+        "ELSE concat(id, ',2024-01-01,', coalesce(age, 0)) END AS `id,hired,age`"
+    ).write.option("header", False).text(folder)
+    schema = T.StructType.fromDDL("id bigint, hired date, age bigint")
+    good, bad = tb.scan_csv_checked(spark, folder, schema, header=False)
+    return good.selectExpr("'good' AS outcome", "id", "CAST(NULL AS STRING) AS record").unionByName(
+        bad.selectExpr("'bad' AS outcome", "CAST(NULL AS BIGINT) AS id", "record")
+    )
+
+
 TEMPLATE_FIELDS = (
     "named_struct('id', id, 'name', id, 'description', description, 'severity', severity, "
     "'validation_code', validation_code, 'validation_code_sql', validation_code_sql)"

@@ -170,3 +170,19 @@ def test_suite(spark):
     assert rows(suite.run_quality_checks(spark.range(3))) == [("n", 3)]
     with pytest.raises(ValueError):
         ds.CheckSuite().run_quality_checks(spark.range(3))
+
+
+def test_row_checks_of_a_suite_share_a_scan(spark):
+    df = spark.range(100).selectExpr("id", "IF(id % 10 = 0, NULL, id % 7) AS x").repartition(3)
+    suite = ds.CheckSuite()
+    for i in range(20):
+        suite.add_row_check(f"c{i}", f"x = {i}")
+    suite.add_row_check("column", F.col("x").isNull()).add_row_check("function", lambda t: t["id"] < 5)
+    found = suite.run_quality_checks(df)
+    assert executed(found).count("Range (0, 100") == 1
+    got = dict(rows(found))
+    assert got["column"] == 10 and got["function"] == 5 and got["c19"] == 0
+    assert sum(got[f"c{i}"] for i in range(20)) == 90
+    suite.add_quality_check("groups", lambda t: t.groupBy("x").count().agg(F.count(F.lit(1)).alias("found")))
+    assert dict(rows(suite.run_quality_checks(df)))["groups"] == 8
+    assert dict(rows(suite.run_quality_checks(df.limit(0))))["column"] == 0

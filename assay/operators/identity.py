@@ -328,6 +328,82 @@ def geo_clusters(
     )
 
 
+def _beside(sparse: DataFrame, places: DataFrame, eps: float, keep: list[str], hot_rows: int) -> DataFrame:
+    """Pairs of a place of ``sparse`` and one of ``places`` in a cell beside its own, within ``eps``.
+
+    ``(key, keep...)`` with the key of the sparse place. Crowded cells are spread; what is copied for that are
+    the few sparse places around them.
+    """
+    offsets = [(di, dj) for di in range(-REACH, REACH + 1) for dj in range(-REACH, REACH + 1) if di or dj]
+    around = F.array(*[F.struct((F.col("i") + di).alias("n_i"), (F.col("j") + dj).alias("n_j")) for di, dj in offsets])
+    asked = sparse.select(F.col("key").alias("s_key"), F.col("x").alias("s_x"), F.col("y").alias("s_y"), F.inline(around))
+    asked = asked.withColumnsRenamed({"n_i": "i", "n_j": "j"})
+    met = salted_join(places, asked, ["i", "j"], ["x", "y"], "inner", hot_rows=hot_rows)
+    distance = _length(F.col("x") - F.col("s_x"), F.col("y") - F.col("s_y"))
+    return met.where(distance <= eps).select(F.col("s_key").alias("key"), *keep)
+
+
+def density_clusters(
+    df: DataFrame,
+    key: str = "id",
+    latitude: str = "latitude",
+    longitude: str = "longitude",
+    eps: float = 0.3,
+    min_samples: int = 2,
+    leaf: int = LEAF,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``(key, cluster, core)``: density clusters for any ``min_samples``; cluster -1 is noise.
+
+    A point is core if at least ``min_samples`` points, itself included, lie within ``eps`` of it. Core points
+    within ``eps`` of each other share a cluster, named by its smallest core key; another point
+    within ``eps`` of a core point belongs to the cluster of the smallest name among those it reaches.
+    Rows without both coordinates (NULL or NaN) are left out.
+
+    All points of a grid cell are within ``eps``, so in a cell of ``min_samples`` points all are core.
+    Only places in cells with fewer are compared with the cells around, at most ``min_samples - 1`` per
+    cell, so work grows with rows times ``min_samples``, however crowded a cell is.
+    """
+    side = eps / math.sqrt(2) * (1 - 1e-9)
+    points = df.select(
+        F.col(key).alias("key"), q(latitude).cast("double").alias("x"), q(longitude).cast("double").alias("y")
+    ).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    places = points.groupBy("x", "y").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("points"))
+    places = cut(places.withColumns({"i": F.floor(F.col("x") / side), "j": F.floor(F.col("y") / side)}))
+    held = places.groupBy("i", "j").agg(F.sum("points").alias("held"))
+    sparse = places.join(held.where(F.col("held") < min_samples), ["i", "j"])
+    beside = _beside(sparse, places, eps, ["points"], hot_rows).groupBy("key").agg(F.sum("points").alias("beside"))
+    reached = F.col("held") + F.coalesce("beside", F.lit(0))
+    judged = cut(sparse.join(beside, "key", "left").withColumn("core", reached >= min_samples).drop("held", "beside"))
+    dense = salted_join(places, held.where(F.col("held") >= min_samples).drop("held"), ["i", "j"], ["x", "y"], "left_semi", hot_rows=hot_rows)
+    core = cut(dense.unionByName(judged.where("core").drop("core")))
+    cells = cut(core.groupBy("i", "j").agg(F.min("key").alias("cell")))
+
+    def numbered(e: str) -> DataFrame:
+        return cells.select(*[F.col(c).alias(f"{e}_{c}") for c in cells.columns])
+
+    edges = (
+        linked_cells(core.select("x", "y"), eps, side, leaf)
+        .join(numbered("a"), ["a_i", "a_j"])
+        .join(numbered("b"), ["b_i", "b_j"])
+        .select(F.col("a_cell").alias("src"), F.col("b_cell").alias("dst"))
+    )
+    components = connected_components(edges, hot_rows=hot_rows).withColumnRenamed("node", "cell")
+    labels = cells.join(components, "cell", "left").select("i", "j", F.coalesce("component", "cell").alias("cluster"))
+    labelled = cut(salted_join(core, labels, ["i", "j"], ["x", "y"], "inner", hot_rows=hot_rows))
+    others = judged.where("NOT core")
+    # A border place may share its cell with core places, or reach them in the cells around.
+    own = others.join(labels, ["i", "j"]).select("key", "cluster")
+    border = own.unionByName(_beside(others, labelled, eps, ["cluster"], hot_rows)).groupBy("key").agg(F.min("cluster").alias("cluster"))
+    rest = others.join(border, "key", "left").select(
+        "x", "y", F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.lit(False).alias("core")
+    )
+    known = labelled.select("x", "y", "cluster", F.lit(True).alias("core")).unionByName(rest)
+    return salted_join(points, known, ["x", "y"], ["key"], "inner", hot_rows=hot_rows).select(
+        F.col("key").alias(key), "cluster", "core"
+    )
+
+
 # --- networks -------------------------------------------------------------------------------
 
 

@@ -101,6 +101,27 @@ def geo_clusters(spark, sf):
     return idn.geo_clusters(per(spark, sf), eps=0.3)
 
 
+@case(
+    "density_clusters",
+    "WITH RECURSIVE "
+    + PER.removeprefix("WITH ")[:-1]
+    + """, close AS (
+  SELECT a.id AS src, b.id AS dst FROM per a JOIN per b
+   ON sqrt((a.latitude - b.latitude) * (a.latitude - b.latitude) + (a.longitude - b.longitude) * (a.longitude - b.longitude)) <= 0.3),
+cores AS (SELECT src AS id FROM close GROUP BY src HAVING count(*) >= 5),
+near AS (SELECT src, dst FROM close WHERE src IN (SELECT id FROM cores) AND dst IN (SELECT id FROM cores)),
+reach(id, other) AS (
+  SELECT src, dst FROM near UNION SELECT r.id, n.dst FROM reach r JOIN near n ON r.other = n.src),
+named AS (SELECT id, min(other) AS cluster FROM reach GROUP BY id),
+edge AS (SELECT c.src AS id, min(n.cluster) AS cluster FROM close c JOIN named n ON c.dst = n.id GROUP BY c.src)
+SELECT p.id, coalesce(n.cluster, e.cluster, -1) AS cluster, n.id IS NOT NULL AS core FROM per p
+LEFT JOIN named n ON p.id = n.id LEFT JOIN edge e ON p.id = e.id
+WHERE p.latitude IS NOT NULL AND p.longitude IS NOT NULL""",
+)
+def density_clusters(spark, sf):
+    return idn.density_clusters(per(spark, sf), eps=0.3, min_samples=5)
+
+
 @case(
     "relationship_network",
     "WITH RECURSIVE "

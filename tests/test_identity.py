@@ -115,3 +115,40 @@ def test_network(spark, hot_rows):
     )
     got = rows(idn.relationship_network(df, [["nino"], ["street", "house"]], hot_rows=hot_rows))
     assert got == [(2, 2), (3, 3), (4, 3), (5, 2), (7, 2)]
+
+
+def density_by_hand(points, eps, least):
+    near = {
+        a[0]: [b[0] for b in points if math.sqrt((a[1] - b[1]) * (a[1] - b[1]) + (a[2] - b[2]) * (a[2] - b[2])) <= eps]
+        for a in points
+    }
+    core = {k for k, found in near.items() if len(found) >= least}
+    label = {k: k for k in core} | dict(components_by_hand([(a, b) for a in core for b in near[a] if b in core and a < b]))
+    got = []
+    for k, found in near.items():
+        cluster = label[k] if k in core else min((label[b] for b in found if b in core), default=-1)
+        got.append((k, cluster, k in core))
+    return sorted(got)
+
+
+@pytest.mark.parametrize("least", [1, 2, 5, 20])
+def test_density_clusters_equal_brute_force(spark, least):
+    rng = random.Random(least)
+    middles = [(rng.uniform(-4, 4), rng.uniform(-4, 4)) for _ in range(14)]
+    points = [(i, rng.gauss(x, 0.2), rng.gauss(y, 0.2)) for i, (x, y) in enumerate(rng.choices(middles, k=500))]
+    # A crowd at one place, with points around that only it makes core, and scattered ones.
+    points += [(1000 + i, 6.0, 6.0) for i in range(30)]
+    points += [(2000 + i, 6 + rng.uniform(-0.6, 0.6), 6 + rng.uniform(-0.6, 0.6)) for i in range(25)]
+    points += [(3000 + i, rng.uniform(-9, 9), rng.uniform(-9, 9)) for i in range(60)]
+    df = spark.createDataFrame(points + [(9001, None, 1.0), (9002, math.nan, 1.0)], "id long, latitude double, longitude double")
+    got = rows(idn.density_clusters(df, eps=0.3, min_samples=least, leaf=8, hot_rows=20 if least == 5 else 1_000_000))
+    want = density_by_hand(points, 0.3, least)
+    assert got == want
+    assert len({c for _, c, _ in want}) > 2
+    if least == 2:
+        assert rows(idn.geo_clusters(df.where("NOT isnan(latitude)"), eps=0.3)) == [(k, c) for k, c, _ in want]
+
+
+def test_density_clusters_of_no_rows(spark):
+    df = spark.createDataFrame([], "id long, latitude double, longitude double")
+    assert idn.density_clusters(df, min_samples=5).count() == 0

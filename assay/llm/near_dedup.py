@@ -3,8 +3,8 @@
 A document is the sequence of its five-word shingles, each labelled with how often it occurred
 before. A sketch takes the shingles with the smallest hashes and keeps them in the order of the
 text, so that two documents share a sketch only if they share shingles in the same order. Each
-sketch gives keys for its 2, 4 and 8 smallest shingles: short ones find, long ones divide large
-groups. Candidates are verified by a banded alignment of the shingle sequences: the similarity of
+sketch gives a key for its 2 smallest shingles; a key for more of them would be shared only by
+documents that share this one too. Candidates are verified by a banded alignment of the shingle sequences: the similarity of
 a and b is m / (a + b - m), m being the most shingles that match in order.
 """
 
@@ -27,7 +27,8 @@ WORD = re.compile(r"\w+")
 SHINGLE = 5
 THRESHOLD = 0.8
 SKETCHES = 8
-DEPTHS = (2, 4, 8)
+#: Shingles of a sketch in its key, and in the outline of a document.
+DEPTH, OUTLINE = 2, 8
 KNOWN_WORDS = 500_000
 
 U = np.uint64
@@ -90,14 +91,11 @@ def sketch_keys(h: np.ndarray) -> list[int]:
     if len(h) < 2:
         return []
     keys = []
-    most = min(max(DEPTHS), len(h))
     for i in range(SKETCHES):
         v = mixed(h ^ U((i + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
-        low = np.argpartition(v, most - 1)[:most] if most < len(v) else np.arange(len(v))
-        low = low[np.argsort(v[low], kind="stable")]
-        for depth in DEPTHS:
-            in_order = h[np.sort(low[:depth])]
-            keys.append(xxhash.xxh3_64_intdigest(in_order.tobytes(), seed=i * 100 + depth) - (1 << 63))
+        low = np.argpartition(v, DEPTH - 1)[:DEPTH]
+        in_order = h[np.sort(low)]
+        keys.append(xxhash.xxh3_64_intdigest(in_order.tobytes(), seed=i * 100 + DEPTH) - (1 << 63))
     return keys
 
 
@@ -196,8 +194,7 @@ def outline(h: np.ndarray) -> np.ndarray:
     parts = []
     for i in range(SKETCHES):
         v = mixed(h ^ U((i + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF))
-        most = max(DEPTHS)
-        parts.append((np.partition(v, most - 1)[:most] if len(v) > most else v) >> U(32))
+        parts.append((np.partition(v, OUTLINE - 1)[:OUTLINE] if len(v) > OUTLINE else v) >> U(32))
     return np.unique(np.concatenate(parts)).astype(np.uint32).view(np.int32)
 
 
@@ -247,14 +244,15 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(labelled(np.frombuffer(x.as_py(), dtype=U)).view(np.int64)) for x in batch.column("h")]
+            # Half of each hash is enough to find close pairs; equal halves in a text are allowed for.
+            sets = [(labelled(np.frombuffer(x.as_py(), dtype=U)) >> U(32)).astype(np.uint32).view(np.int32) for x in batch.column("h")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "traits"]
+                [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int32()))], names=["node", "traits"]
             )
 
     def traits(some: DataFrame) -> DataFrame:
         wanted = shingled.join(some.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        return wanted.select("doc_id", "h").mapInArrow(label, "node long, traits array<long>")
+        return wanted.select("doc_id", "h").mapInArrow(label, "node long, traits array<int>")
 
     return verify, traits
 

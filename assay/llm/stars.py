@@ -7,10 +7,11 @@ the leaders of its keys; later leaders, up to eight per key and round, are those
 and rows meet all of them that aren't in their component yet. A key is done when all its rows are in
 one component. Work per round grows with the number of rows under keys, whatever the size of a group.
 
-Rounds only make components large. When one finds no further link, or few pairs are left, all
-pairs of rows of different components under the keys still open are compared in blocks, by the
-number of traits that they share; those that share enough are verified. So no pair of rows that
-share a key is left out, unless both are in one component already.
+Rounds only make components large. When one links few of the pairs it looked at, as among strangers
+that share a passage, or few pairs are left, all pairs of rows of different components under the
+keys still open are compared in blocks, by the number of traits that they share; those that share
+enough are verified. So no pair of rows that share a key is left out, unless both are in one
+component already, and the components don't depend on the number of rounds.
 """
 
 import logging
@@ -32,11 +33,19 @@ LEADERS = 8
 #: Pairs that one task verifies, at most if there is one pair per membership.
 PAIRS_PER_PART = 10_000
 #: Rows and traits of one side of a block, about; columns of shared traits that are counted at once.
-BLOCK_ROWS, BLOCK_TRAITS, COLUMNS = 512, 1 << 19, 4096
+BLOCK_ROWS, BLOCK_TRAITS, COLUMNS = 1024, 1 << 19, 2048
 #: With so many pairs left, and so many more per row under an open key, they are compared without another round.
 FEW_PAIRS, FEW_PER_ROW = 1_000_000, 20
+#: Rows whose traits are unpacked at once.
+UNPACKED_ROWS = 1024
+#: In place of the second part of a cell that holds all rows of a key.
+WHOLE = -1
+#: A round that links fewer than one in so many pairs is the last one.
+PAIRS_PER_LINK = 20
 
 Verify = Callable[[DataFrame], DataFrame]
+#: Lengths and flat numbers of the sets that a column of traits stands for.
+Unpack = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def _leaders(members: DataFrame, rank: DataFrame, led: DataFrame | None) -> DataFrame:
@@ -66,7 +75,7 @@ def _pairs(members: DataFrame, leaders: DataFrame, apart: bool) -> DataFrame:
 def close_pairs(sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of all pairs, one of each of the two ``sides``, whose sets have the Jaccard similarity ``threshold``.
 
-    ``flat`` holds the sets one after the other.
+    ``flat`` holds the sets one after the other. A number that stands in a set more than once lets further pairs pass.
     """
     owner = np.repeat(np.arange(len(lengths)), lengths)
     _, code, counts = np.unique(flat, return_inverse=True, return_counts=True)
@@ -74,6 +83,8 @@ def close_pairs(sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray,
     order = np.argsort(code, kind="stable")
     order = order[code[order] >= 0]
     code, owner = code[order], owner[order]
+    again = owner[1:][(code[1:] == code[:-1]) & (owner[1:] == owner[:-1])]
+    again = np.bincount(again, minlength=len(lengths))
     left, right = sides
     shared = np.zeros((len(left), len(right)), dtype=np.float32)
     for first in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
@@ -82,37 +93,48 @@ def close_pairs(sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray,
         held[owner[start:end], code[start:end] - first] = 1
         shared += held[left] @ held[right].T
     need = threshold / (1 + threshold) * (lengths[left][:, None] + lengths[right][None, :])
-    rows, columns = np.nonzero(shared >= np.ceil(need - 1e-9))
+    rows, columns = np.nonzero(shared >= np.ceil(need - 1e-9) - again[left][:, None] - again[right][None, :])
     return left[rows], right[columns]
 
 
-def _compared(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Close pairs ``a, b`` of different components in each cell; rows come sorted by cell."""
+def lists(sets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of a column of arrays."""
+    return sets.value_lengths().to_numpy(), sets.flatten().to_numpy()
 
-    def pairs(key: tuple, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        part, node, component = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("part", "node", "component"))
-        sets = [p.column("traits") for p in parts]
-        lengths = np.concatenate([x.value_lengths().to_numpy() for x in sets])
-        flat = np.concatenate([x.flatten().to_numpy() for x in sets])
-        sides = [np.flatnonzero(part == key[1]), np.flatnonzero(part == key[2])]
+
+def _compared(batches: Iterator[pa.RecordBatch], threshold: float, unpack: Unpack) -> Iterator[pa.RecordBatch]:
+    """Close pairs ``a, b`` of different components in each cell; rows come sorted by cell.
+
+    The cell of a key that is not cut holds all its rows, and part 0 meets them all.
+    """
+
+    def pairs(key: tuple, parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        part, node, component, lengths, flat = map(np.concatenate, zip(*parts, strict=True))
+        sides = [np.flatnonzero(part == key[1]), np.arange(len(part)) if key[2] == WHOLE else np.flatnonzero(part == key[2])]
         x, y = close_pairs(sides, lengths, flat, threshold) if all(map(len, sides)) else (part[:0], part[:0])
         apart = component[x] != component[y]
+        # Two rows of one part meet twice.
+        apart &= (part[x] != part[y]) | (x < y)
         x, y = node[x[apart]], node[y[apart]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     current, parts = None, []
     for batch in batches:
-        if not len(batch):
-            continue
-        cells = np.column_stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
-        edges = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
-        for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)], strict=True):
-            cell = tuple(cells[start].tolist())
-            if current is not None and cell != current:
-                yield pairs(current, parts)
-                parts = []
-            current = cell
-            parts.append(batch.slice(start, end - start))
+        # Traits may take far more room unpacked.
+        for at in range(0, len(batch), UNPACKED_ROWS):
+            rows = batch.slice(at, UNPACKED_ROWS)
+            key, i, j, *columns = (rows.column(c).to_numpy() for c in ("key", "i", "j", "part", "node", "component"))
+            lengths, flat = unpack(rows.column("traits"))
+            offsets = np.concatenate([[0], np.cumsum(lengths)])
+            cells = np.column_stack([key, i, j])
+            edges = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
+                cell = tuple(cells[start].tolist())
+                if current is not None and cell != current:
+                    yield pairs(current, parts)
+                    parts = []
+                current = cell
+                parts.append([*(x[start:end] for x in (*columns, lengths)), flat[offsets[start] : offsets[end]]])
     if current is not None:
         yield pairs(current, parts)
 
@@ -129,16 +151,17 @@ def _left(homes: DataFrame) -> int:
     return int(homes.agg(F.sum(F.expr("others * (others - 1) / 2 + others * at_home"))).first()[0] or 0)
 
 
-def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshold: float) -> DataFrame:
+def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshold: float, unpack: Unpack) -> DataFrame:
     """All pairs ``a < b`` in different components that share a key of ``members(key, node, component)`` and are close.
 
     The rows of a key are cut into parts, those of its largest component apart from the others, and
-    each part of the others meets every part once.
+    each part of the others meets every part once. Cells are laid with numbers only; traits come to
+    them last, so they are shuffled once per cell.
     """
-    full = members.join(traits, "node").join(homes, "key").withColumn("out", F.col("component") != F.col("home"))
-    weight = members.join(traits.select("node", F.size("traits").alias("w")), "node").join(homes.select("key", "home"), "key")
-    out = F.col("component") != F.col("home")
-    weight = weight.groupBy("key").agg(F.sum(F.when(out, F.col("w"))).alias("w_out"), F.sum(F.when(~out, F.col("w"))).alias("w_home"))
+    size = F.size if traits.schema["traits"].dataType.typeName() == "array" else F.length
+    full = members.join(traits.select("node", size("traits").alias("w")), "node").join(homes, "key")
+    full = full.withColumn("out", F.col("component") != F.col("home"))
+    weight = full.groupBy("key").agg(F.sum(F.when(F.col("out"), F.col("w"))).alias("w_out"), F.sum(F.when(~F.col("out"), F.col("w"))).alias("w_home"))
 
     def cuts(rows: str, size: str) -> Column:
         return F.greatest(F.ceil(F.col(rows) / BLOCK_ROWS), F.ceil(F.coalesce(F.col(size), F.lit(0)) / BLOCK_TRAITS), F.lit(1)).cast("int")
@@ -146,32 +169,61 @@ def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshol
     full = full.join(weight, "key").withColumn("p_out", cuts("others", "w_out")).withColumn("p_home", cuts("at_home", "w_home"))
     hashed = F.xxhash64("node")
     part = F.when(F.col("out"), F.pmod(hashed, "p_out")).otherwise(F.col("p_out") + F.pmod(hashed, "p_home")).cast("int")
+    whole = (F.col("p_out") == 1) & (F.col("p_home") == 1)
     met = F.sequence(F.lit(0), F.col("p_out") - 1 + F.when(F.col("out"), F.col("p_home")).otherwise(0))
-    cells = full.withColumn("part", part).withColumn("with", F.explode(met)).select(
-        "key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "node", "component", "traits"
+    cells = full.withColumn("part", part).withColumn("with", F.explode(F.when(whole, F.array(F.lit(WHOLE))).otherwise(met)))
+    cells = cells.select(
+        "key",
+        F.when(whole, F.lit(0)).otherwise(F.least("part", "with")).alias("i"),
+        F.when(whole, F.lit(WHOLE)).otherwise(F.greatest("part", "with")).alias("j"),
+        "part",
+        "node",
+        "component",
     )
-    dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(lambda batches: _compared(batches, threshold), "a long, b long").distinct()
+    dealt = cells.join(traits, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(lambda batches: _compared(batches, threshold, unpack), "a long, b long").distinct()
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows ``key, node`` whose key another row has; rows come sorted by key."""
+    last, met = None, False
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch.column("key").to_numpy()
+        same = keys[1:] == keys[:-1]
+        before = last is not None and last.column("key")[0].as_py() == keys[0]
+        if last is not None and (met or before):
+            yield last
+        # The last row waits for the one after it.
+        keep = np.concatenate([[before], same[:-1]]) | same if len(same) else same
+        if keep.any():
+            yield batch.slice(0, len(batch) - 1).filter(pa.array(keep))
+        last, met = batch.slice(len(batch) - 1), bool(same[-1]) if len(same) else before
+    if last is not None and met:
+        yield last
 
 
 def star_components(
-    keyed: DataFrame, verifier: Callable[[DataFrame], tuple[Verify, Verify]], threshold: float
+    keyed: DataFrame, verifier: Callable[[DataFrame], tuple[Verify, Verify]], threshold: float, unpack: Unpack = lists
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """``(node, component)`` of linked nodes and all verified pairs ``(a, b, similar)``.
 
     ``keyed(key, node)`` gives the keys of each node, both numbers. ``verifier`` gets all
     ``(node)`` that can come up and returns two functions: one adds the column ``similar`` to pairs
     ``(a, b)``; the other gives ``(node, traits)``, a set of numbers, for some ``(node)``. Only pairs
-    whose traits have the Jaccard similarity ``threshold`` may be similar. Both results are None if no two nodes share a key.
+    whose traits have the Jaccard similarity ``threshold`` may be similar. Traits of another kind than
+    sets are made into sets by ``unpack`` where they are compared. Both results are None if no two nodes share a key.
     """
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = saved(keyed.join(shared, "key"), "members")
+    # Most keys have one row; the others are found in one shuffle.
+    dealt = keyed.select("key", "node").repartition("key").sortWithinPartitions("key")
+    members = saved(dealt.mapInArrow(_shared, "key long, node long"), "members")
     size = members.count()
     if not size:
         return None, None
     verify, traits_of = verifier(members.select("node").distinct())
-    rank = members.groupBy("node").agg(F.sum("size").cast("double").alias("rank"))
-    members = members.select("key", "node")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    rank = members.join(sizes, "key").groupBy("node").agg(F.sum("size").cast("double").alias("rank"))
     tried = led = components = None
     links_found = 0
     while size:
@@ -186,9 +238,9 @@ def star_components(
             led = led.unionByName(leaders.select("key", F.col("leader").alias("node")))
         # Verifying takes time, so a task gets few pairs.
         result = saved(verify(pairs), "verified", size, PAIRS_PER_PART)
-        found = result.where("similar").count()
+        looked, found = result.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("similar").cast("int")), F.lit(0))).first()
         links_found += found
-        log.info("round of stars: %d new links", found)
+        log.info("round of stars: %d new links from %d pairs", found, looked)
         tried = result if first_round else tried.unionByName(result)
         if first_round:
             # In the first round a leader hasn't met all rows of its keys yet.
@@ -202,9 +254,10 @@ def star_components(
         homes = saved(_homes(members), "homes", size)
         left = _left(homes)
         log.info("open: %d rows under keys, %d pairs at most", size, left)
-        if size and (not found and not first_round or left <= FEW_PAIRS + FEW_PER_ROW * size):
+        poor = not first_round and found * PAIRS_PER_LINK <= looked
+        if size and (poor or left <= FEW_PAIRS + FEW_PER_ROW * size):
             traits = saved(traits_of(members.select("node").distinct()), "traits")
-            pairs = _remaining(members, homes, traits, threshold).join(tried, ["a", "b"], "left_anti")
+            pairs = _remaining(members, homes, traits, threshold, unpack).join(tried, ["a", "b"], "left_anti")
             result = saved(verify(saved(pairs, "remaining")), "verified")
             found = result.where("similar").count()
             log.info("all remaining pairs: %d new links", found)

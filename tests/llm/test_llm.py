@@ -4,7 +4,9 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from assay.llm import decontaminate, html_wrappers, line_dedup, mixing, near_dedup, sharding, stars, token_counts
@@ -112,6 +114,51 @@ def test_true_pairs_hidden_among_strangers_are_found(spark, monkeypatch):
         assert {(r.component, r.node) for r in components.where("node <> component").collect()} == truth
 
 
+def test_keys_of_one_row_go_wherever_batches_end():
+    keys = [1, 1, 2, 3, 3, 3, 4, 5, 5, 6]
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(10))], names=["key", "node"])
+    for cuts in ([], [1], [2, 3], [4, 5], range(1, 10)):
+        ends = [0, *cuts, 10]
+        got = stars._shared(rows.slice(a, b - a) for a, b in zip(ends, ends[1:]))
+        assert [x for batch in got for x in batch.column("node").to_pylist()] == [0, 1, 3, 4, 5, 7, 8]
+
+
+def test_close_pairs_with_numbers_twice_in_a_set():
+    # Equal halves of two hashes are one number that stands in a set twice.
+    sets = [[1, 2, 3, 4, 4], [1, 2, 3, 4, 9], [5, 6, 7, 8, 9]]
+    x, y = stars.close_pairs([np.array([0]), np.arange(3)], np.array([5, 5, 5]), np.array(sum(sets, [])), 0.8)
+    assert (0, 1) in set(zip(x.tolist(), y.tolist(), strict=True)) and 2 not in y
+
+
+def test_rounds_end_among_strangers(spark):
+    # Strangers share keys, and each round would find a link or two of a chain among them.
+    keyed = spark.range(400).selectExpr("1L AS key", "id AS node")
+    rounds = []
+
+    def verifier(nodes):
+        def verify(pairs):
+            rounds.append(1)
+            return pairs.withColumn("similar", F.expr("a + 1 = b AND b < 60"))
+
+        # Neighbours are close, all others are not.
+        traits = spark.range(400).selectExpr("id AS node", "IF(id < 60, array(-1L, -2L, -3L, -4L, -5L), array(id)) AS traits")
+        return verify, lambda some: traits.join(some, "node", "left_semi")
+
+    few, stars.FEW_PAIRS = stars.FEW_PAIRS, -10**9
+    try:
+        components, _ = stars.star_components(keyed, verifier, 0.8)
+    finally:
+        stars.FEW_PAIRS = few
+    assert sorted(r.node for r in components.where("component = 0").collect()) == list(range(60))
+    assert len(rounds) <= 3
+
+
+def test_a_key_per_sketch():
+    # Deeper keys are shared only by texts that share this one.
+    h = near_dedup.labelled(near_dedup.shingles(near_dedup.Words().of(" ".join(map(str, range(50))))))
+    assert len(near_dedup.sketch_keys(h)) == near_dedup.SKETCHES
+
+
 def test_banded_matches_equal_plain_alignment():
     rng = np.random.default_rng(3)
     for _ in range(60):

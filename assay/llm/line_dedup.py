@@ -7,7 +7,6 @@ linked lines the first occurrence stays.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.common import quoted, saved, small_side, table
-from assay.llm.stars import Verify, star_components
+from assay.llm.stars import UNPACKED_ROWS, Verify, star_components
 
 SHINGLE = 8
 THRESHOLD = 0.8
@@ -25,6 +24,8 @@ BANDS, ROWS = 10, 4
 FACTORS = np.random.default_rng(7).integers(1 << 31, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 CHUNK = 1 << 16
 
+U = np.uint64
+
 
 def plain(line: str) -> str:
     return " ".join(line.lower().split())
@@ -82,11 +83,54 @@ def shingle_set(line: str) -> np.ndarray:
     return np.unique(np.array([line_hash(line[i : i + SHINGLE]) for i in range(max(1, len(line) - SHINGLE + 1))]))
 
 
+def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number and 64-bit hashes of the character shingles of each line, one line after the other.
+
+    A shingle that a line repeats is there as often. Lines are taken a few at a time, so that they stay in the cache.
+    """
+    counts, found, first = np.array([max(1, len(line) - SHINGLE + 1) for line in lines], dtype=np.int64), [], 0
+    while first < len(lines):
+        last, held = first, 0
+        while last < len(lines) and (held < CHUNK or last == first):
+            held, last = held + len(lines[last]), last + 1
+        padded = [line.ljust(SHINGLE, "\0") for line in lines[first:last]]
+        h = np.frombuffer("".join(padded).encode("utf-32-le", errors="replace"), dtype=np.uint32).astype(U)
+        span = 1
+        while span < SHINGLE:
+            h = (h ^ (h >> U(29))) * U(0x9E3779B97F4A7C15)
+            h ^= h >> U(32)
+            h = h[:-span] * U(0xBF58476D1CE4E5B9) + h[span:] * U(0x94D049BB133111EB + 2 * span)
+            span *= 2
+        h ^= h >> U(31)
+        lengths = np.array([len(line) for line in padded])
+        ends = np.cumsum(lengths)
+        inside = np.arange(len(h)) + SHINGLE <= np.repeat(ends, lengths)[: len(h)]
+        h = h[inside]
+        # A line shorter than a shingle differs from one that ends in what it is padded with.
+        short = np.array([max(0, SHINGLE - len(line)) for line in lines[first:last]], dtype=U)
+        if short.any():
+            starts = np.cumsum(counts[first:last]) - counts[first:last]
+            h[starts] += short * U(0xD6E8FEB86659FD93)
+        found.append(h.view(np.int64))
+        first = last
+    return counts, np.concatenate(found) if found else np.array([], dtype=np.int64)
+
+
+def line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_sets` of a column."""
+    return shingle_sets(texts.to_pylist())
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared / (len(a) + len(b) - shared)
 
 
+def similar_sets(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets have the similarity ``THRESHOLD``; their sizes alone often show that they don't."""
+    return min(len(a), len(b)) / max(len(a), len(b)) >= THRESHOLD and jaccard(a, b) >= THRESHOLD
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, line_no, line, keys`` of every line that isn't blank; ``line`` is the hash of its text."""
 
@@ -130,7 +174,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
-    """Functions that add ``similar`` to ``pairs(a, b)`` of line hashes and give the shingles of lines as traits."""
+    """Functions that add ``similar`` to ``pairs(a, b)`` of line hashes and give lines as traits, see :func:`line_sets`."""
     wanted = saved(nodes.select(F.col("node").alias("line")), "wanted")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,10 +186,14 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
             )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lru_cache(256)(shingle_set)
         for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            similar = [jaccard(known(x[i].as_py()), known(y[i].as_py())) >= THRESHOLD for i in range(len(x))]
+            similar = []
+            for at in range(0, len(batch), UNPACKED_ROWS):
+                x, y = (batch.column(c).slice(at, UNPACKED_ROWS).to_pylist() for c in ("x", "y"))
+                lines = list(dict.fromkeys(x + y))
+                counts, flat = shingle_sets(lines)
+                sets = {line: np.unique(part) for line, part in zip(lines, np.split(flat, np.cumsum(counts)[:-1]), strict=True)}
+                similar += [similar_sets(sets[a], sets[b]) for a, b in zip(x, y, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(similar, pa.bool_())], names=["a", "b", "similar"]
             )
@@ -160,16 +208,10 @@ def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
         both = pairs.join(one, "a").join(other, "b")
         return both.mapInArrow(compare, "a long, b long, similar boolean")
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(x.as_py()) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("line"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "traits"]
-            )
-
     def traits(some: DataFrame) -> DataFrame:
+        # A line is an eighth of its shingles, which are made where lines are compared.
         wanted = named.join(some.select(F.col("node").alias("line")), "line", "left_semi")
-        return wanted.mapInArrow(shingled, "node long, traits array<long>")
+        return wanted.select(F.col("line").alias("node"), F.col("text").alias("traits"))
 
     return verify, traits
 
@@ -194,7 +236,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     distinct = found.groupBy("line").agg(F.first("keys").alias("keys"))
     # A line's keys differ from each other, as the number of the band is hashed with them.
     keyed = distinct.select(F.col("line").alias("node"), F.explode("keys").alias("key"))
-    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes), THRESHOLD)
+    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes), THRESHOLD, line_sets)
     where = found.select("doc_id", "text_key", "line_no", "line")
     if components is not None:
         where = where.join(components.withColumnRenamed("node", "line"), "line", "left")

@@ -442,6 +442,23 @@ def test_lines_of_one_id_with_unlike_texts_are_judged_apart(spark):
     ]
 
 
+def test_shingles_of_many_lines_are_those_of_each():
+    lines = ["a", "a\0", "abcdefg", "abcdefgh", "abcabcabcabcabcabc", "zwölf größere Wörter \U0001f600 und mehr", "x" * 70_000, "abcdefghi"]
+    counts, flat = line_dedup.shingle_sets(lines)
+    sets = [set(x.tolist()) for x in np.split(flat, np.cumsum(counts)[:-1])]
+    wanted = [set(line_dedup.shingle_set(x).tolist()) for x in lines]
+    assert [len(x) for x in sets] == [len(x) for x in wanted]
+    for a, x in zip(sets, wanted, strict=True):
+        assert [len(a & b) for b in sets] == [len(x & y) for y in wanted]
+
+
+def test_lines_are_dealt_to_cells_without_their_shingles(spark):
+    docs = spark.createDataFrame([(1, 0, "One line that  is long enough")], "doc_id long, text_key long, text string")
+    nodes = line_dedup.occurrences(docs).selectExpr("line AS node")
+    _, traits = line_dedup._verifier(docs, nodes)
+    assert [r.traits for r in traits(nodes).collect()] == ["one line that is long enough"]
+
+
 def test_line_dedup_equals_brute_force(spark):
     rng = np.random.default_rng(11)
     words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(400)]

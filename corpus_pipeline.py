@@ -19,7 +19,7 @@ from assay.llm.toxicity import toxicity
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-#: Most ids that stand for several texts and are broadcast; more are joined by a shuffle.
+#: Most ids that are broadcast to all documents, as those that stand for several texts; more are joined by a shuffle.
 FEW_CLASHES = 1_000_000
 
 
@@ -54,6 +54,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select("row.*")
 
 
+def listed(ids: DataFrame, name: str) -> DataFrame:
+    """Saved ``ids``, broadcast if few, so that the documents that they are looked up for are not shuffled."""
+    ids = saved(ids, name)
+    return small_side(ids, ids.count(), FEW_CLASHES)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, the one with the smallest id; of rows equal in id and text, one.
 
@@ -62,9 +68,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rows = identified(docs)
     classes = saved(near_duplicates(rows.select("doc_id", "text")), "classes")
-    copies = classes.where("doc_id <> class_id").select("doc_id").distinct()
+    copies = listed(classes.where("doc_id <> class_id").select("doc_id").distinct(), "copies")
     kept = rows.join(copies, "doc_id", "left_anti")
-    repeated = classes.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = listed(classes.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     single = kept.join(repeated, "doc_id", "left_anti").select("row.*")
     once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("row").alias("row")).select("row.*")
     return single.unionByName(once)

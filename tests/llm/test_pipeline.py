@@ -35,6 +35,16 @@ def test_near_copies_share_no_fate_with_rows_of_their_id(spark, sf, docs):
     assert len(kept) == 7
 
 
+def test_documents_are_not_shuffled_for_few_copies(spark, sf, docs):
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = corpus_pipeline.drop_near_copies(spark, docs[0], sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_leaks_share_no_fate_with_rows_of_their_id(spark, sf):
     item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 60").first().text
     rows = [(1, prose(1) + " " + item), (1, prose(2)), (None, prose(3) + " " + item), (None, prose(4))]

@@ -41,7 +41,7 @@ UNPACKED_ROWS = 1024
 #: In place of the second part of a cell that holds all rows of a key.
 WHOLE = -1
 #: A round that links fewer than one in so many pairs is the last one.
-PAIRS_PER_LINK = 20
+PAIRS_PER_LINK = 10
 
 Verify = Callable[[DataFrame], DataFrame]
 #: Lengths and flat numbers of the sets that a column of traits stands for.

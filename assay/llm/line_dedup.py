@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.llm.common import quoted, saved, small_side, table
-from assay.llm.stars import UNPACKED_ROWS, Verify, star_components
+from assay.llm.stars import UNPACKED_ROWS, Verify, shared_in_cells, star_components
 
 SHINGLE = 8
 THRESHOLD = 0.8
@@ -23,12 +23,20 @@ BANDS, ROWS = 10, 4
 #: Fixed odd factors, one per min-hash.
 FACTORS = np.random.default_rng(7).integers(1 << 31, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 CHUNK = 1 << 16
+#: Columns of the keys of a line. In columns of their own Spark groups them by hash, which it can't do with arrays.
+KEYS = [f"key{band}" for band in range(BANDS)]
+#: Most lines whose places are broadcast to all documents.
+FEW_LINES = 1_000_000
 
 U = np.uint64
 
 
 def plain(line: str) -> str:
-    return " ".join(line.lower().split())
+    line = line.lower()
+    # Of all white space only the blank is printable, so most lines need no cutting.
+    if line.isprintable() and "  " not in line and line[:1] != " " and line[-1:] != " ":
+        return line
+    return " ".join(line.split())
 
 
 def line_hash(line: str) -> int:
@@ -67,8 +75,10 @@ def signatures(lines: list[str]) -> np.ndarray:
     """A row of BANDS keys per line."""
     hashes, starts = shingle_hashes(lines)
     lowest = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint32)
+    product = np.empty_like(hashes)
     for i, factor in enumerate(FACTORS):
-        lowest[i] = np.minimum.reduceat(hashes * factor, starts)
+        np.multiply(hashes, factor, out=product)
+        np.minimum.reduceat(product, starts, out=lowest[i])
     keys = np.empty((len(lines), BANDS), dtype=np.int64)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, dtype=np.uint64)
@@ -126,29 +136,21 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def similar_sets(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets have the similarity ``THRESHOLD``; their sizes alone often show that they don't."""
-    return min(len(a), len(b)) / max(len(a), len(b)) >= THRESHOLD and jaccard(a, b) >= THRESHOLD
-
-
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, line_no, line, keys`` of every line that isn't blank; ``line`` is the hash of its text."""
+    """``doc_id, text_key, line_no, line`` and ``KEYS`` of every line that isn't blank; ``line`` is the hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
             keys = signatures(lines)
-            flat = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.reshape(-1))
-            )
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(texts, pa.int64()),
                     pa.array(numbers, pa.int32()),
                     pa.array([line_hash(line) for line in lines], pa.int64()),
-                    flat,
+                    *[pa.array(np.ascontiguousarray(keys[:, band])) for band in range(BANDS)],
                 ],
-                names=["doc_id", "text_key", "line_no", "line", "keys"],
+                names=["doc_id", "text_key", "line_no", "line", *KEYS],
             )
 
         for batch in batches:
@@ -170,37 +172,67 @@ def occurrences(docs: DataFrame) -> DataFrame:
             if lines:
                 yield flush()
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, line_no int, line long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key long, line_no int, line long, " + ", ".join(f"{k} long" for k in KEYS))
+
+
+def similar_lines(x: list[str], y: list[str]) -> list[bool]:
+    """Whether the lines of each pair have the similarity ``THRESHOLD``."""
+    lines = {line: i for i, line in enumerate(dict.fromkeys(x + y))}
+    counts, flat = shingle_sets(list(lines))
+    starts, similar, first = np.cumsum(counts) - counts, [], 0
+    pairs = np.array([(lines[a], lines[b]) for a, b in zip(x, y, strict=True)], dtype=np.int64).reshape(-1, 2)
+    ends = np.cumsum(counts[pairs].sum(axis=1))
+    while first < len(pairs):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + CHUNK * 4, "right")))
+        # Each pair is a cell of two rows.
+        rows = pairs[first:last].reshape(-1)
+        lengths = counts[rows]
+        at = np.arange(lengths.sum()) + np.repeat(starts[rows] - (np.cumsum(lengths) - lengths), lengths)
+        left, _, found, again = shared_in_cells(np.arange(len(rows)) // 2, lengths, flat[at])
+        shared = np.zeros(last - first, dtype=np.int64)
+        shared[left // 2] = found
+        both = (lengths - again).reshape(-1, 2).sum(axis=1)
+        similar += (shared / (both - shared) >= THRESHOLD).tolist()
+        first = last
+    return similar
+
 
+def _verifier(docs: DataFrame, nodes: DataFrame, found: DataFrame | None = None) -> tuple[Verify, Verify]:
+    """Functions that add ``similar`` to ``pairs(a, b)`` of line hashes and give lines as traits, see :func:`line_sets`.
 
-def _verifier(docs: DataFrame, nodes: DataFrame) -> tuple[Verify, Verify]:
-    """Functions that add ``similar`` to ``pairs(a, b)`` of line hashes and give lines as traits, see :func:`line_sets`."""
+    ``found``: the :func:`occurrences` of ``docs``, if they are known. Each line is read at one of its places.
+    """
     wanted = saved(nodes.select(F.col("node").alias("line")), "wanted")
+    n = wanted.count()
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [x for t in batch.column("text") for line in (t.as_py() or "").split("\n") if (x := plain(line))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([line_hash(x) for x in lines], pa.int64()), pa.array(lines, pa.string())],
-                names=["line", "text"],
-            )
+            hashes, lines = [], []
+            for text, places in zip(batch.column("text"), batch.column("places").to_pylist(), strict=True):
+                parts = text.as_py().split("\n")
+                for place in places:
+                    line = plain(parts[place["line_no"]]) if place["line_no"] < len(parts) else ""
+                    # Unlike texts may share an id and the hash of the text.
+                    if line and line_hash(line) == place["line"]:
+                        hashes.append(place["line"])
+                        lines.append(line)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.string())], names=["line", "text"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             similar = []
             for at in range(0, len(batch), UNPACKED_ROWS):
-                x, y = (batch.column(c).slice(at, UNPACKED_ROWS).to_pylist() for c in ("x", "y"))
-                lines = list(dict.fromkeys(x + y))
-                counts, flat = shingle_sets(lines)
-                sets = {line: np.unique(part) for line, part in zip(lines, np.split(flat, np.cumsum(counts)[:-1]), strict=True)}
-                similar += [similar_sets(sets[a], sets[b]) for a, b in zip(x, y, strict=True)]
+                similar += similar_lines(*(batch.column(c).slice(at, UNPACKED_ROWS).to_pylist() for c in ("x", "y")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(similar, pa.bool_())], names=["a", "b", "similar"]
             )
 
-    every = docs.select("text").mapInArrow(texts, "line long, text string")
-    named = every.join(small_side(wanted, wanted.count(), 2_000_000), "line", "left_semi")
-    named = saved(named.groupBy("line").agg(F.first("text").alias("text")), "lines")
+    every = (occurrences(docs) if found is None else found).select("doc_id", "text_key", "line_no", "line")
+    places = every.join(small_side(wanted, n, 2_000_000), "line", "left_semi").dropDuplicates(["line"])
+    places = places.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("line_no", "line")).alias("places"))
+    held = docs.join(small_side(places, n, FEW_LINES), ["doc_id", "text_key"]).select("text", "places")
+    named = saved(held.mapInArrow(texts, "line long, text string").groupBy("line").agg(F.first("text").alias("text")), "lines")
     one = named.select(F.col("line").alias("a"), F.col("text").alias("x"))
     other = named.select(F.col("line").alias("b"), F.col("text").alias("y"))
 
@@ -233,10 +265,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
     narrow = narrow.where("doc_id IS NOT NULL")
     found = saved(occurrences(narrow), "occurrences")
-    distinct = found.groupBy("line").agg(F.first("keys").alias("keys"))
+    distinct = found.groupBy("line").agg(*[F.min(k).alias(k) for k in KEYS])
     # A line's keys differ from each other, as the number of the band is hashed with them.
-    keyed = distinct.select(F.col("line").alias("node"), F.explode("keys").alias("key"))
-    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes), THRESHOLD, line_sets)
+    keyed = distinct.select(F.col("line").alias("node"), F.explode(F.array(*KEYS)).alias("key"))
+    components, _ = star_components(keyed, lambda nodes: _verifier(narrow, nodes, found), THRESHOLD, line_sets, halves=False)
     where = found.select("doc_id", "text_key", "line_no", "line")
     if components is not None:
         where = where.join(components.withColumnRenamed("node", "line"), "line", "left")

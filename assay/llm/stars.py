@@ -11,7 +11,8 @@ Rounds only make components large. When one links few of the pairs it looked at,
 that share a passage, or few pairs are left, all pairs of rows of different components under the
 keys still open are compared in blocks, by the number of traits that they share; those that share
 enough are verified. So no pair of rows that share a key is left out, unless both are in one
-component already, and the components don't depend on the number of rounds.
+component already, and the components don't depend on the number of rounds. Of keys that hold the
+same rows one is searched.
 """
 
 import logging
@@ -38,6 +39,8 @@ BLOCK_ROWS, BLOCK_TRAITS, COLUMNS = 1024, 1 << 19, 2048
 FEW_PAIRS, FEW_PER_ROW = 1_000_000, 20
 #: Rows whose traits are unpacked at once.
 UNPACKED_ROWS = 1024
+#: Cells of at most so many rows are compared together.
+SMALL_CELL = 16
 #: In place of the second part of a cell that holds all rows of a key.
 WHOLE = -1
 #: A round that links fewer than one in so many pairs is the last one.
@@ -72,19 +75,35 @@ def _pairs(members: DataFrame, leaders: DataFrame, apart: bool) -> DataFrame:
     return joined.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
-def close_pairs(sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _sorted(lengths: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers and rows of all sets by number and row, each once, and how often each row repeats one of its numbers."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.argsort(flat, kind="stable")
+    value, owner = flat[order], owner[order]
+    again = np.concatenate([[False], (value[1:] == value[:-1]) & (owner[1:] == owner[:-1])])[: len(value)]
+    return value[~again], owner[~again], np.bincount(owner[again], minlength=len(lengths))
+
+
+def _needed(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, again: np.ndarray, threshold: float, halves: bool) -> np.ndarray:
+    """How many numbers the rows ``x`` and ``y`` have to share."""
+    if not halves:
+        lengths, again = lengths - again, np.zeros_like(again)
+    return np.ceil(threshold / (1 + threshold) * (lengths[x] + lengths[y]) - 1e-9) - again[x] - again[y]
+
+
+def close_pairs(
+    sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray, threshold: float, halves: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of all pairs, one of each of the two ``sides``, whose sets have the Jaccard similarity ``threshold``.
 
-    ``flat`` holds the sets one after the other. A number that stands in a set more than once lets further pairs pass.
+    ``flat`` holds the sets one after the other. A number that stands in a set more than once may be that of several
+    elements, if numbers are ``halves`` of hashes, and lets further pairs pass; else it is one element.
     """
-    owner = np.repeat(np.arange(len(lengths)), lengths)
-    _, code, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    code = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[code]
-    order = np.argsort(code, kind="stable")
-    order = order[code[order] >= 0]
-    code, owner = code[order], owner[order]
-    again = owner[1:][(code[1:] == code[:-1]) & (owner[1:] == owner[:-1])]
-    again = np.bincount(again, minlength=len(lengths))
+    value, owner, again = _sorted(lengths, flat)
+    code = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]])[: len(value)])
+    shared_by = np.bincount(code)
+    met = shared_by > 1
+    code, owner = (np.cumsum(met) - 1)[code][met[code]], owner[met[code]]
     left, right = sides
     shared = np.zeros((len(left), len(right)), dtype=np.float32)
     for first in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
@@ -92,31 +111,69 @@ def close_pairs(sides: list[np.ndarray], lengths: np.ndarray, flat: np.ndarray,
         held = np.zeros((len(lengths), int(code[end - 1]) - first + 1), dtype=np.float32)
         held[owner[start:end], code[start:end] - first] = 1
         shared += held[left] @ held[right].T
-    need = threshold / (1 + threshold) * (lengths[left][:, None] + lengths[right][None, :])
-    rows, columns = np.nonzero(shared >= np.ceil(need - 1e-9) - again[left][:, None] - again[right][None, :])
+    rows, columns = np.nonzero(shared >= _needed(left[:, None], right[None, :], lengths, again, threshold, halves))
     return left[rows], right[columns]
 
 
+def shared_in_cells(cell: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All rows ``x < y`` of one cell that share numbers, how many, and how often each row repeats one of its numbers.
+
+    Rows of a cell stand together.
+    """
+    value, owner, again = _sorted(lengths, flat)
+    width = int(np.unique(cell, return_counts=True)[1].max(initial=1))
+    place, found = cell[owner], [np.array([], dtype=np.int64)]
+    for step in range(1, width):
+        # Rows of a cell that share a number follow each other.
+        same = (value[step:] == value[:-step]) & (place[step:] == place[:-step])
+        if not same.any():
+            break
+        x = owner[:-step][same]
+        found.append(x * width + owner[step:][same] - x)
+    shared = np.bincount(np.concatenate(found))
+    pairs = np.flatnonzero(shared)
+    x = pairs // width
+    return x, x + pairs % width, shared[pairs], again
+
+
 def lists(sets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The sets of a column of arrays."""
     return sets.value_lengths().to_numpy(), sets.flatten().to_numpy()
 
 
-def _compared(batches: Iterator[pa.RecordBatch], threshold: float, unpack: Unpack) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], threshold: float, unpack: Unpack, halves: bool) -> Iterator[pa.RecordBatch]:
     """Close pairs ``a, b`` of different components in each cell; rows come sorted by cell.
 
     The cell of a key that is not cut holds all its rows, and part 0 meets them all.
     """
 
+    def named(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    def small(cell: np.ndarray, node: np.ndarray, component: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of many cells that are not cut, about so many traits at once as a block has."""
+        ends = np.cumsum(lengths)
+        start = 0
+        while start < len(cell):
+            base = ends[start] - lengths[start]
+            end = int(np.searchsorted(ends, base + BLOCK_TRAITS, "right"))
+            # Up to the end of a cell.
+            end = int(np.searchsorted(cell, cell[max(end, start + 1) - 1], "right"))
+            rows = slice(start, end)
+            x, y, shared, again = shared_in_cells(cell[rows], lengths[rows], flat[base : ends[end - 1]])
+            close = shared >= _needed(x, y, lengths[rows], again, threshold, halves)
+            close &= component[rows][x] != component[rows][y]
+            yield named(node[rows][x[close]], node[rows][y[close]])
+            start = end
+
     def pairs(key: tuple, parts: list[list[np.ndarray]]) -> pa.RecordBatch:
         part, node, component, lengths, flat = map(np.concatenate, zip(*parts, strict=True))
         sides = [np.flatnonzero(part == key[1]), np.arange(len(part)) if key[2] == WHOLE else np.flatnonzero(part == key[2])]
-        x, y = close_pairs(sides, lengths, flat, threshold) if all(map(len, sides)) else (part[:0], part[:0])
+        x, y = close_pairs(sides, lengths, flat, threshold, halves) if all(map(len, sides)) else (part[:0], part[:0])
         apart = component[x] != component[y]
         # Two rows of one part meet twice.
         apart &= (part[x] != part[y]) | (x < y)
-        x, y = node[x[apart]], node[y[apart]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        return named(node[x[apart]], node[y[apart]])
 
     current, parts = None, []
     for batch in batches:
@@ -127,8 +184,16 @@ def _compared(batches: Iterator[pa.RecordBatch], threshold: float, unpack: Unpac
             lengths, flat = unpack(rows.column("traits"))
             offsets = np.concatenate([[0], np.cumsum(lengths)])
             cells = np.column_stack([key, i, j])
-            edges = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
-            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)], strict=True):
+            edges = np.concatenate([[0], np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1, [len(rows)]])
+            sizes = np.diff(edges)
+            # The first cell may have begun before, and the last one may go on.
+            together = (sizes <= SMALL_CELL) & (j[edges[:-1]] == WHOLE)
+            together[[0, -1]] = False
+            if together.any():
+                of = np.repeat(together, sizes)
+                numbers = np.repeat(np.arange(len(sizes)), sizes)[of]
+                yield from small(numbers, columns[1][of], columns[2][of], lengths[of], flat[np.repeat(of, lengths)])
+            for start, end in zip(edges[:-1][~together].tolist(), edges[1:][~together].tolist(), strict=True):
                 cell = tuple(cells[start].tolist())
                 if current is not None and cell != current:
                     yield pairs(current, parts)
@@ -151,7 +216,7 @@ def _left(homes: DataFrame) -> int:
     return int(homes.agg(F.sum(F.expr("others * (others - 1) / 2 + others * at_home"))).first()[0] or 0)
 
 
-def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshold: float, unpack: Unpack) -> DataFrame:
+def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshold: float, unpack: Unpack, halves: bool) -> DataFrame:
     """All pairs ``a < b`` in different components that share a key of ``members(key, node, component)`` and are close.
 
     The rows of a key are cut into parts, those of its largest component apart from the others, and
@@ -181,7 +246,7 @@ def _remaining(members: DataFrame, homes: DataFrame, traits: DataFrame, threshol
         "component",
     )
     dealt = cells.join(traits, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(lambda batches: _compared(batches, threshold, unpack), "a long, b long").distinct()
+    return dealt.mapInArrow(lambda batches: _compared(batches, threshold, unpack, halves), "a long, b long").distinct()
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,8 +269,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield last
 
 
+def _unlike(members: DataFrame) -> DataFrame:
+    """``key, weight``: one of the keys that hold the same nodes, and the number of nodes under all of them.
+
+    Sets of nodes are told apart by their size and two fingerprints of 64 bits.
+    """
+    h = F.xxhash64("node")
+    # Sums of halves can't overflow, and count a node that a key repeats.
+    parts = {"high": F.sum(F.shiftrightunsigned(h, 32)), "low": F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), "mixed": F.bit_xor(F.xxhash64("node", F.lit(1)))}
+    sets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *[v.alias(k) for k, v in parts.items()])
+    same = sets.groupBy("size", *parts).agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("keys"))
+    return same.select("key", (F.col("size") * F.col("keys")).alias("weight"))
+
+
 def star_components(
-    keyed: DataFrame, verifier: Callable[[DataFrame], tuple[Verify, Verify]], threshold: float, unpack: Unpack = lists
+    keyed: DataFrame, verifier: Callable[[DataFrame], tuple[Verify, Verify]], threshold: float, unpack: Unpack = lists, halves: bool = True
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """``(node, component)`` of linked nodes and all verified pairs ``(a, b, similar)``.
 
@@ -213,7 +291,8 @@ def star_components(
     ``(node)`` that can come up and returns two functions: one adds the column ``similar`` to pairs
     ``(a, b)``; the other gives ``(node, traits)``, a set of numbers, for some ``(node)``. Only pairs
     whose traits have the Jaccard similarity ``threshold`` may be similar. Traits of another kind than
-    sets are made into sets by ``unpack`` where they are compared. Both results are None if no two nodes share a key.
+    sets are made into sets by ``unpack`` where they are compared. A trait that a set repeats is one trait, unless traits are
+    ``halves`` of hashes. Both results are None if no two nodes share a key.
     """
     # Most keys have one row; the others are found in one shuffle.
     dealt = keyed.select("key", "node").repartition("key").sortWithinPartitions("key")
@@ -222,8 +301,11 @@ def star_components(
     if not size:
         return None, None
     verify, traits_of = verifier(members.select("node").distinct())
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    rank = members.join(sizes, "key").groupBy("node").agg(F.sum("size").cast("double").alias("rank"))
+    unlike = saved(_unlike(members), "unlike", size)
+    members = saved(members.join(unlike, "key").select("key", "node", "weight"), "members", size)
+    rank = members.groupBy("node").agg(F.sum("weight").cast("double").alias("rank"))
+    members = members.select("key", "node")
+    size = members.count()
     tried = led = components = None
     links_found = 0
     while size:
@@ -257,7 +339,7 @@ def star_components(
         poor = not first_round and found * PAIRS_PER_LINK <= looked
         if size and (poor or left <= FEW_PAIRS + FEW_PER_ROW * size):
             traits = saved(traits_of(members.select("node").distinct()), "traits")
-            pairs = _remaining(members, homes, traits, threshold, unpack).join(tried, ["a", "b"], "left_anti")
+            pairs = _remaining(members, homes, traits, threshold, unpack, halves).join(tried, ["a", "b"], "left_anti")
             result = saved(verify(saved(pairs, "remaining")), "verified")
             found = result.where("similar").count()
             log.info("all remaining pairs: %d new links", found)

@@ -130,6 +130,39 @@ def test_close_pairs_with_numbers_twice_in_a_set():
     assert (0, 1) in set(zip(x.tolist(), y.tolist(), strict=True)) and 2 not in y
 
 
+def test_cells_give_what_brute_force_gives(monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = []
+    for key in range(120):
+        own = rng.integers(0, 1 << 40, 40).tolist()
+        for _ in range(int(rng.choice([2, 3, 7, 16, 17, 40]))):
+            traits = [x if rng.random() < 0.92 else int(rng.integers(1 << 40)) for x in own]
+            component = int(rng.integers(5))
+            part = 1 if component == 0 else 0
+            rows.append((key, 0, stars.WHOLE, part, len(rows), component, traits + traits[: int(rng.integers(30))]))
+    schema = pa.schema([*[(x, pa.int64()) for x in ("key", "i", "j", "part", "node", "component")], ("traits", pa.list_(pa.int64()))])
+    batch = pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+    want = set()
+    for a in rows:
+        for b in rows[a[4] + 1 : a[4] + 40]:
+            x, y = set(a[6]), set(b[6])
+            if a[0] == b[0] and a[5] != b[5] and len(x & y) / len(x | y) >= 0.8:
+                want.add((a[4], b[4]))
+    for unpacked, traits, ends in ((1024, 1 << 19, 500), (100, 1000, 37)):
+        monkeypatch.setattr(stars, "UNPACKED_ROWS", unpacked)
+        monkeypatch.setattr(stars, "BLOCK_TRAITS", traits)
+        batches = (batch.slice(at, ends) for at in range(0, len(rows), ends))
+        got = [p for x in stars._compared(batches, 0.8, stars.lists, False) for p in zip(*x.to_pydict().values(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) > 500
+
+
+def test_keys_with_the_same_rows_are_searched_once(spark):
+    rows = [(1, 10), (1, 11), (2, 10), (2, 11), (3, 10), (3, 12), (4, 10), (4, 10), (4, 11), (5, 12), (5, 12), (5, 11)]
+    got = stars._unlike(spark.createDataFrame(rows, "key long, node long"))
+    assert {(r.key, r.weight) for r in got.collect()} == {(1, 4), (3, 2), (4, 3), (5, 3)}
+
+
 def test_rounds_end_among_strangers(spark):
     # Strangers share keys, and each round would find a link or two of a chain among them.
     keyed = spark.range(400).selectExpr("1L AS key", "id AS node")
@@ -492,6 +525,53 @@ def test_line_dedup_equals_brute_force(spark):
     assert want and len(want) < len(places) - 1
 
 
+def test_lines_that_repeat_themselves_are_not_taken_for_alike(spark, monkeypatch):
+    # Strangers share a passage, and each says a long word of its own over and over.
+    rng = np.random.default_rng(3)
+    passage = "".join(rng.choice(list("abcdefghij "), 200))
+    lines = [f"{passage} " + "".join(rng.choice(list("klmnopqrst"), 60)) * 30 for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    verifier, seen = line_dedup._verifier, []
+
+    def counting(*args):
+        verify, traits = verifier(*args)
+
+        def counted(pairs):
+            seen.append(pairs.count())
+            return verify(pairs)
+
+        return counted, traits
+
+    monkeypatch.setattr(line_dedup, "_verifier", counting)
+    assert line_dedup.repeated_lines(docs).count() == 0
+    # The first round meets leaders; the blocks after it hand on none of the 1,770 pairs.
+    assert len(seen) == 2 and 0 < seen[0] < 200 and seen[1] == 0
+
+
+def test_line_pairs_are_judged_by_their_sets():
+    rng = np.random.default_rng(5)
+    base = ["".join(rng.choice(list("abcdefgh "), int(n))) for n in rng.integers(1, 300, 60)] + ["ab " * 90, "ab " * 20 + "x", "a", "a\0"]
+    x = [base[i] for i in rng.integers(0, len(base), 300)]
+    y = [line[: int(len(line) * cut)] + "z" if cut < 1 else line for line, cut in zip(x, rng.choice([0.7, 0.85, 0.95, 1], 300), strict=True)]
+    y[::5] = [base[i] for i in rng.integers(0, len(base), 60)]
+    want = [line_dedup.jaccard(line_dedup.shingle_set(a), line_dedup.shingle_set(b)) >= line_dedup.THRESHOLD for a, b in zip(x, y, strict=True)]
+    assert line_dedup.similar_lines(x, y) == want and 30 < sum(want) < 270
+    assert line_dedup.similar_lines([], []) == []
+
+
+def test_plain_lines():
+    lines = ["", " ", "a", "A  b", " a", "a ", "a\tb", "a\u00a0b", "a\u3000b", "a\x1cb", "a\x85", "ÄÖ ß", "ΟΔΟΣ ΟΔΟΣ", "a\u200bb", "x\u2028y", "a\r"]
+    assert [line_dedup.plain(x) for x in lines] == [" ".join(x.lower().split()) for x in lines]
+
+
+def test_lines_of_texts_that_share_id_and_hash(spark):
+    lines = ["the line that is wanted here", "another line that is wanted"]
+    docs = spark.createDataFrame([(1, 7, f"x\n{lines[0]}"), (1, 7, lines[1])], "doc_id long, text_key long, text string")
+    found = line_dedup.occurrences(docs)
+    _, traits = line_dedup._verifier(docs, found.selectExpr("line AS node").distinct(), found)
+    assert {r.traits for r in traits(found.selectExpr("line AS node")).collect()} == {"x", *lines}
+
+
 def test_nearest_finds_what_brute_force_finds(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 16)) * rng.uniform(0.5, 2, (3000, 1))
